@@ -175,12 +175,11 @@ def cost_breakdown(df: DataFrame) -> DataFrame:
 def pareto(df: DataFrame) -> DataFrame:
     """Customers by falling profit with cumulative shares of profit and customers."""
     known = df.filter(F.col("customer_profit").isNotNull()).select(
-        "customer_id", "customer_profit", S.exact("customer_profit", 6).alias("units")
+        "customer_id", "customer_profit", S.exact("customer_profit", 6).alias("units"),
+        F.lit(1).alias("one"),
     )
     ordered = InOrder(known, F.desc("customer_profit"), F.asc("customer_id"))
     everything = ordered.rows.agg(F.sum("units").cast("double")).scalar()
-    one = ordered.rows.select(*known.columns, "_slot", F.lit(1).alias("one"))
-    ordered.rows = one
     running = ordered.running({"profit": "units", "position": "one"})
     return running.select(
         "customer_id",
