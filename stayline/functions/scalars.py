@@ -34,6 +34,16 @@ def inexact(total: Column | str, digits: int) -> Column:
     return col(total).cast("double") / F.lit(float(10**digits))
 
 
+def total(amount: Column | str) -> Column:
+    """Order-independent sum of a double column, to six digits."""
+    return inexact(F.sum(exact(amount, 6)), 6)
+
+
+def mean(amount: Column | str) -> Column:
+    """Average from the order-independent sum."""
+    return F.try_divide(total(amount), F.count(col(amount)))
+
+
 def round_even(c: Column | str, digits: int) -> Column:
     """Round half to even on the scaled value."""
     scale = float(10**digits)

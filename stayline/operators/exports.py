@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stayline.functions import scalars as S
 from stayline.operators.ingest import available
 from stayline.operators.priority import top_by_rank
-from stayline.operators.profitability import total
+from stayline.functions.scalars import mean, total
 
 MASTER_COLUMNS = [
     "customer_id", "age", "gender", "region", "acquisition_channel", "customer_tenure_days",
@@ -78,19 +78,19 @@ def segment_summary(df: DataFrame) -> DataFrame:
     out = df.groupBy("rfm_segment").agg(
         F.count("customer_id").alias("customer_count"),
         (n / everyone * 100).alias("pct_of_total"),
-        F.avg("gross_revenue").alias("avg_revenue"),
+        mean("gross_revenue").alias("avg_revenue"),
         total("gross_revenue").alias("total_revenue"),
-        F.avg("customer_profit").alias("avg_profit"),
+        mean("customer_profit").alias("avg_profit"),
         total("customer_profit").alias("total_profit"),
-        F.avg("profit_margin").alias("avg_profit_margin"),
-        F.avg("churn_prob").alias("avg_churn_prob"),
+        mean("profit_margin").alias("avg_profit_margin"),
+        mean("churn_prob").alias("avg_churn_prob"),
         F.sum("churn_predicted").alias("churn_count"),
-        F.avg("engagement_score").alias("avg_engagement"),
+        mean("engagement_score").alias("avg_engagement"),
         F.avg("recency_days").alias("avg_recency"),
         F.avg("frequency").alias("avg_frequency"),
-        F.avg("avg_order_value").alias("avg_aov"),
+        mean("avg_order_value").alias("avg_aov"),
         total("expected_retention_value").alias("total_erv"),
-        F.avg("retention_priority_score").alias("avg_priority"),
+        mean("retention_priority_score").alias("avg_priority"),
     )
     return rounded(out)
 
@@ -130,8 +130,8 @@ def geographic_summary(df: DataFrame, by: str = "customer_state", regions: dict
     out = df.groupBy(by).agg(
         F.count("customer_id").alias("customer_count"),
         total("gross_revenue").alias("total_revenue"),
-        F.avg("customer_profit").alias("avg_profit"),
-        F.avg("churn_prob").alias("avg_churn_prob"),
+        mean("customer_profit").alias("avg_profit"),
+        mean("churn_prob").alias("avg_churn_prob"),
     )
     out = rounded(out)
     if by == "customer_state" and regions is not None:

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.functions import scalars as S
-from stayline.operators.profitability import COSTS, total
+from stayline.functions.scalars import mean, total
+from stayline.operators.profitability import COSTS
 from stayline.operators.segmentation import share_of_total
 
 def rows() -> Column:
@@ -32,7 +33,7 @@ def overview(df: DataFrame) -> DataFrame:
         rows().alias("total_customers"),
         total("gross_revenue").alias("total_revenue"),
         total("customer_profit").alias("total_profit"),
-        F.avg("customer_profit").alias("avg_customer_profit"),
+        mean("customer_profit").alias("avg_customer_profit"),
         F.count_if(F.col("churn_predicted") == 0).alias("active_customers"),
         _divide(F.count_if(leaving), rows()).alias("overall_churn_rate"),
         F.count_if(risky).alias("at_risk_customers"),
@@ -50,20 +51,20 @@ def active_90d(df: DataFrame, days: int = 90) -> DataFrame:
 def margin(df: DataFrame) -> DataFrame:
     return df.agg(
         _divide(total("customer_profit"), total("gross_revenue")).alias("profit_margin"),
-        F.avg("profit_margin").alias("avg_profit_margin"),
+        mean("profit_margin").alias("avg_profit_margin"),
     )
 
 
 def by_segment(df: DataFrame) -> DataFrame:
     return df.groupBy("rfm_segment").agg(
         F.count("customer_id").alias("customers"),
-        F.avg("gross_revenue").alias("avg_revenue"),
+        mean("gross_revenue").alias("avg_revenue"),
         F.avg("frequency").alias("avg_frequency"),
         F.avg("recency_days").alias("avg_recency"),
-        F.avg("monetary").alias("avg_monetary"),
-        F.avg("avg_order_value").alias("avg_aov"),
-        F.avg("engagement_score").alias("avg_engagement"),
-        F.avg("profit_margin").alias("avg_margin"),
+        mean("monetary").alias("avg_monetary"),
+        mean("avg_order_value").alias("avg_aov"),
+        mean("engagement_score").alias("avg_engagement"),
+        mean("profit_margin").alias("avg_margin"),
         F.count_if(F.col("value_tier") == "High Value").alias("high_value_count"),
     )
 
@@ -97,7 +98,7 @@ def profit_identity(df: DataFrame) -> DataFrame:
 def clv(df: DataFrame) -> DataFrame:
     return df.agg(
         (
-            F.avg("customer_profit") * F.avg("frequency")
+            mean("customer_profit") * F.avg("frequency")
             * F.try_divide(F.lit(365.0), F.avg("interpurchase_time_avg"))
         ).alias("avg_clv")
     )
@@ -146,7 +147,7 @@ def priority(df: DataFrame, score: float = 75, buffer: float = 1.2) -> DataFrame
         F.count_if(F.col("retention_priority_score") >= score).alias("high_priority"),
         cost.alias("intervention_cost"),
         (cost * buffer).alias("campaign_budget"),
-        F.avg("success_prob").alias("avg_success_prob"),
+        mean("success_prob").alias("avg_success_prob"),
     )
 
 
@@ -178,13 +179,13 @@ def churn_by_bin(df: DataFrame, column: str, width: float) -> DataFrame:
     """Average churn probability per bin of a column."""
     start = F.floor(F.col(column) / width) * width
     return df.groupBy(start.cast("double").alias("bin_start")).agg(
-        F.avg("churn_prob").alias("avg_churn_prob"), rows().alias("customers")
+        mean("churn_prob").alias("avg_churn_prob"), rows().alias("customers")
     )
 
 
 def segment_by_tier(df: DataFrame) -> DataFrame:
     return df.groupBy("rfm_segment", "value_tier").agg(
-        F.avg("customer_profit").alias("avg_profit"), rows().alias("customers")
+        mean("customer_profit").alias("avg_profit"), rows().alias("customers")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stayline.config import RISK_TIERS, VALUE_TIERS, Settings
 from stayline.functions import scalars as S
-from stayline.operators.profitability import total
+from stayline.functions.scalars import mean, total
 
 REPORT_COLUMNS = [
     "priority_rank", "customer_id", "customer_profit", "churn_prob", "expected_retention_value",
@@ -130,7 +130,7 @@ def high_value_at_risk(df: DataFrame, n: int = 20, threshold: float = 0.5) -> Da
 
 def highest_risk_segment(df: DataFrame) -> DataFrame:
     return (
-        df.groupBy("rfm_segment").agg(F.avg("churn_prob").alias("avg_churn_prob"))
+        df.groupBy("rfm_segment").agg(mean("churn_prob").alias("avg_churn_prob"))
         .orderBy(F.desc("avg_churn_prob"), "rfm_segment").limit(1)
     )
 
@@ -140,10 +140,10 @@ def decision_matrix(df: DataFrame) -> DataFrame:
     known = df.filter(F.col("value_tier").isNotNull())
     cells = known.filter(F.col("risk_tier").isNotNull()).groupBy("value_tier", "risk_tier").agg(
         F.count("customer_id").alias("n"),
-        F.avg("customer_profit").alias("profit"),
-        F.avg("churn_prob").alias("prob"),
+        mean("customer_profit").alias("profit"),
+        mean("churn_prob").alias("prob"),
         total("expected_retention_value").alias("value"),
-        F.avg("retention_priority_score").alias("score"),
+        mean("retention_priority_score").alias("score"),
     )
     grid = known.select("value_tier").distinct().select(
         "value_tier", F.explode(F.array(*[F.lit(t) for t in RISK_TIERS])).alias("risk_tier")
@@ -210,13 +210,13 @@ def action_distribution(df: DataFrame) -> DataFrame:
 
 def segment_net_benefit(df: DataFrame) -> DataFrame:
     return df.groupBy("rfm_segment").agg(
-        F.avg("expected_net_benefit").alias("avg_net_benefit")
+        mean("expected_net_benefit").alias("avg_net_benefit")
     ).orderBy("avg_net_benefit")
 
 
 def segment_churn(df: DataFrame) -> DataFrame:
     return df.groupBy("rfm_segment").agg(
-        F.avg("churn_prob").alias("avg_churn_prob"),
+        mean("churn_prob").alias("avg_churn_prob"),
         F.avg("churn_predicted").alias("predicted_rate"),
     ).orderBy(F.desc("avg_churn_prob"))
 

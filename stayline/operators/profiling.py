@@ -108,7 +108,7 @@ def histogram(
     # One bin grid per group; the edges travel with the grid, so counting needs
     # only the group's own span.
     if by:
-        data = data.join(F.broadcast(span), by)
+        data = data.join(span, by)
     else:
         one = data.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
         data = data.withColumns({"lo": one["lo"], "hi": one["hi"]})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stayline.config import Settings
 from stayline.functions import scalars as S
+from stayline.functions.scalars import mean, total
 from stayline.operators.ordering import InOrder, quantile_buckets, quantiles
 from stayline.operators.segmentation import share_of_total
 from stayline.session import freeze
@@ -110,17 +111,12 @@ def add_profitability(
 # -- reports -------------------------------------------------------------------
 
 
-def total(column: str):
-    """Order-independent sum of a money column."""
-    return S.inexact(F.sum(S.exact(column, 6)), 6)
-
-
 def profit_summary(df: DataFrame) -> DataFrame:
     loss = F.col("customer_profit") < 0
     return df.agg(
         total("gross_revenue").alias("total_revenue"),
         total("customer_profit").alias("total_profit"),
-        F.avg("profit_margin").alias("avg_margin"),
+        mean("profit_margin").alias("avg_margin"),
         F.count_if(loss).alias("unprofitable"),
         F.avg(F.coalesce(loss, F.lit(False)).cast("double")).alias("unprofitable_share"),
     )
@@ -139,8 +135,8 @@ def high_revenue_low_margin(df: DataFrame) -> DataFrame:
 
 def segment_profit(df: DataFrame) -> DataFrame:
     return df.groupBy("rfm_segment").agg(
-        F.avg("customer_profit").alias("avg_profit"),
-        F.avg("profit_margin").alias("avg_margin"),
+        mean("customer_profit").alias("avg_profit"),
+        mean("profit_margin").alias("avg_margin"),
         F.count("customer_id").alias("customers"),
     )
 
@@ -149,8 +145,8 @@ def value_tier_summary(df: DataFrame) -> DataFrame:
     out = df.filter(F.col("value_tier").isNotNull()).groupBy("value_tier").agg(
         F.count("customer_id").alias("customers"),
         total("customer_profit").alias("total_profit"),
-        F.avg("customer_profit").alias("avg_profit"),
-        F.avg("profit_margin").alias("avg_margin"),
+        mean("customer_profit").alias("avg_profit"),
+        mean("profit_margin").alias("avg_margin"),
     )
     return share_of_total(out, "customers", "pct")
 

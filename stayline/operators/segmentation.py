@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions import scalars as S
+from stayline.functions.scalars import mean
 from stayline.operators.ordering import quantile_buckets
 
 
@@ -46,9 +47,9 @@ def segment_profile(scored: DataFrame, by: str = "rfm_segment") -> DataFrame:
         F.count("customer_id").alias("customers"),
         F.avg("recency_days").alias("avg_recency"),
         F.avg("frequency").alias("avg_frequency"),
-        F.avg("monetary").alias("avg_monetary"),
-        F.avg("engagement_score").alias("avg_engagement"),
-        F.avg("avg_order_value").alias("avg_aov"),
+        mean("monetary").alias("avg_monetary"),
+        mean("engagement_score").alias("avg_engagement"),
+        mean("avg_order_value").alias("avg_aov"),
     )
     return share_of_total(out, "customers", "pct")
 

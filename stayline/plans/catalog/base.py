@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.operators import exports, features, ingest, labels, priority, profitability, segmentation
-from stayline.plans.catalog.sql import CTES
+from stayline.plans.catalog.sql import CTES, mean
+from stayline.session import tune
 from stayline.sources import fixtures
 from stayline.sources.store import store
 
@@ -30,6 +31,7 @@ class Tables:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        tune(spark)
         self.spark, self.sf_dir, self.cfg = spark, sf_dir, fixtures.settings()
 
     def table(self, name: str) -> DataFrame:
@@ -173,6 +175,7 @@ def _names_in(sql: str) -> list[str]:
 
 def with_ctes(sql: str) -> str:
     """Puts the shared tables a statement mentions in front of it."""
+    sql = re.sub(r"\bavgx\((\w+)\)", lambda m: mean(m[1]), sql)
     needed: list[str] = []
 
     def visit(text: str) -> None:

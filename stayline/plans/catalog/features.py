@@ -200,7 +200,7 @@ def _(t: Tables):
     "segment_profile",
     "rfm_segment:s customers:i avg_recency:f4 avg_frequency:f4 avg_monetary:f3 avg_engagement:f4 avg_aov:f3 pct:f",
     """SELECT rfm_segment, count(*) AS customers, avg(recency_days) AS avg_recency, avg(frequency) AS avg_frequency,
-              avg(monetary) AS avg_monetary, avg(engagement_score) AS avg_engagement, avg(avg_order_value) AS avg_aov,
+              avgx(monetary) AS avg_monetary, avgx(engagement_score) AS avg_engagement, avgx(avg_order_value) AS avg_aov,
               count(*) * 100.0 / sum(count(*)) OVER () AS pct FROM rfm_scored GROUP BY 1""",
 )
 def _(t: Tables):
@@ -252,7 +252,8 @@ def histogram_sql(column: str, table: str, bins: int, name: str, low=None, high=
     if high is not None:
         v = f"least({v}, {high}.0)"
     return f"""SELECT '{name}' AS name, b AS bin, lo + b * w AS left_edge, count(v) AS n FROM
-      (SELECT min({v}) AS lo, max({v}) AS hi, (max({v}) - min({v})) / CAST({bins} AS DOUBLE) AS w FROM {table}) e
+      (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo, CASE WHEN lo = hi THEN 1.0 ELSE hi - lo END / CAST({bins} AS DOUBLE) AS w
+       FROM (SELECT CAST(min({v}) AS DOUBLE) AS lo, CAST(max({v}) AS DOUBLE) AS hi FROM {table})) e
       CROSS JOIN range(0, {bins}) r(b) LEFT JOIN (SELECT CAST({v} AS DOUBLE) AS v FROM {table} WHERE {column} IS NOT NULL)
       ON least(floor((v - lo) / w), {bins - 1}) = b GROUP BY lo, w, b"""
 

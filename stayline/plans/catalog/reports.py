@@ -63,7 +63,7 @@ def _(t: Tables):
 
 
 def avg2(c: str) -> str:
-    return even(f"avg({c})", 2)
+    return even(f"avgx({c})", 2)
 
 
 @query(
@@ -214,7 +214,7 @@ def where(condition: str, column: str) -> str:
     "kpi_overview",
     "total_customers:i total_revenue:f4 total_profit:f4 avg_customer_profit:f3 active_customers:i overall_churn_rate:f at_risk_customers:i profit_at_risk:f3",
     f"""SELECT count(*) AS total_customers, {units('gross_revenue')} AS total_revenue, {units('customer_profit')} AS total_profit,
-        avg(customer_profit) AS avg_customer_profit, count(*) FILTER (churn_predicted = 0) AS active_customers,
+        avgx(customer_profit) AS avg_customer_profit, count(*) FILTER (churn_predicted = 0) AS active_customers,
         avg(churn_predicted) AS overall_churn_rate, count(*) FILTER (churn_prob >= 0.5) AS at_risk_customers,
         {where('churn_prob >= 0.5', 'expected_retention_value')} AS profit_at_risk FROM fin""",
 )
@@ -233,7 +233,7 @@ def _(t: Tables):
 
 @query(
     "kpi_margin", "profit_margin:f avg_profit_margin:f",
-    f"SELECT {units('customer_profit')} / {units('gross_revenue')} AS profit_margin, avg(profit_margin) AS avg_profit_margin FROM fin",
+    f"SELECT {units('customer_profit')} / {units('gross_revenue')} AS profit_margin, avgx(profit_margin) AS avg_profit_margin FROM fin",
 )
 def _(t: Tables):
     return measures.margin(t.final)
@@ -242,9 +242,9 @@ def _(t: Tables):
 @query(
     "kpi_segment",
     "rfm_segment:s customers:i avg_revenue:f3 avg_frequency:f avg_recency:f4 avg_monetary:f3 avg_aov:f3 avg_engagement:f4 avg_margin:f high_value_count:i",
-    """SELECT rfm_segment, count(*) AS customers, avg(gross_revenue) AS avg_revenue, avg(frequency) AS avg_frequency,
-        avg(recency_days) AS avg_recency, avg(monetary) AS avg_monetary, avg(avg_order_value) AS avg_aov,
-        avg(engagement_score) AS avg_engagement, avg(profit_margin) AS avg_margin,
+    """SELECT rfm_segment, count(*) AS customers, avgx(gross_revenue) AS avg_revenue, avg(frequency) AS avg_frequency,
+        avg(recency_days) AS avg_recency, avgx(monetary) AS avg_monetary, avgx(avg_order_value) AS avg_aov,
+        avgx(engagement_score) AS avg_engagement, avgx(profit_margin) AS avg_margin,
         count(*) FILTER (value_tier = 'High Value') AS high_value_count FROM fin GROUP BY 1""",
 )
 def _(t: Tables):
@@ -290,7 +290,7 @@ def _(t: Tables):
 
 @query(
     "kpi_clv", "avg_clv:f2",
-    "SELECT avg(customer_profit) * avg(frequency) * 365 / avg(interpurchase_time_avg) AS avg_clv FROM fin",
+    "SELECT avgx(customer_profit) * avg(frequency) * 365 / avg(interpurchase_time_avg) AS avg_clv FROM fin",
 )
 def _(t: Tables):
     return measures.clv(t.final)
@@ -336,7 +336,7 @@ def _(t: Tables):
 @query(
     "kpi_priority", "high_priority:i intervention_cost:f campaign_budget:f avg_success_prob:f",
     f"""SELECT count(*) FILTER (retention_priority_score >= 75) AS high_priority, {units('intervention_cost')} AS intervention_cost,
-        {units('intervention_cost')} * 1.2 AS campaign_budget, avg(success_prob) AS avg_success_prob FROM fin""",
+        {units('intervention_cost')} * 1.2 AS campaign_budget, avgx(success_prob) AS avg_success_prob FROM fin""",
 )
 def _(t: Tables):
     return measures.priority(t.final)
@@ -370,9 +370,9 @@ def _(t: Tables):
 
 @query(
     "visual_frames", "frame:s label:s value:f3 customers:i",
-    """SELECT 'recency' AS frame, CAST(CAST(floor(recency_days / 30.0) * 30 AS BIGINT) AS VARCHAR) AS label, avg(churn_prob) AS value, count(*) AS customers FROM fin GROUP BY 2
-       UNION ALL SELECT 'spending_trend', CAST(CAST(floor(spending_trend / 0.5) AS BIGINT) AS VARCHAR), avg(churn_prob), count(*) FROM fin GROUP BY 2
-       UNION ALL SELECT 'segment_tier', rfm_segment || ' / ' || coalesce(value_tier, 'none'), avg(customer_profit), count(*) FROM fin GROUP BY 2
+    """SELECT 'recency' AS frame, CAST(CAST(floor(recency_days / 30.0) * 30 AS BIGINT) AS VARCHAR) AS label, avgx(churn_prob) AS value, count(*) AS customers FROM fin GROUP BY 2
+       UNION ALL SELECT 'spending_trend', CAST(CAST(floor(spending_trend / 0.5) AS BIGINT) AS VARCHAR), avgx(churn_prob), count(*) FROM fin GROUP BY 2
+       UNION ALL SELECT 'segment_tier', rfm_segment || ' / ' || coalesce(value_tier, 'none'), avgx(customer_profit), count(*) FROM fin GROUP BY 2
        UNION ALL SELECT 'channel', acquisition_channel, count(*) * 100.0 / (SELECT count(*) FROM fin), count(*) FROM fin GROUP BY 2""",
 )
 def _(t: Tables):

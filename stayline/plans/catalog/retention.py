@@ -287,7 +287,7 @@ def _(t: Tables):
 
 @query(
     "highest_risk_segment", "rfm_segment:s avg_churn_prob:f",
-    "SELECT rfm_segment, avg(churn_prob) AS avg_churn_prob FROM fin GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1",
+    "SELECT rfm_segment, avgx(churn_prob) AS avg_churn_prob FROM fin GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1",
 )
 def _(t: Tables):
     return priority.highest_risk_segment(t.final)
@@ -296,9 +296,9 @@ def _(t: Tables):
 @query(
     "decision_matrix",
     "value_tier:s risk_tier:s customer_count:i avg_profit:f avg_churn_prob:f total_profit_at_risk:f avg_priority:f",
-    f"""SELECT v.value_tier, r.risk_tier, count(f.customer_id) AS customer_count, {even('avg(customer_profit)', 0)} AS avg_profit,
-          {even('avg(churn_prob)', 2)} AS avg_churn_prob, {even('coalesce(' + units('expected_retention_value') + ', 0)', 0)} AS total_profit_at_risk,
-          {even('avg(retention_priority_score)', 1)} AS avg_priority
+    f"""SELECT v.value_tier, r.risk_tier, count(f.customer_id) AS customer_count, {even('avgx(customer_profit)', 0)} AS avg_profit,
+          {even('avgx(churn_prob)', 2)} AS avg_churn_prob, {even('coalesce(' + units('expected_retention_value') + ', 0)', 0)} AS total_profit_at_risk,
+          {even('avgx(retention_priority_score)', 1)} AS avg_priority
         FROM (SELECT DISTINCT value_tier FROM fin WHERE value_tier IS NOT NULL) v
         CROSS JOIN (SELECT unnest(['Low Risk', 'Medium Risk', 'High Risk']) AS risk_tier) r
         LEFT JOIN fin f ON f.value_tier = v.value_tier AND f.risk_tier = r.risk_tier GROUP BY 1, 2""",
@@ -360,7 +360,7 @@ def _(t: Tables):
 
 @query(
     "segment_net_benefit", "rfm_segment:s avg_net_benefit:f3",
-    "SELECT rfm_segment, avg(expected_net_benefit) AS avg_net_benefit FROM fin GROUP BY 1",
+    "SELECT rfm_segment, avgx(expected_net_benefit) AS avg_net_benefit FROM fin GROUP BY 1",
 )
 def _(t: Tables):
     return priority.segment_net_benefit(t.final)
@@ -368,7 +368,7 @@ def _(t: Tables):
 
 @query(
     "segment_churn", "rfm_segment:s avg_churn_prob:f predicted_rate:f",
-    "SELECT rfm_segment, avg(churn_prob) AS avg_churn_prob, avg(churn_predicted) AS predicted_rate FROM fin GROUP BY 1",
+    "SELECT rfm_segment, avgx(churn_prob) AS avg_churn_prob, avg(churn_predicted) AS predicted_rate FROM fin GROUP BY 1",
 )
 def _(t: Tables):
     return priority.segment_churn(t.final)

@@ -46,6 +46,11 @@ def units(x: str, digits: int = 6) -> str:
     return f"(CAST(sum(CAST(round(({x}) * {scale!r}) AS HUGEINT)) AS DOUBLE) / {scale!r})"
 
 
+def mean(x: str) -> str:
+    """Average from an exact sum, so that rounding meets the same double."""
+    return f"({units(x)} / count({x}))"
+
+
 def trend(recent: str, prev: str) -> str:
     return (
         f"least(greatest(CASE WHEN {prev} > 0 THEN ({recent} - {prev}) / CAST({prev} AS DOUBLE) "
@@ -185,9 +190,10 @@ CTES["rfm"] = f"""
  FROM kept GROUP BY 1"""
 CTES["ord_tot"] = f"""
  SELECT customer_id, transaction_id, {cents('revenue')} AS order_value, sum(quantity) AS order_quantity,
-        min(order_date) AS order_date FROM kept GROUP BY 1, 2"""
+        min(order_date) AS order_date, sum(CAST(round(revenue * 100) AS BIGINT)) AS order_cents FROM kept GROUP BY 1, 2"""
 CTES["ord_stat"] = """
- SELECT customer_id, avg(order_value) AS avg_order_value, median(order_value) AS median_order_value,
+ SELECT customer_id, CAST(sum(order_cents) AS DOUBLE) / count(*) / 100.0 AS avg_order_value,
+        median(CAST(order_cents AS BIGINT)) / 100.0 AS median_order_value,
         coalesce(stddev_samp(order_value), 0) AS purchase_std, avg(order_quantity) AS avg_quantity
  FROM ord_tot GROUP BY 1"""
 CTES["cat_div"] = """
@@ -198,9 +204,9 @@ CTES["hhi"] = f"""
    SELECT customer_id, rev / sum(rev) OVER (PARTITION BY customer_id) AS share FROM (
      SELECT customer_id, product_category, {cents('revenue')} AS rev FROM kept GROUP BY 1, 2))
  GROUP BY 1"""
-CTES["disc_use"] = """
+CTES["disc_use"] = f"""
  SELECT customer_id, avg(CASE WHEN discount_pct > 0 THEN 1.0 ELSE 0.0 END) AS discount_usage_rate,
-        avg(discount_pct) AS avg_discount_pct FROM kept GROUP BY 1"""
+        {units('discount_pct', 8)} / count(*) AS avg_discount_pct FROM kept GROUP BY 1"""
 CTES["ret_rate"] = "SELECT customer_id, sum(is_return) / CAST(count(*) AS DOUBLE) AS return_rate FROM txn GROUP BY 1"
 CTES["gaps"] = """
  SELECT customer_id, coalesce(avg(gap), 0) AS interpurchase_time_avg,
@@ -215,7 +221,7 @@ CTES["behav"] = """
 def _window(condition: str, name: str) -> str:
     return f"""
  SELECT customer_id, {cents('revenue')} AS {name}_spend, count(DISTINCT transaction_id) AS {name}_orders,
-        avg(CAST(revenue AS DECIMAL(18,2))) AS {name}_aov FROM kept WHERE {condition} GROUP BY 1"""
+        CAST(sum(CAST(round(revenue * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100.0 AS {name}_aov FROM kept WHERE {condition} GROUP BY 1"""
 
 
 CTES["win_recent"] = _window(f"order_date >= {AS_OF} - INTERVAL 90 DAY", "recent")

@@ -104,7 +104,7 @@ def _(t: Tables):
 @query(
     "profit_summary", "total_revenue:f4 total_profit:f4 avg_margin:f unprofitable:i unprofitable_share:f",
     f"""SELECT {units('gross_revenue')} AS total_revenue, {units('customer_profit')} AS total_profit,
-              avg(profit_margin) AS avg_margin, count(*) FILTER (customer_profit < 0) AS unprofitable,
+              avgx(profit_margin) AS avg_margin, count(*) FILTER (customer_profit < 0) AS unprofitable,
               count(*) FILTER (customer_profit < 0) / CAST(count(*) AS DOUBLE) AS unprofitable_share FROM seg_prof""",
 )
 def _(t: Tables):
@@ -113,7 +113,7 @@ def _(t: Tables):
 
 @query(
     "segment_profit", "rfm_segment:s avg_profit:f3 avg_margin:f customers:i",
-    """SELECT rfm_segment, avg(customer_profit) AS avg_profit, avg(profit_margin) AS avg_margin, count(*) AS customers
+    """SELECT rfm_segment, avgx(customer_profit) AS avg_profit, avgx(profit_margin) AS avg_margin, count(*) AS customers
        FROM seg_prof GROUP BY 1""",
 )
 def _(t: Tables):
@@ -122,8 +122,8 @@ def _(t: Tables):
 
 @query(
     "value_tier_summary", "value_tier:s customers:i total_profit:f4 avg_profit:f3 avg_margin:f pct:f",
-    f"""SELECT value_tier, count(*) AS customers, {units('customer_profit')} AS total_profit, avg(customer_profit) AS avg_profit,
-              avg(profit_margin) AS avg_margin, count(*) * 100.0 / sum(count(*)) OVER () AS pct
+    f"""SELECT value_tier, count(*) AS customers, {units('customer_profit')} AS total_profit, avgx(customer_profit) AS avg_profit,
+              avgx(profit_margin) AS avg_margin, count(*) * 100.0 / sum(count(*)) OVER () AS pct
        FROM seg_prof WHERE value_tier IS NOT NULL GROUP BY 1""",
 )
 def _(t: Tables):

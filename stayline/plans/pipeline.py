@@ -10,6 +10,7 @@ from stayline.config import Settings
 from stayline.operators import (
     churn, clustering, exports, features, ingest, labels, priority, profitability, segmentation,
 )
+from stayline.session import tune
 from stayline.sources.store import save
 
 
@@ -70,6 +71,7 @@ class Pipeline:
     """Phases over a folder of stored tables."""
 
     def __init__(self, spark: SparkSession, cfg: Settings, folder: str):
+        tune(spark)
         self.spark, self.cfg, self.folder = spark, cfg, folder.rstrip("/")
 
     def load(self, name: str) -> DataFrame:

@@ -24,6 +24,14 @@ def local_session(app: str = "stayline", cores: str = "8", partitions: int = 8)
     return spark
 
 
+def tune(spark: SparkSession) -> None:
+    """Runtime re-planning, also for a skewed join whose partitioning a later
+    aggregate could have reused: splitting the hot key is worth the extra shuffle."""
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only on a single machine."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
