@@ -17,7 +17,7 @@ def col(c: Column | str) -> Column:
 
 def cents(amount: Column | str) -> Column:
     """Money as whole cents: sums are exact and do not depend on row order."""
-    return F.round(col(amount) * 100).cast("long")
+    return F.rint(col(amount) * 100).cast("long")
 
 
 def money(total_cents: Column | str) -> Column:
@@ -25,8 +25,8 @@ def money(total_cents: Column | str) -> Column:
 
 
 def exact(amount: Column | str, digits: int) -> Column:
-    """Fixed-point whole number for exact sums of amounts finer than a cent."""
-    return F.round(col(amount) * float(10**digits)).cast("decimal(20,0)")
+    """Fixed-point whole number of any size, for exact sums over summed-up rows."""
+    return F.rint(col(amount) * float(10**digits)).cast("decimal(28,0)")
 
 
 def inexact(total: Column | str, digits: int) -> Column:
@@ -34,8 +34,17 @@ def inexact(total: Column | str, digits: int) -> Column:
     return col(total).cast("double") / F.lit(float(10**digits))
 
 
+def line_total(amount: Column | str, digits: int) -> Column:
+    """Exact sum over single lines. Two sums of long halves stay in fast arithmetic
+    and cannot overflow for one key with a large share of all lines."""
+    units = F.rint(col(amount) * float(10**digits)).cast("long")
+    high = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
+    return inexact(high * F.lit(1 << 20) + low, digits)
+
+
 def total(amount: Column | str) -> Column:
-    """Order-independent sum of a double column, to six digits."""
+    """Order-independent sum of a money column of summed-up rows, to six digits."""
     return inexact(F.sum(exact(amount, 6)), 6)
 
 

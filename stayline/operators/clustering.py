@@ -53,14 +53,15 @@ def silhouette(clustered: DataFrame, columns: list[str], n: int, seed: int, labe
 
     def score(batches):
         points, onehot, names = shared.value
-        sizes = onehot.sum(axis=0)
+        sizes, norms = onehot.sum(axis=0), (points**2).sum(axis=1)
         for batch in batches:
             x, own = batch[columns].to_numpy(float), np.searchsorted(names, batch["label"])
             out = np.zeros(len(x))
             for at in range(0, len(x), 256):
                 block, mine = x[at:at + 256], own[at:at + 256]
                 rows = np.arange(len(block))
-                dist = np.sqrt(((block[:, None, :] - points[None, :, :]) ** 2).sum(axis=2))
+                squares = (block**2).sum(axis=1)[:, None] + norms[None, :] - 2 * block @ points.T
+                dist = np.sqrt(np.maximum(squares, 0.0))
                 total = dist @ onehot
                 inside = total[rows, mine] / np.maximum(sizes[mine] - 1, 1)
                 mean = total / sizes
@@ -72,7 +73,7 @@ def silhouette(clustered: DataFrame, columns: list[str], n: int, seed: int, labe
 
     if len(names) < 2:
         return sample.agg(F.lit(None).cast("double").alias("silhouette"))
-    return sample.mapInPandas(score, "s double").agg(F.avg("s").alias("silhouette"))
+    return sample.repartition(32).mapInPandas(score, "s double").agg(F.avg("s").alias("silhouette"))
 
 
 def sweep(data: DataFrame, cfg: Settings) -> tuple[list[dict], dict[int, KMeansModel]]:

@@ -148,8 +148,8 @@ def category_performance(txn: DataFrame) -> DataFrame:
     by = "product_super_category" if "product_super_category" in txn.columns else "product_category"
     sums = txn.groupBy(by).agg(
         F.sum("quantity").alias("total_items"),
-        S.inexact(F.sum(S.exact("revenue", 2)), 2).alias("total_revenue"),
-        (S.inexact(F.sum(S.exact("unit_price", 2)), 2) / F.count("unit_price")).alias("avg_price"),
+        S.line_total("revenue", 2).alias("total_revenue"),
+        (S.line_total("unit_price", 2) / F.count("unit_price")).alias("avg_price"),
         F.avg("is_return").alias("return_rate"),
     )
     orders = txn.select(by, "transaction_id").distinct().groupBy(by).agg(

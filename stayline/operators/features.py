@@ -34,7 +34,7 @@ def baskets(txn: DataFrame) -> DataFrame:
         aggs.append(F.sum(F.when(kept, F.col("quantity"))).alias("quantity"))
     if "discount_pct" in txn.columns:
         aggs.append(F.count_if(kept & (F.col("discount_pct") > 0)).alias("discounted"))
-        aggs.append(F.sum(F.when(kept, S.exact("discount_pct", 8))).alias("discount_sum"))
+        aggs.append(F.sum(F.when(kept, F.col("discount_pct"))).alias("discount_sum"))
     return txn.groupBy("customer_id", "transaction_id").agg(*aggs)
 
 
@@ -146,7 +146,7 @@ def _discounts(orders: DataFrame) -> DataFrame:
     lines = F.sum("kept_lines")
     return _kept(orders).groupBy("customer_id").agg(
         (F.sum("discounted") / lines).alias("discount_usage_rate"),
-        (S.inexact(F.sum("discount_sum"), 8) / lines).alias("avg_discount_pct"),
+        (F.sum("discount_sum") / lines).alias("avg_discount_pct"),
     )
 
 
@@ -204,8 +204,10 @@ def _behaviour(orders: DataFrame, txn: DataFrame) -> DataFrame:
 
 
 def purchase_behavior(txn: DataFrame) -> DataFrame:
-    """All behaviour features of customers with at least one kept line."""
-    txn = freeze(txn)
+    """All behaviour features of customers with at least one kept line.
+
+    txn should be a stored table: orders and categories are read from it apart.
+    """
     return _behaviour(freeze(baskets(txn)), txn)
 
 
@@ -249,8 +251,7 @@ def trend_features(txn: DataFrame, as_of, days: int = 90) -> DataFrame:
 # -- engagement ---------------------------------------------------------------
 
 
-def engagement_score(engagement: DataFrame, cfg: Settings) -> DataFrame:
-    """Weighted sum of counters, each relative to its greatest value, times 100."""
+def _scored(engagement: DataFrame, cfg: Settings) -> DataFrame:
     names = [c for c in cfg.engagement_weights if c in engagement.columns]
     tops = engagement.agg(F.struct(*[F.max(c).alias(c) for c in names])).scalar()
     score = F.lit(0.0)
@@ -258,7 +259,12 @@ def engagement_score(engagement: DataFrame, cfg: Settings) -> DataFrame:
         top = tops[name].cast("double")
         share = F.when(top > 0, F.col(name) / top).otherwise(0.0)
         score = score + share * cfg.engagement_weights[name] * 100
-    return engagement.select("customer_id", S.round_even(score, 2).alias("engagement_score"))
+    return engagement.withColumn("engagement_score", S.round_even(score, 2))
+
+
+def engagement_score(engagement: DataFrame, cfg: Settings) -> DataFrame:
+    """Weighted sum of counters, each relative to its greatest value, times 100."""
+    return _scored(engagement, cfg).select("customer_id", "engagement_score")
 
 
 # -- one row per customer -------------------------------------------------------
@@ -267,20 +273,22 @@ def engagement_score(engagement: DataFrame, cfg: Settings) -> DataFrame:
 def customer_features(
     people: DataFrame, txn: DataFrame, engagement: DataFrame, cfg: Settings, as_of=None
 ) -> DataFrame:
-    """The feature table. `as_of` below the split date gives leak-free features."""
+    """The feature table. `as_of` below the split date gives leak-free features.
+
+    The inputs should be stored tables; only the order grain is stored here.
+    """
     as_of = as_of or cfg.as_of
-    txn = freeze(txn)
     orders = freeze(baskets(txn))
     out = people.withColumn(
         "customer_tenure_days", F.datediff(F.lit(as_of), "signup_date")
     )
     raw = [c for c in ENGAGEMENT_COLUMNS + ["avg_review_score", "review_count"] if c in engagement.columns]
+    engaged = _scored(engagement, cfg).select("customer_id", "engagement_score", *raw)
     parts = [
         _rfm(orders, as_of),
         _behaviour(orders, txn),
         _trends(orders, as_of, cfg.trend_days),
-        engagement_score(engagement, cfg),
-        engagement.select("customer_id", *raw),
+        engaged,
     ]
     for part in parts:
         out = out.join(part, "customer_id", "left")

@@ -75,7 +75,9 @@ def customers_with_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def resolve_identity(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Replace the per-order customer id by the unique one."""
+    """Replace the per-order customer id by the unique one, if the two differ."""
+    if "customer_unique_id" not in customers.columns:
+        return orders
     ids = customers.select("customer_id", "customer_unique_id")
     return (
         orders.join(ids, "customer_id", "left")
@@ -89,6 +91,8 @@ def one_row_per_customer(customers: DataFrame) -> DataFrame:
 
     An aggregate, not a window: partial results are combined before the shuffle.
     """
+    if "customer_unique_id" not in customers.columns:
+        return customers
     rest = [c for c in customers.columns if c != "customer_unique_id"]
     return (
         customers.groupBy("customer_unique_id")
@@ -341,7 +345,7 @@ def dataset_summary(txn: DataFrame, people: DataFrame) -> DataFrame:
     totals = txn.agg(
         F.min("order_date").alias("first_date"),
         F.max("order_date").alias("last_date"),
-        F.sum(S.cents("revenue").cast("decimal(20,0)")).alias("cents"),
+        S.line_total("revenue", 2).alias("total_revenue"),
     )
     return totals.select(
         "first_date",
@@ -350,5 +354,5 @@ def dataset_summary(txn: DataFrame, people: DataFrame) -> DataFrame:
         n_distinct(txn, "product_id").alias("products"),
         n_distinct(txn, "product_category").alias("categories"),
         n_distinct(txn, "product_super_category").alias("super_categories"),
-        S.inexact("cents", 2).alias("total_revenue"),
+        "total_revenue",
     )

@@ -216,12 +216,12 @@ def monthly_totals(txn: DataFrame) -> DataFrame:
     """Revenue, customers and orders per month; customers are counted from grouped keys."""
     per_customer = txn.groupBy(S.year_month("order_date").alias("year_month"), "customer_id").agg(
         F.sum(S.cents("revenue")).alias("cents"),
-        F.sum(S.exact("cost_of_goods", 4)).alias("cost"),
+        S.line_total("cost_of_goods", 4).alias("cost"),
     )
     return per_customer.groupBy("year_month").agg(
         S.inexact(F.sum(F.col("cents").cast("decimal(20,0)")), 2).alias("revenue"),
         F.count("customer_id").alias("customers"),
-        S.inexact(F.sum("cost"), 4).alias("cost"),
+        total("cost").alias("cost"),
     ).withColumn("profit", F.col("revenue") - F.col("cost")).drop("cost")
 
 

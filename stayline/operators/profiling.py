@@ -141,7 +141,7 @@ def category_revenue(raw: dict, cfg, top: int | None = None) -> DataFrame:
     """Revenue per product category over all items, greatest first."""
     items = translate_category(raw["order_items"], raw, cfg)
     out = items.groupBy("product_category").agg(
-        S.inexact(F.sum(S.exact("price", 2)), 2).alias("revenue")
+        S.line_total("price", 2).alias("revenue")
     ).orderBy(F.desc("revenue"), "product_category")
     return out.limit(top) if top else out
 
@@ -155,7 +155,7 @@ def top_categories(raw: dict, cfg, n: int = 15) -> DataFrame:
     return (
         raw["order_items"].join(named, "product_id")
         .groupBy("product_category")
-        .agg(S.inexact(F.sum(S.exact("price", 2)), 2).alias("revenue"))
+        .agg(S.line_total("price", 2).alias("revenue"))
         .orderBy(F.desc("revenue"), "product_category").limit(n)
     )
 
@@ -164,5 +164,5 @@ def super_category_revenue(raw: dict, cfg) -> DataFrame:
     """Revenue per super-category, smallest first."""
     items = map_super_category(translate_category(raw["order_items"], raw, cfg), cfg)
     return items.groupBy("product_super_category").agg(
-        S.inexact(F.sum(S.exact("price", 2)), 2).alias("revenue")
+        S.line_total("price", 2).alias("revenue")
     ).orderBy("revenue")

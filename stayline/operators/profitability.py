@@ -22,17 +22,17 @@ PROFIT_COLUMNS = [
 def profit_components(txn: DataFrame) -> DataFrame:
     """Revenue, cost, returns and discounts per customer in one pass; returns included."""
     returned = F.col("is_return") == 1
-    freight = S.exact("freight_value", 4) if "freight_value" in txn.columns else F.lit(0)
+    freight = F.col("freight_value") if "freight_value" in txn.columns else F.lit(0.0)
     discount = F.col("revenue") * F.col("discount_pct") / 100
     return txn.groupBy("customer_id").agg(
         S.money(F.sum(S.cents("revenue"))).alias("gross_revenue"),
-        S.inexact(F.sum(S.exact("cost_of_goods", 4)), 4).alias("total_cogs"),
+        S.line_total("cost_of_goods", 4).alias("total_cogs"),
         F.sum("is_return").alias("total_returns"),
-        S.inexact(F.sum(freight), 4).alias("total_freight"),
+        S.line_total(freight, 4).alias("total_freight"),
         S.money(F.coalesce(F.sum(F.when(returned, S.cents("revenue"))), F.lit(0))).alias(
             "returned_revenue"
         ),
-        F.coalesce(S.inexact(F.sum(S.exact(discount, 6)), 6), F.lit(0.0)).alias("total_discount_cost"),
+        F.coalesce(S.line_total(discount, 6), F.lit(0.0)).alias("total_discount_cost"),
     ).withColumn(
         "net_revenue", S.money(S.cents("gross_revenue") - S.cents("returned_revenue"))
     )

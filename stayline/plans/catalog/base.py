@@ -45,6 +45,10 @@ class Tables:
         """Transactions, joined only with what the columns need."""
         return ingest.transactions(self.raw, self.cfg, list(columns) or None)
 
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return store(self.txn(), "transactions")
+
     @cached_property
     def orders(self) -> DataFrame:
         return ingest.resolve_identity(self.raw["orders"], self.raw["customers"])
@@ -54,13 +58,22 @@ class Tables:
         return ingest.customers(self.raw, self.cfg)
 
     @cached_property
-    def engagement(self) -> DataFrame:
+    def customers(self) -> DataFrame:
+        return store(self.people, "customers")
+
+    @cached_property
+    def counters(self) -> DataFrame:
         return fixtures.engagement(self.spark, self.sf_dir, self.people)
 
+    @cached_property
+    def engagement(self) -> DataFrame:
+        return store(self.counters, "engagement")
+
     @cached_property
     def features(self) -> DataFrame:
         return store(
-            features.customer_features(self.people, self.txn(), self.engagement, self.cfg), "features"
+            features.customer_features(self.customers, self.transactions, self.engagement, self.cfg),
+            "features",
         )
 
     @cached_property
@@ -70,7 +83,9 @@ class Tables:
     @cached_property
     def statement(self) -> DataFrame:
         return store(
-            profitability.customer_profitability(self.txn(), self.people, self.engagement, self.cfg),
+            profitability.customer_profitability(
+                self.transactions, self.customers, self.engagement, self.cfg
+            ),
             "statement",
         )
 
@@ -110,7 +125,7 @@ class Tables:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return exports.transactions_summary(self.txn())
+        return exports.transactions_summary(self.transactions)
 
 
 _TABLES: dict[tuple, Tables] = {}

@@ -84,13 +84,13 @@ BEHAVIOUR = (
 
 @query("purchase_behavior", BEHAVIOUR, "SELECT * FROM behav")
 def _(t: Tables):
-    return features.purchase_behavior(t.txn())
+    return features.purchase_behavior(t.transactions)
 
 
 @query("behaviour_assembly", BEHAVIOUR, "SELECT * FROM behav")
 def _(t: Tables):
     """The behaviour aggregates of stored orders, joined on the customer."""
-    return features.purchase_behavior(t.txn())
+    return features.purchase_behavior(t.transactions)
 
 
 @query(
@@ -132,7 +132,7 @@ def _(t: Tables):
 @query("feature_assembly", FEATURES, "SELECT * FROM feat")
 def _(t: Tables):
     """Left joins of all feature tables, missing numbers as 0."""
-    return features.customer_features(t.people, t.txn(), t.engagement, t.cfg)
+    return features.customer_features(t.customers, t.transactions, t.engagement, t.cfg)
 
 
 # -- scores and segments ---------------------------------------------------------

@@ -69,7 +69,7 @@ def _(t: Tables):
 
 @query(
     "table_inventory", "table_name:s n_rows:i n_columns:i null_columns:i",
-    """SELECT 'customers' AS table_name, count(*) AS n_rows, 6 AS n_columns, 0 AS null_columns FROM customer
+    """SELECT 'customers' AS table_name, count(*) AS n_rows, 5 AS n_columns, 0 AS null_columns FROM customer
        UNION ALL SELECT 'orders', count(*), 4, 0 FROM orders
        UNION ALL SELECT 'order_items', count(*), 5, 0 FROM lineitem
        UNION ALL SELECT 'payments', count(*), 4, 0 FROM lineitem
@@ -329,7 +329,7 @@ PAY_SUM = """
  SELECT order_id, sum(paid) / CAST(100 AS DOUBLE) AS total_payment, sum(inst) / CAST(sum(n) AS DOUBLE) AS payment_installments,
         min_by(payment_type, (-n, payment_type)) AS payment_type
  FROM (SELECT order_id, payment_type, count(*) AS n, sum(payment_installments) AS inst,
-              sum(CAST(round(payment_value * 100) AS BIGINT)) AS paid FROM pay GROUP BY 1, 2) GROUP BY 1"""
+              sum(CAST(round_even(payment_value * CAST(100 AS DOUBLE), 0) AS BIGINT)) AS paid FROM pay GROUP BY 1, 2) GROUP BY 1"""
 
 
 @query("payment_summary", "order_id:i total_payment:f payment_installments:f payment_type:s", PAY_SUM)

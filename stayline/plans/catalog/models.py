@@ -152,7 +152,7 @@ def _(t: Tables):
 @query("churn_leak_free", "model:s auc_roc:f")
 def _(t: Tables):
     """The logistic model on features as of the split date."""
-    data = churn.leak_free_features(t.people, t.txn(), t.engagement, t.cfg)
+    data = churn.leak_free_features(t.customers, t.transactions, t.engagement, t.cfg)
     return churn.train_and_score(data, t.labels, reduced(t), ["Logistic Regression"]).comparison
 
 

@@ -131,7 +131,7 @@ EXPORTS_SQL = """
 
 def _exported(t: Tables) -> DataFrame:
     folder = scratch(t.spark, "exports")
-    made = pipeline.export_tables(t.final, t.txn(), t.spark, t.cfg)
+    made = pipeline.export_tables(t.final, t.transactions, t.spark, t.cfg)
     pipeline.write_exports(made, folder)
     return pipeline.read_back(t.spark, list(made), folder)
 

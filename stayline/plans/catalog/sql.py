@@ -43,7 +43,7 @@ def cents(x: str) -> str:
 
 def units(x: str, digits: int = 6) -> str:
     scale = float(10**digits)
-    return f"(CAST(sum(CAST(round(({x}) * {scale!r}) AS HUGEINT)) AS DOUBLE) / {scale!r})"
+    return f"(CAST(sum(CAST(round_even(CAST(({x}) * {scale!r} AS DOUBLE), 0) AS HUGEINT)) AS DOUBLE) / {scale!r})"
 
 
 def mean(x: str) -> str:
@@ -147,8 +147,8 @@ CTES["disc"] = """
         CASE WHEN price_cents > paid_cents
              THEN least(greatest((price_cents - paid_cents) / CAST(price_cents AS DOUBLE) * 100, 0.0), 40.0)
              ELSE 0.0 END AS discount_pct
- FROM (SELECT order_id, sum(CAST(round(price * 100) AS BIGINT)) AS price_cents FROM items GROUP BY 1) i
- LEFT JOIN (SELECT order_id, sum(CAST(round(payment_value * 100) AS BIGINT)) AS paid_cents FROM pay GROUP BY 1) p
+ FROM (SELECT order_id, sum(CAST(round_even(price * CAST(100 AS DOUBLE), 0) AS BIGINT)) AS price_cents FROM items GROUP BY 1) i
+ LEFT JOIN (SELECT order_id, sum(CAST(round_even(payment_value * CAST(100 AS DOUBLE), 0) AS BIGINT)) AS paid_cents FROM pay GROUP BY 1) p
    ON i.order_id = p.order_id"""
 CTES["txn"] = """
  SELECT o.order_id AS transaction_id, o.customer_id, o.order_date, p.product_category,
@@ -190,7 +190,7 @@ CTES["rfm"] = f"""
  FROM kept GROUP BY 1"""
 CTES["ord_tot"] = f"""
  SELECT customer_id, transaction_id, {cents('revenue')} AS order_value, sum(quantity) AS order_quantity,
-        min(order_date) AS order_date, sum(CAST(round(revenue * 100) AS BIGINT)) AS order_cents FROM kept GROUP BY 1, 2"""
+        min(order_date) AS order_date, sum(CAST(round_even(revenue * CAST(100 AS DOUBLE), 0) AS BIGINT)) AS order_cents FROM kept GROUP BY 1, 2"""
 CTES["ord_stat"] = """
  SELECT customer_id, CAST(sum(order_cents) AS DOUBLE) / count(*) / 100.0 AS avg_order_value,
         median(CAST(order_cents AS BIGINT)) / 100.0 AS median_order_value,
@@ -206,7 +206,7 @@ CTES["hhi"] = f"""
  GROUP BY 1"""
 CTES["disc_use"] = f"""
  SELECT customer_id, avg(CASE WHEN discount_pct > 0 THEN 1.0 ELSE 0.0 END) AS discount_usage_rate,
-        {units('discount_pct', 8)} / count(*) AS avg_discount_pct FROM kept GROUP BY 1"""
+        avg(discount_pct) AS avg_discount_pct FROM kept GROUP BY 1"""
 CTES["ret_rate"] = "SELECT customer_id, sum(is_return) / CAST(count(*) AS DOUBLE) AS return_rate FROM txn GROUP BY 1"
 CTES["gaps"] = """
  SELECT customer_id, coalesce(avg(gap), 0) AS interpurchase_time_avg,
@@ -221,7 +221,7 @@ CTES["behav"] = """
 def _window(condition: str, name: str) -> str:
     return f"""
  SELECT customer_id, {cents('revenue')} AS {name}_spend, count(DISTINCT transaction_id) AS {name}_orders,
-        CAST(sum(CAST(round(revenue * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100.0 AS {name}_aov FROM kept WHERE {condition} GROUP BY 1"""
+        CAST(sum(CAST(round_even(revenue * CAST(100 AS DOUBLE), 0) AS BIGINT)) AS DOUBLE) / count(*) / 100.0 AS {name}_aov FROM kept WHERE {condition} GROUP BY 1"""
 
 
 CTES["win_recent"] = _window(f"order_date >= {AS_OF} - INTERVAL 90 DAY", "recent")
@@ -303,7 +303,7 @@ CTES["fin"] = f"""
 CTES["tsum"] = f"""
  SELECT customer_id, strftime(order_date, '%Y-%m') AS year_month, count(DISTINCT transaction_id) AS order_count,
         {even(cents('revenue'), 2)} AS total_revenue, sum(quantity) AS total_quantity,
-        {even('CAST(sum(CAST(round(revenue * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100.0', 2)} AS avg_order_value,
+        {even('CAST(sum(CAST(round_even(revenue * CAST(100 AS DOUBLE), 0) AS BIGINT)) AS DOUBLE) / count(*) / 100.0', 2)} AS avg_order_value,
         sum(is_return) AS return_count
  FROM txn GROUP BY 1, 2"""
 CTES["weight_sets"] = values([(k, *v) for k, v in WEIGHT_SETS.items()], "weights, w_value, w_risk, w_benefit")

@@ -56,7 +56,7 @@ STATEMENT = (
 
 @query("customer_profitability", STATEMENT, "SELECT * FROM prof")
 def _(t: Tables):
-    return profitability.customer_profitability(t.txn(), t.people, t.engagement, t.cfg)
+    return profitability.customer_profitability(t.transactions, t.customers, t.engagement, t.cfg)
 
 
 @query("profit_quartile", "customer_id:i profit_quartile:i", "SELECT * FROM prof")
@@ -79,7 +79,7 @@ def _(t: Tables):
 @query("profit_pipeline", STATEMENT + " rfm_segment:s monetary:f", "SELECT * FROM seg_prof")
 def _(t: Tables):
     """Profit statement and its join with the segmented customers."""
-    return profitability.add_profitability(t.segmented, t.txn(), t.people, t.engagement, t.cfg)
+    return profitability.add_profitability(t.segmented, t.transactions, t.customers, t.engagement, t.cfg)
 
 
 @query(

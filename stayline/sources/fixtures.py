@@ -74,7 +74,6 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.col("c_custkey").alias("customer_id"),
-            F.col("c_custkey").alias("customer_unique_id"),
             F.col("c_name").alias("customer_city"),
             F.col("n_name").alias("customer_state"),
             F.col("r_name").alias("region"),
@@ -94,9 +93,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers keyed by a per-order id, to exercise identity resolution."""
-    people = customers(spark, sf_dir).drop("customer_unique_id").withColumnRenamed(
-        "customer_id", "customer_unique_id"
-    )
+    people = customers(spark, sf_dir).withColumnRenamed("customer_id", "customer_unique_id")
     return (
         table(spark, sf_dir, "orders")
         .select(F.col("o_orderkey").alias("customer_id"), F.col("o_custkey").alias("customer_unique_id"))
