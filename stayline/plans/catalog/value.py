@@ -140,9 +140,10 @@ def _(t: Tables):
 
 
 PARETO = """
- SELECT customer_id, customer_profit, run AS cumulative_profit, run * 100 / tot AS cumulative_pct, rn * 100.0 / n AS customer_pct
- FROM (SELECT customer_id, customer_profit, sum(customer_profit) OVER w AS run, sum(customer_profit) OVER () AS tot,
-              row_number() OVER w AS rn, count(*) OVER () AS n FROM prof
+ SELECT customer_id, customer_profit, CAST(run AS DOUBLE) / 1e6 AS cumulative_profit, CAST(run AS DOUBLE) / CAST(tot AS DOUBLE) * 100 AS cumulative_pct, rn * 100.0 / n AS customer_pct
+ FROM (SELECT customer_id, customer_profit, sum(units) OVER w AS run, sum(units) OVER () AS tot,
+              row_number() OVER w AS rn, count(*) OVER () AS n
+       FROM (SELECT *, CAST(round_even(customer_profit * CAST(1000000 AS DOUBLE), 0) AS HUGEINT) AS units FROM prof)
        WINDOW w AS (ORDER BY customer_profit DESC, customer_id ROWS UNBOUNDED PRECEDING))"""
 
 

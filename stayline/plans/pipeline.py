@@ -57,7 +57,7 @@ def read_back(spark: SparkSession, names, folder: str) -> DataFrame:
     """Rows, columns and bytes of each written table."""
     out = None
     for name in names:
-        df = spark.read.csv(f"{folder}/{name}", header=True, multiLine=True, escape='"')
+        df = spark.read.csv(f"{folder}/{name}", header=True, escape='"')
         files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
         row = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_columns"),

@@ -70,12 +70,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(conf).exists(place)
 
 
-def read_csv(spark: SparkSession, path: str, columns: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, columns: str | None = None, free_text: bool = False) -> DataFrame:
     """A CSV file with a header; columns are matched by name and typed as asked.
 
-    Free text in quotes may hold line breaks, so files are read as multi-line.
+    Only free text can hold line breaks in quotes; other files stay splittable.
     """
-    df = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    df = spark.read.csv(path, header=True, multiLine=free_text, escape='"')
     if columns is None:
         return df
     wanted = T.StructType.fromDDL(columns).fields
@@ -98,7 +98,7 @@ def load_raw(spark: SparkSession, folder: str, fmt: str = "csv") -> dict:
                 raise FileNotFoundError(f"required table {name} is missing: {path}")
             out[name] = None
         elif fmt == "csv":
-            out[name] = read_csv(spark, path, RAW_SCHEMAS.get(name))
+            out[name] = read_csv(spark, path, RAW_SCHEMAS.get(name), free_text=name == "reviews")
         else:
             out[name] = spark.read.parquet(path)
     return out
