@@ -152,7 +152,9 @@ def pca_2d(df: DataFrame, cfg: Settings) -> tuple[DataFrame, list[float]]:
     draw = synth.uniform(cfg.seed, "pca", "customer_id")
     sample = freeze(sample_exact(data, "customer_id", cfg.cluster_sample, draw))
     means = sample.agg(F.struct(*[F.avg(c).alias(c) for c in CLUSTER_FEATURES])).scalar()
-    centred = sample.withColumns({c: F.col(c) - means[c] for c in CLUSTER_FEATURES})
+    centred = sample.withColumn("_means", means).withColumns(
+        {c: F.col(c) - F.col(f"_means.{c}") for c in CLUSTER_FEATURES}
+    )
     vectors = VectorAssembler(inputCols=CLUSTER_FEATURES, outputCol="features").transform(centred)
     model = PCA(k=2, inputCol="features", outputCol="pc").fit(vectors)
     pc = vector_to_array("pc")

@@ -20,8 +20,9 @@ from stayline.sources.store import scratch
 def linear_contributions(df: DataFrame, weights: dict[str, float]) -> DataFrame:
     """weight * (value - mean) per feature: the exact attribution of a linear score."""
     means = df.agg(F.struct(*[F.avg(c).alias(c) for c in weights])).scalar()
-    return df.select(
-        "customer_id", *[((F.col(c) - means[c]) * F.lit(float(w))).alias(c) for c, w in weights.items()]
+    return df.withColumn("_means", means).select(
+        "customer_id",
+        *[((F.col(c) - F.col(f"_means.{c}")) * F.lit(float(w))).alias(c) for c, w in weights.items()],
     )
 
 

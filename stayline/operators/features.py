@@ -45,17 +45,30 @@ def _kept(orders: DataFrame) -> DataFrame:
 # -- recency, frequency, monetary ------------------------------------------
 
 
-def _rfm(orders: DataFrame, as_of) -> DataFrame:
-    return _kept(orders).groupBy("customer_id").agg(
-        F.datediff(F.lit(as_of), F.max("last_date")).alias("recency_days"),
-        F.count(F.lit(1)).alias("frequency"),
-        S.money(F.sum("cents")).alias("monetary"),
+def _by_customer(orders: DataFrame, columns: dict) -> DataFrame:
+    """One grouping of all orders for any set of features; customers whose lines
+    were all returned are left out. Orders without kept lines add nulls and zeros."""
+    out = orders.groupBy("customer_id").agg(
+        _n_orders().alias("_orders"), *[c.alias(name) for name, c in columns.items()]
     )
+    return out.filter(F.col("_orders") > 0).drop("_orders")
+
+
+def _n_orders():
+    return F.count_if(F.col("kept_lines") > 0)
+
+
+def _rfm(as_of) -> dict:
+    return {
+        "recency_days": F.datediff(F.lit(as_of), F.max("last_date")),
+        "frequency": _n_orders(),
+        "monetary": S.money(F.sum("cents")),
+    }
 
 
 def rfm_metrics(txn: DataFrame, as_of) -> DataFrame:
     """Days since the last purchase, distinct orders and revenue, without returns."""
-    return _rfm(baskets(txn), as_of)
+    return _by_customer(baskets(txn), _rfm(as_of))
 
 
 # -- purchase behaviour ------------------------------------------------------
@@ -72,23 +85,23 @@ def _spread(c):
     return F.coalesce(F.stddev_samp(c), F.lit(0.0))
 
 
-def _order_stats(orders: DataFrame) -> DataFrame:
-    orders = _kept(orders)
-    middle = group_medians(orders, "customer_id", "cents", "transaction_id", "median_cents")
-    stats = orders.groupBy("customer_id").agg(
-        S.money(F.sum("cents") / F.count(F.lit(1))).alias("avg_order_value"),
-        _spread(S.money("cents")).alias("purchase_std"),
-        (F.sum("quantity") / F.count(F.lit(1))).alias("avg_quantity"),
-    )
-    return stats.join(middle, "customer_id", "left").select(
-        "customer_id", "avg_order_value", S.money("median_cents").alias("median_order_value"),
-        "purchase_std", "avg_quantity",
-    )
+def _order_stats() -> dict:
+    return {
+        "avg_order_value": S.money(F.try_divide(F.sum("cents"), _n_orders())),
+        "purchase_std": _spread(S.money("cents")),
+        "avg_quantity": F.try_divide(F.sum("quantity"), _n_orders()),
+    }
+
+
+def _medians(orders: DataFrame) -> DataFrame:
+    middle = group_medians(_kept(orders), "customer_id", "cents", "transaction_id", "median_cents")
+    return middle.select("customer_id", S.money("median_cents").alias("median_order_value"))
 
 
 def order_value_stats(txn: DataFrame) -> DataFrame:
     """Mean, median and spread of order values, mean order quantity."""
-    return _order_stats(freeze(baskets(txn)))
+    orders = freeze(baskets(txn))
+    return _by_customer(orders, _order_stats()).join(_medians(orders), "customer_id", "left")
 
 
 def _category_revenue(txn: DataFrame, by: str) -> DataFrame:
@@ -142,17 +155,21 @@ def _category_features(txn: DataFrame) -> DataFrame:
     return spend.filter(F.col("product_category").isNotNull()).groupBy("customer_id").agg(*aggs)
 
 
-def _discounts(orders: DataFrame) -> DataFrame:
+def _discounts() -> dict:
     lines = F.sum("kept_lines")
-    return _kept(orders).groupBy("customer_id").agg(
-        (F.sum("discounted") / lines).alias("discount_usage_rate"),
-        (F.sum("discount_sum") / lines).alias("avg_discount_pct"),
-    )
+    return {
+        "discount_usage_rate": F.try_divide(F.sum("discounted"), lines),
+        "avg_discount_pct": F.try_divide(F.sum("discount_sum"), lines),
+    }
+
+
+def _returns() -> dict:
+    return {"return_rate": F.sum("returned") / F.sum("lines")}
 
 
 def discount_usage(txn: DataFrame) -> DataFrame:
     """Share of lines with a discount and mean discount."""
-    return _discounts(baskets(txn))
+    return _by_customer(baskets(txn), _discounts())
 
 
 def return_rate(txn: DataFrame) -> DataFrame:
@@ -193,14 +210,9 @@ def interpurchase_time(txn: DataFrame) -> DataFrame:
     return _gaps(baskets(txn))
 
 
-def _behaviour(orders: DataFrame, txn: DataFrame) -> DataFrame:
-    orders_all = orders.groupBy("customer_id").agg(
-        (F.sum("returned") / F.sum("lines")).alias("return_rate")
-    )
-    out = _order_stats(orders)
-    for part in (_category_features(txn), _discounts(orders), orders_all, _gaps(orders)):
-        out = out.join(part, "customer_id", "left")
-    return out
+def _behaviour_parts(orders: DataFrame, txn: DataFrame) -> list[DataFrame]:
+    """Behaviour features that need another grain than the order."""
+    return [_medians(orders), _category_features(txn), _gaps(orders)]
 
 
 def purchase_behavior(txn: DataFrame) -> DataFrame:
@@ -208,44 +220,45 @@ def purchase_behavior(txn: DataFrame) -> DataFrame:
 
     txn should be a stored table: orders and categories are read from it apart.
     """
-    return _behaviour(freeze(baskets(txn)), txn)
+    orders = freeze(baskets(txn))
+    out = _by_customer(orders, {**_order_stats(), **_discounts(), **_returns()})
+    for part in _behaviour_parts(orders, txn):
+        out = out.join(part, "customer_id", "left")
+    return out
 
 
 # -- trends -------------------------------------------------------------------
 
 
-def _windows(orders: DataFrame, as_of, days: int) -> DataFrame:
+def _windows(as_of, days: int) -> dict:
     edge, start = F.date_sub(F.lit(as_of), days), F.date_sub(F.lit(as_of), 2 * days)
     d = F.col("order_date")
-    spans = {"recent": d >= edge, "prev": (d >= start) & (d < edge)}
-    aggs = []
-    for name, inside in spans.items():
+    out = {}
+    for name, inside in {"recent": d >= edge, "prev": (d >= start) & (d < edge)}.items():
         cents = F.coalesce(F.sum(F.when(inside, F.col("cents"))), F.lit(0))
         lines = F.sum(F.when(inside, F.col("kept_lines")))
-        aggs += [
-            S.money(cents).alias(f"{name}_spend"),
-            F.count_if(inside).alias(f"{name}_orders"),
-            F.coalesce(S.money(F.try_divide(cents.cast("double"), lines)), F.lit(0.0)).alias(f"{name}_aov"),
-        ]
-    return _kept(orders).groupBy("customer_id").agg(*aggs)
+        out[f"{name}_spend"] = S.money(cents)
+        out[f"{name}_orders"] = F.count_if(inside)
+        out[f"{name}_aov"] = F.coalesce(S.money(F.try_divide(cents.cast("double"), lines)), F.lit(0.0))
+    return out
 
 
 def trend_windows(txn: DataFrame, as_of, days: int = 90) -> DataFrame:
     """Spend, orders and mean line revenue of the last and the previous window."""
-    return _windows(baskets(txn), as_of, days)
+    return _by_customer(baskets(txn), _windows(as_of, days))
 
 
-def _trends(orders: DataFrame, as_of, days: int) -> DataFrame:
-    return _windows(orders, as_of, days).select(
-        "customer_id",
-        S.trend("recent_spend", "prev_spend").alias("spending_trend"),
-        S.trend("recent_orders", "prev_orders").alias("frequency_trend"),
-        S.trend("recent_aov", "prev_aov").alias("aov_trend"),
-    )
+TRENDS = {"spending_trend": "spend", "frequency_trend": "orders", "aov_trend": "aov"}
+
+
+def _trends(windows: DataFrame) -> DataFrame:
+    """Trend columns in place of the window columns."""
+    made = windows.withColumns({t: S.trend(f"recent_{c}", f"prev_{c}") for t, c in TRENDS.items()})
+    return made.drop(*[f"{w}_{c}" for w in ("recent", "prev") for c in TRENDS.values()])
 
 
 def trend_features(txn: DataFrame, as_of, days: int = 90) -> DataFrame:
-    return _trends(baskets(txn), as_of, days)
+    return _trends(trend_windows(txn, as_of, days))
 
 
 # -- engagement ---------------------------------------------------------------
@@ -256,10 +269,11 @@ def _scored(engagement: DataFrame, cfg: Settings) -> DataFrame:
     tops = engagement.agg(F.struct(*[F.max(c).alias(c) for c in names])).scalar()
     score = F.lit(0.0)
     for name in names:
-        top = tops[name].cast("double")
+        top = F.col(f"_tops.{name}").cast("double")
         share = F.when(top > 0, F.col(name) / top).otherwise(0.0)
         score = score + share * cfg.engagement_weights[name] * 100
-    return engagement.withColumn("engagement_score", S.round_even(score, 2))
+    scored = engagement.withColumn("_tops", tops).withColumn("engagement_score", S.round_even(score, 2))
+    return scored.drop("_tops")
 
 
 def engagement_score(engagement: DataFrame, cfg: Settings) -> DataFrame:
@@ -283,12 +297,13 @@ def customer_features(
         "customer_tenure_days", F.datediff(F.lit(as_of), "signup_date")
     )
     raw = [c for c in ENGAGEMENT_COLUMNS + ["avg_review_score", "review_count"] if c in engagement.columns]
-    engaged = _scored(engagement, cfg).select("customer_id", "engagement_score", *raw)
+    columns = {
+        **_rfm(as_of), **_order_stats(), **_discounts(), **_returns(), **_windows(as_of, cfg.trend_days)
+    }
     parts = [
-        _rfm(orders, as_of),
-        _behaviour(orders, txn),
-        _trends(orders, as_of, cfg.trend_days),
-        engaged,
+        _trends(_by_customer(orders, columns)),
+        *_behaviour_parts(orders, txn),
+        _scored(engagement, cfg).select("customer_id", "engagement_score", *raw),
     ]
     for part in parts:
         out = out.join(part, "customer_id", "left")

@@ -88,9 +88,8 @@ def standardise(df: DataFrame, columns: list[str]) -> DataFrame:
             *[F.stddev_pop(c).alias(f"{c}_s") for c in columns],
         )
     ).scalar()
-    return df.withColumns(
-        {
-            c: F.when(stats[f"{c}_s"] > 0, (F.col(c) - stats[f"{c}_m"]) / stats[f"{c}_s"]).otherwise(0.0)
-            for c in columns
-        }
-    )
+    mean, spread = (lambda c: F.col(f"_stats.{c}_m")), (lambda c: F.col(f"_stats.{c}_s"))
+    scaled = {
+        c: F.when(spread(c) > 0, (F.col(c) - mean(c)) / spread(c)).otherwise(0.0) for c in columns
+    }
+    return df.withColumn("_stats", stats).withColumns(scaled).drop("_stats")

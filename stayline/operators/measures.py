@@ -207,9 +207,8 @@ def segment_radar(df: DataFrame) -> DataFrame:
             *[F.min(a).alias(f"{a}_low") for a in axes], *[F.max(a).alias(f"{a}_high") for a in axes]
         )
     ).scalar()
-    return means.withColumns(
-        {a: S.scale_to_unit(a, span[f"{a}_low"], span[f"{a}_high"]) for a in axes}
-    )
+    scaled = {a: S.scale_to_unit(a, F.col(f"_span.{a}_low"), F.col(f"_span.{a}_high")) for a in axes}
+    return means.withColumn("_span", span).withColumns(scaled).drop("_span")
 
 
 def monthly_totals(txn: DataFrame) -> DataFrame:

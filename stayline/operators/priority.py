@@ -47,9 +47,10 @@ def normalised(df: DataFrame, columns: list[str] | None = None, suffix: str = "_
             *[F.max(c).alias(f"{c}_high") for c in columns],
         )
     ).scalar()
-    return df.withColumns(
-        {c + suffix: S.scale_to_unit(c, span[f"{c}_low"], span[f"{c}_high"]) for c in columns}
-    )
+    scaled = {
+        c + suffix: S.scale_to_unit(c, F.col(f"_span.{c}_low"), F.col(f"_span.{c}_high")) for c in columns
+    }
+    return df.withColumn("_span", span).withColumns(scaled).drop("_span")
 
 
 def weighted_score(weights: tuple):

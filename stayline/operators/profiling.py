@@ -111,7 +111,7 @@ def histogram(
         data = data.join(span, by)
     else:
         one = data.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-        data = data.withColumns({"lo": one["lo"], "hi": one["hi"]})
+        data = data.withColumn("_span", one).select("v", "_span.lo", "_span.hi")
     lo, hi = F.col("lo"), F.col("hi")
     lo, hi = F.when(lo == hi, lo - 0.5).otherwise(lo), F.when(lo == hi, hi + 0.5).otherwise(hi)
     width = (hi - lo) / bins

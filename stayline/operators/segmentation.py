@@ -29,10 +29,10 @@ def rfm_score(features: DataFrame) -> DataFrame:
 def equal_width_scores(df: DataFrame, column: str, name: str, bins: int = 5) -> DataFrame:
     """Equal-width bins of a column, for when quantile bins cannot be used."""
     span = df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
-    return df.withColumn(
-        name,
-        S.equal_width_bin(column, span["low"].cast("double"), span["high"].cast("double"), bins),
-    )
+    low, high = (F.col(f"_span.{edge}").cast("double") for edge in ("low", "high"))
+    return df.withColumn("_span", span).withColumn(
+        name, S.equal_width_bin(column, low, high, bins)
+    ).drop("_span")
 
 
 def share_of_total(grouped: DataFrame, column: str, name: str, scale: float = 100.0) -> DataFrame:
