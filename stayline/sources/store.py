@@ -49,25 +49,26 @@ RAW_SCHEMAS = {
 REQUIRED = ["customers", "orders", "order_items", "payments", "products", "category_translation"]
 OPTIONAL = ["reviews", "sellers", "geolocation"]
 
-# Raw table -> file name.
+# Raw table -> end of its file name; any prefix may stand before it.
 RAW_FILES = {
-    "customers": "olist_customers_dataset.csv",
-    "orders": "olist_orders_dataset.csv",
-    "order_items": "olist_order_items_dataset.csv",
-    "payments": "olist_order_payments_dataset.csv",
-    "products": "olist_products_dataset.csv",
-    "category_translation": "olist_product_category_name_translation.csv",
-    "reviews": "olist_order_reviews_dataset.csv",
-    "sellers": "olist_sellers_dataset.csv",
-    "geolocation": "olist_geolocation_dataset.csv",
+    "customers": "customers_dataset.csv",
+    "orders": "orders_dataset.csv",
+    "order_items": "order_items_dataset.csv",
+    "payments": "order_payments_dataset.csv",
+    "products": "products_dataset.csv",
+    "category_translation": "product_category_name_translation.csv",
+    "reviews": "order_reviews_dataset.csv",
+    "sellers": "sellers_dataset.csv",
+    "geolocation": "geolocation_dataset.csv",
 }
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, pattern: str) -> bool:
     jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
+    place = jvm.org.apache.hadoop.fs.Path(pattern)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return place.getFileSystem(conf).exists(place)
+    found = place.getFileSystem(conf).globStatus(place)
+    return found is not None and len(found) > 0
 
 
 def read_csv(spark: SparkSession, path: str, columns: str | None = None, free_text: bool = False) -> DataFrame:
@@ -87,12 +88,12 @@ def read_csv(spark: SparkSession, path: str, columns: str | None = None, free_te
 def load_raw(spark: SparkSession, folder: str, fmt: str = "csv") -> dict:
     """Required tables, and optional ones where their file is there.
 
-    CSV files have their published names; parquet tables are folders or files
-    named after the table.
+    CSV files are found by the end of their name; parquet tables are folders or
+    files named after the table.
     """
     out = {}
     for name in REQUIRED + OPTIONAL:
-        path = f"{folder}/{RAW_FILES[name]}" if fmt == "csv" else f"{folder}/{name}.parquet"
+        path = f"{folder}/*{RAW_FILES[name]}" if fmt == "csv" else f"{folder}/{name}.parquet"
         if not exists(spark, path):
             if name in REQUIRED:
                 raise FileNotFoundError(f"required table {name} is missing: {path}")

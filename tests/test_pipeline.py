@@ -51,7 +51,7 @@ def raw_folder(tmp_path_factory):
         "reviews": ("review_id order_id review_score review_comment_message", reviews),
     }
     for name, (header, rows) in tables.items():
-        write(folder / RAW_FILES[name], header.split(), rows)
+        write(folder / f"shop_{RAW_FILES[name]}", header.split(), rows)
     return str(folder)
 
 
