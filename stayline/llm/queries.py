@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stayline.llm import pieces, secret_scan, sharding, simhash  # noqa: F401
+from stayline.llm import html_text, pieces, secret_scan, sharding, simhash, toxicity  # noqa: F401
 from stayline.llm.registry import ORACLES, QUERIES
 
 
