@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stayline.llm import html_text, order_minhash, pieces, quality, secret_scan, sharding, simhash, toxicity  # noqa: F401
+from stayline.llm import hilbert_search, html_text, order_minhash, packing, pieces, quality, secret_scan, sharding, simhash, toxicity  # noqa: F401
 from stayline.llm.registry import ORACLES, QUERIES
 
 
