@@ -15,8 +15,10 @@ shuffle, and a lost executor's part is simply computed again.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +63,7 @@ class Segmenter:
                 self.words, self.size = {}, 0
             new = list({w for w in words if w not in self.words})
             for word, ids in zip(new, self.model.encode([w[1:] for w in new], num_threads=1)):
-                self.words[word] = got = pa.array(ids, pa.int32()).buffers()[1].to_pybytes()[: 4 * len(ids)]
+                self.words[word] = got = array("i", ids).tobytes()
                 self.size += len(word) + len(got)
             return b"".join([self.words[w] for w in words])
 
@@ -110,7 +112,7 @@ def round_trip(text: Column | str, model: str) -> Column:
         for batch in batches:
             parts = [segmenter.encode(x.as_py() or "") for x in batch]
             lists = _lists(parts)
-            decoded = pa.array([segmenter.decode(x.as_py()) for x in lists], pa.string())
+            decoded = pa.array([segmenter.decode(np.frombuffer(p, np.int32).tolist()) for p in parts], pa.string())
             yield pa.StructArray.from_arrays([lists, decoded], ["ids", "decoded"])
 
     return both(text)
