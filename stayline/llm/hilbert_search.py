@@ -149,7 +149,7 @@ def nearest(
     dealt = placed.select("point", "vec", F.inline(F.when(F.col("asks"), F.array(held, *put)).otherwise(F.array(held))))
 
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
-        held, put = rows[~rows["query"]], rows[rows["query"]]
+        held, put = (rows[rows["query"] == q].drop_duplicates("point") for q in (False, True))
         if not len(held) or not len(put):
             return pd.DataFrame({"query": [], "point": [], "score": []})
         x, ids = np.stack(held["vec"].to_numpy()).astype(np.float64), held["point"].to_numpy()
