@@ -3,7 +3,7 @@
 The standard library's streaming parser turns a page into lines, one for each block of
 text, with the number of tags met since the line before. Lines in menus, adverts, forms
 and the like (by element or by the words of class, id and role) are noise and count as
-empty. The text-to-tag ratios are smoothed with a Gaussian and clustered by a threshold:
+empty, as do lines that are mostly links. The text-to-tag ratios are smoothed with a Gaussian and clustered by a threshold:
 the midpoint of two means. Lines above it are content. From the body, the walk goes down
 as long as one container holds most of the content; that container is the region.
 
@@ -61,22 +61,24 @@ MOST = 0.8  # share of the content that one container must hold for the walk to
 
 
 class _Lines(HTMLParser):
-    """Turns events into lines: (text, tags before and in it, container, noise, heading)."""
+    """Turns events into lines: (text, tags before and in it, container, noise, heading,
+    characters in links)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
+        self.lines: list[tuple[str, int, int, bool, bool, int]] = []
         self.parents, self.kinds = [-1], ["body"]  # containers; 0 is the page
         self.open: list[tuple[str, int, bool, bool]] = []  # tag, container, noise, in article
         self.here, self.noise, self.article = 0, False, False
         self.text: list[str] = []
-        self.tags, self.heading = 0, False
+        self.tags, self.heading, self.link, self.linked = 0, False, False, 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, self.here, self.noise, self.heading))
+            self.lines.append((text, self.tags, self.here, self.noise, self.heading, self.linked))
             self.tags = 0
+        self.linked = 0
         self.text.clear()
 
     def restore(self) -> None:
@@ -106,6 +108,7 @@ class _Lines(HTMLParser):
                 self.restore()
         elif tag in SPACED_TAGS:
             self.text.append(" ")
+        self.link = tag == "a" or (self.link and not block)
         if tag in VOID_TAGS or tag in ("html", "body", "head"):
             return
         noise = self.marked(tag, attrs)
@@ -129,6 +132,7 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
+        self.link = self.link and tag != "a"
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
                 self.flush()
@@ -143,6 +147,8 @@ class _Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
+        if self.link:
+            self.linked += len(data.strip())
 
 
 def smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
@@ -172,15 +178,18 @@ def threshold(values: np.ndarray) -> float:
 def region_lines(page: _Lines, sigma: float = SIGMA) -> list[str]:
     """Texts of the lines that belong to the content regions, in page order."""
     lines = page.lines
-    if all(noise for _, _, _, noise, _ in lines):
+    if all(noise for _, _, _, noise, _, _ in lines):
         return []
-    ratios = np.array([0.0 if noise else len(text) / max(tags, 1) for text, tags, _, noise, _ in lines])
+    ratios = np.array([0.0 if noise else max(0, len(text) - linked) / max(tags, 1) for text, tags, _, noise, _, linked in lines])
     smooth = smoothed(ratios, sigma)
     noise = np.array([x[3] for x in lines])
-    smooth[noise] = 0.0
+    links = np.array([2 * x[5] > len(x[0]) for x in lines])
+    smooth[noise | links] = 0.0
     content = (smooth >= threshold(smooth)) & ~noise
+    if not content[~links].any() and (~links & ~noise).any():
+        content = ~links & ~noise
     weight = [0.0] * len(page.parents)  # content characters in and below each container
-    for (text, _, here, _, _), good in zip(lines, content):
+    for (text, _, here, _, _, _), good in zip(lines, content):
         if good:
             while here >= 0:
                 weight[here] += len(text)
@@ -211,7 +220,7 @@ def region_lines(page: _Lines, sigma: float = SIGMA) -> list[str]:
     while first and lines[first - 1][4] and not lines[first - 1][3]:
         first -= 1
     kept = []
-    for i, (text, _, here, is_noise, _) in enumerate(lines):
+    for i, (text, _, here, is_noise, _, _) in enumerate(lines):
         if is_noise or not inside[here]:
             continue
         if whole or (region and here == region):
