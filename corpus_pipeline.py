@@ -39,13 +39,13 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def cut_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret in their texts replaced by a mark; n_chars follows."""
-    found = secret_scan.scan(docs, "text")
-    clean = secret_scan.redact(F.col("text"), F.col("spans"))
+    found = secret_scan.scan(docs, "text", base_as="_base_spans", spans_as="_spans")
+    clean = secret_scan.redact(F.col("text"), F.col("_spans"))
     out = found.withColumn("text", clean)
     if "n_chars" in docs.columns:
-        changed = F.when(F.size("spans") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
+        changed = F.when(F.size("_spans") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
         out = out.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -172,17 +172,19 @@ def random_spans(text: Column, base: Column, least: list[float]) -> Column:
     return ranked(F.filter(found, lambda s: score(s["found"]) >= F.get(limit, stratum(s["found"]))), "random")
 
 
-def scan(df: DataFrame, text_col: str, rate: float = FALSE_DISCOVERIES) -> DataFrame:
+def scan(
+    df: DataFrame, text_col: str, rate: float = FALSE_DISCOVERIES, base_as: str = "base", spans_as: str = "spans"
+) -> DataFrame:
     """df with `base` and `spans`: array<struct<start, end, rank>> of the fixed patterns and
     of all secrets, by start, then kind (KINDS[rank]); code points, end exclusive.
 
     Null and empty texts have no spans; texts are scanned whole; repeated rows get equal
-    spans; an empty table stays empty. Columns of df called base or spans are replaced.
+    spans; an empty table stays empty. Columns of df with the names of the two are replaced.
     """
     least = thresholds(df, text_col, rate)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    out = df.withColumn("base", base_spans(text))
-    return out.withColumn("spans", in_order(F.concat("base", random_spans(text, F.col("base"), least))))
+    out = df.withColumn(base_as, base_spans(text))
+    return out.withColumn(spans_as, in_order(F.concat(base_as, random_spans(text, F.col(base_as), least))))
 
 
 def listed(spans: Column | str) -> Column:
