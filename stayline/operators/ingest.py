@@ -181,14 +181,14 @@ def payment_summary(payments: DataFrame) -> DataFrame:
     Counts per (order, type) come first, so the mode is a maximum over a few rows.
     """
     by_type = payments.groupBy("order_id", "payment_type").agg(
-        F.sum(S.cents("payment_value")).alias("paid"),
+        F.sum(S.exact("payment_value", 6)).alias("paid"),
         F.sum("payment_installments").alias("instalments"),
         F.count("payment_installments").alias("n_instalments"),
         F.count(F.lit(1)).alias("n"),
     )
     smallest = F.when(F.col("payment_type").isNotNull(), F.struct(-F.col("n"), "payment_type"))
     return by_type.groupBy("order_id").agg(
-        S.money(F.sum("paid")).alias("total_payment"),
+        S.inexact(F.sum("paid"), 6).alias("total_payment"),
         F.try_divide(F.sum("instalments"), F.sum("n_instalments")).alias("payment_installments"),
         F.coalesce(F.min(smallest)["payment_type"], F.lit("unknown")).alias("payment_type"),
     )
@@ -201,10 +201,10 @@ def join_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
 
 def order_discounts(items: DataFrame, payments: DataFrame, cfg: Settings) -> DataFrame:
     """Per order: how far payments stay below the item prices, in percent."""
-    priced = items.groupBy("order_id").agg(F.sum(S.cents("price")).alias("price_cents"))
-    paid = payments.groupBy("order_id").agg(F.sum(S.cents("payment_value")).alias("paid_cents"))
-    price, payment = F.col("price_cents"), F.col("paid_cents")
-    share = (price - payment) / price.cast("double") * 100
+    priced = items.groupBy("order_id").agg(F.sum(S.exact("price", 6)).alias("price_units"))
+    paid = payments.groupBy("order_id").agg(F.sum(S.exact("payment_value", 6)).alias("paid_units"))
+    price, payment = F.col("price_units"), F.col("paid_units")
+    share = (price - payment).cast("double") / price.cast("double") * 100
     return (
         priced.join(paid, "order_id", "left")
         .withColumn(

@@ -326,10 +326,10 @@ def _(t: Tables):
 
 
 PAY_SUM = """
- SELECT order_id, sum(paid) / CAST(100 AS DOUBLE) AS total_payment, sum(inst) / CAST(sum(n) AS DOUBLE) AS payment_installments,
+ SELECT order_id, CAST(sum(paid) AS DOUBLE) AS total_payment, sum(inst) / CAST(sum(n) AS DOUBLE) AS payment_installments,
         min_by(payment_type, (-n, payment_type)) AS payment_type
  FROM (SELECT order_id, payment_type, count(*) AS n, sum(payment_installments) AS inst,
-              sum(CAST(round_even(payment_value * CAST(100 AS DOUBLE), 0) AS BIGINT)) AS paid FROM pay GROUP BY 1, 2) GROUP BY 1"""
+              sum(CAST(payment_value AS DECIMAL(20, 6))) AS paid FROM pay GROUP BY 1, 2) GROUP BY 1"""
 
 
 @query("payment_summary", "order_id:i total_payment:f payment_installments:f payment_type:s", PAY_SUM)

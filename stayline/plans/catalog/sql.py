@@ -144,11 +144,11 @@ CTES["prod"] = """
  FROM part LEFT JOIN brand_map b ON p_brand = b.brand LEFT JOIN super_map s ON b.category = s.category"""
 CTES["disc"] = """
  SELECT i.order_id,
-        CASE WHEN price_cents > paid_cents
-             THEN least(greatest((price_cents - paid_cents) / CAST(price_cents AS DOUBLE) * 100, 0.0), 40.0)
+        CASE WHEN price > paid
+             THEN least(greatest(CAST(price - paid AS DOUBLE) / CAST(price AS DOUBLE) * 100, 0.0), 40.0)
              ELSE 0.0 END AS discount_pct
- FROM (SELECT order_id, sum(CAST(round_even(price * CAST(100 AS DOUBLE), 0) AS BIGINT)) AS price_cents FROM items GROUP BY 1) i
- LEFT JOIN (SELECT order_id, sum(CAST(round_even(payment_value * CAST(100 AS DOUBLE), 0) AS BIGINT)) AS paid_cents FROM pay GROUP BY 1) p
+ FROM (SELECT order_id, sum(CAST(price AS DECIMAL(20, 6))) AS price FROM items GROUP BY 1) i
+ LEFT JOIN (SELECT order_id, sum(CAST(payment_value AS DECIMAL(20, 6))) AS paid FROM pay GROUP BY 1) p
    ON i.order_id = p.order_id"""
 CTES["txn"] = """
  SELECT o.order_id AS transaction_id, o.customer_id, o.order_date, p.product_category,
