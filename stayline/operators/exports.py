@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.functions import scalars as S
-from stayline.operators.ingest import available
+from stayline.operators.ingest import available, of_customers
 from stayline.operators.priority import top_by_rank
 from stayline.functions.scalars import mean, total
 
@@ -50,7 +50,7 @@ def transactions_summary(txn: DataFrame) -> DataFrame:
 
     Lines are summed per order first, so counting orders needs no distinct.
     """
-    per_order = txn.groupBy(
+    per_order = of_customers(txn).groupBy(
         "customer_id", S.year_month("order_date").alias("year_month"), "transaction_id"
     ).agg(
         F.sum(S.cents("revenue")).alias("cents"),

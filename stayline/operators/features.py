@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stayline.config import Settings
 from stayline.functions import scalars as S
+from stayline.operators.ingest import of_customers
 from stayline.operators.ordering import group_medians
 from stayline.session import freeze
 
@@ -35,7 +36,7 @@ def baskets(txn: DataFrame) -> DataFrame:
     if "discount_pct" in txn.columns:
         aggs.append(F.count_if(kept & (F.col("discount_pct") > 0)).alias("discounted"))
         aggs.append(F.sum(F.when(kept, F.col("discount_pct"))).alias("discount_sum"))
-    return txn.groupBy("customer_id", "transaction_id").agg(*aggs)
+    return of_customers(txn).groupBy("customer_id", "transaction_id").agg(*aggs)
 
 
 def _kept(orders: DataFrame) -> DataFrame:
@@ -106,7 +107,7 @@ def order_value_stats(txn: DataFrame) -> DataFrame:
 
 def _category_revenue(txn: DataFrame, by: str) -> DataFrame:
     return (
-        txn.filter(F.col("is_return") == 0)
+        of_customers(txn).filter(F.col("is_return") == 0)
         .groupBy("customer_id", by)
         .agg(F.sum(S.cents("revenue")).alias("cents"))
     )
@@ -141,7 +142,7 @@ def _category_features(txn: DataFrame) -> DataFrame:
     has_super = "product_super_category" in txn.columns
     keys = ["product_category"] + (["product_super_category"] if has_super else [])
     spend = (
-        txn.filter(F.col("is_return") == 0)
+        of_customers(txn).filter(F.col("is_return") == 0)
         .groupBy("customer_id", *keys)
         .agg(F.sum(S.cents("revenue")).alias("cents"))
     )
@@ -174,7 +175,7 @@ def discount_usage(txn: DataFrame) -> DataFrame:
 
 def return_rate(txn: DataFrame) -> DataFrame:
     """Returned lines over all lines."""
-    return txn.groupBy("customer_id").agg(
+    return of_customers(txn).groupBy("customer_id").agg(
         (F.sum("is_return") / F.count(F.lit(1))).alias("return_rate")
     )
 

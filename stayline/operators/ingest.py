@@ -74,6 +74,12 @@ def customers_with_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
     return customers.join(orders.select("customer_id").distinct(), "customer_id", "left_semi")
 
 
+def of_customers(txn: DataFrame) -> DataFrame:
+    """Lines that belong to a customer. Orders whose customer is unknown count in
+    category and month totals, but they are no customer."""
+    return txn.filter(F.col("customer_id").isNotNull())
+
+
 def resolve_identity(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Replace the per-order customer id by the unique one, if the two differ."""
     if "customer_unique_id" not in customers.columns:
@@ -257,7 +263,7 @@ def transactions(raw: dict, cfg: Settings, columns: list[str] | None = None) ->
 def recent_activity(txn: DataFrame, cfg: Settings) -> DataFrame:
     """Orders, revenue and items per customer in the last days; returns included."""
     per_order = (
-        since(txn, cfg.as_of, cfg.recent_days)
+        of_customers(since(txn, cfg.as_of, cfg.recent_days))
         .groupBy("customer_id", "transaction_id")
         .agg(F.sum(S.cents("revenue")).alias("cents"), F.sum("quantity").alias("items"))
     )
@@ -330,7 +336,7 @@ def engagement(people: DataFrame, txn: DataFrame, raw: dict, cfg: Settings) -> D
 
 
 def distinct_customers(txn: DataFrame) -> DataFrame:
-    return txn.select("customer_id").distinct()
+    return of_customers(txn).select("customer_id").distinct()
 
 
 def dataset_summary(txn: DataFrame, people: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stayline.config import Settings
 from stayline.functions import scalars as S
 from stayline.functions import synth
+from stayline.operators.ingest import of_customers
 from stayline.operators.ordering import group_cut
 
 MODEL_FEATURES = [
@@ -23,7 +24,7 @@ MODEL_FEATURES = [
 def churn_labels(txn: DataFrame, split_date, as_of) -> DataFrame:
     """1 for customers who bought before the split and not in [split, as_of]."""
     day = F.col("order_date")
-    seen = txn.groupBy("customer_id").agg(
+    seen = of_customers(txn).groupBy("customer_id").agg(
         F.max(day < F.lit(split_date)).alias("before"),
         F.max((day >= F.lit(split_date)) & (day <= F.lit(as_of))).alias("after"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stayline.config import Settings
 from stayline.functions import scalars as S
 from stayline.functions.scalars import mean, total
+from stayline.operators.ingest import of_customers
 from stayline.operators.ordering import InOrder, quantile_buckets, quantiles
 from stayline.operators.segmentation import share_of_total
 from stayline.session import freeze
@@ -24,7 +25,7 @@ def profit_components(txn: DataFrame) -> DataFrame:
     returned = F.col("is_return") == 1
     freight = F.col("freight_value") if "freight_value" in txn.columns else F.lit(0.0)
     discount = F.col("revenue") * F.col("discount_pct") / 100
-    return txn.groupBy("customer_id").agg(
+    return of_customers(txn).groupBy("customer_id").agg(
         S.money(F.sum(S.cents("revenue"))).alias("gross_revenue"),
         S.line_total("cost_of_goods", 4).alias("total_cogs"),
         F.sum("is_return").alias("total_returns"),

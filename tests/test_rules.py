@@ -64,6 +64,36 @@ def test_returned_only_customer(spark):
     assert {r.customer_id: r.recency_days for r in worst.collect()} == {"a": 30, "b": 30}
 
 
+def test_orders_of_unknown_customers_make_no_customer(spark):
+    rows = [line(f"o{i}", c, f"2018-0{1 + i % 8}-01", revenue=10.0 * i) for i, c in enumerate("abcdab", start=1)]
+    known = txn(spark, *rows)
+    orphan = txn(spark, *rows, line("o9", None, "2018-08-03", revenue=500.0), line("o8", None, "2018-02-03"))
+    extra = {"cost_of_goods": F.lit(1.0), "freight_value": F.lit(2.0)}
+    for made in (
+        lambda df: features.rfm_metrics(df, AS_OF), features.purchase_behavior, features.return_rate, features.category_hhi,
+        lambda df: features.trend_features(df, AS_OF), lambda df: profitability.profit_components(df.withColumns(extra)),
+        exports.transactions_summary, ingest.distinct_customers, lambda df: ingest.recent_activity(df, CFG),
+        lambda df: labels.churn_labels(df, dt.date(2018, 5, 1), AS_OF),
+    ):
+        assert sorted(map(str, made(orphan).collect())) == sorted(map(str, made(known).collect()))
+    assert segmentation_sizes(orphan) == segmentation_sizes(known)
+
+
+def segmentation_sizes(df):
+    parts = profitability.profit_components(df.withColumns({"cost_of_goods": F.lit(1.0), "freight_value": F.lit(2.0)}))
+    profit = parts.withColumn("customer_profit", F.col("net_revenue"))
+    return sorted(map(str, profitability.profit_quartile(profit).select("customer_id", "profit_quartile").collect()))
+
+
+def test_payments_are_not_rounded_before_the_sum(spark):
+    pay = spark.createDataFrame([("o1", "card", 1, 0.004), ("o1", "card", 1, 0.004), ("o1", "slip", 2, 0.004)],
+                                "order_id string, payment_type string, payment_installments int, payment_value double")
+    assert ingest.payment_summary(pay).first()["total_payment"] == pytest.approx(0.012)
+    items = spark.createDataFrame([("o1", 0.02)], "order_id string, price double")
+    assert ingest.order_discounts(items, pay, CFG).first()["discount_pct"] == pytest.approx(40.0)
+    assert ingest.order_discounts(items.withColumn("price", F.lit(0.015)), pay, CFG).first()["discount_pct"] == pytest.approx(20.0)
+
+
 def test_hhi_without_revenue_is_null(spark):
     df = txn(spark, line("o1", "a", "2018-08-01", revenue=0.0))
     assert features.category_hhi(df).first().category_concentration is None
