@@ -195,8 +195,8 @@ class Settings:
     test_share: float = 0.20
     cluster_range: tuple = (3, 4, 5, 6, 7, 8)
     cluster_restarts: int = 10
-    cluster_sample: int = 10_000
-    shap_sample: int = 1_000
+    # Labelled rows a classifier is fitted on, at most; testing and scoring use all rows.
+    fit_rows: int = 200_000
     smote_neighbours: int = 5
     tree_depth: int = 8
     forest_trees: int = 200

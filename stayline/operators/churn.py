@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.config import Settings
+from stayline.functions import synth
 from stayline.functions.scalars import predicted_flag
 from stayline.operators import evaluation, features, labels
 from stayline.operators.oversampling import smote
@@ -65,10 +67,10 @@ def train_models(
         VectorAssembler(inputCols=columns, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
     ]
-    return {
-        name: Pipeline(stages=[*prepare, classifier(name, n_rows, cfg)]).fit(train)
-        for name in names or MODELS
-    }
+    names = names or MODELS
+    with ThreadPoolExecutor(len(names)) as pool:  # the models don't depend on one another
+        fitted = pool.map(lambda name: Pipeline(stages=[*prepare, classifier(name, n_rows, cfg)]).fit(train), names)
+        return dict(zip(names, fitted))
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -119,10 +121,17 @@ def prepared(customers: DataFrame, target: DataFrame, cfg: Settings) -> tuple[Da
     matrix = freeze(labels.feature_matrix(labels.labelled(customers, target)))
     columns = labels.model_columns(matrix)
     split = freeze(labels.stratified_split(matrix, cfg))
-    train = smote(split.filter("is_train").drop("is_train"), columns, cfg)
+    train = smote(bounded(split.filter("is_train").drop("is_train"), cfg), columns, cfg)
     return train, split.filter(~F.col("is_train")), columns
 
 
+def bounded(train: DataFrame, cfg: Settings) -> DataFrame:
+    """About fit_rows of the training rows, the same share of either label, by a hashed
+    draw of the customer; all of them where there are fewer. Only fitting sees the bound."""
+    share = cfg.fit_rows / max(1, train.count())
+    return train.filter(synth.uniform(cfg.seed, "fit", "customer_id") < min(1.0, share))
+
+
 def train_and_score(
     customers: DataFrame, target: DataFrame, cfg: Settings, names: list[str] | None = None
 ) -> Run:

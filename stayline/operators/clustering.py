@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -11,9 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.config import Settings
-from stayline.functions import synth
 from stayline.operators.labels import standardise
-from stayline.operators.ordering import sample_exact
 from stayline.session import freeze
 
 CLUSTER_FEATURES = ["recency_days", "frequency", "monetary", "engagement_score", "avg_order_value"]
@@ -30,50 +28,44 @@ def cluster_input(df: DataFrame) -> DataFrame:
 
 def fit_kmeans(data: DataFrame, k: int, cfg: Settings) -> KMeansModel:
     """The best of several seeded starts, by training cost."""
-    models = [
-        KMeans(k=k, seed=cfg.seed + i, maxIter=300, tol=1e-4).fit(data)
-        for i in range(cfg.cluster_restarts)
-    ]
+    fits = [KMeans(k=k, seed=cfg.seed + i, maxIter=300, tol=1e-4) for i in range(cfg.cluster_restarts)]
+    with ThreadPoolExecutor(4) as pool:  # the starts don't depend on one another
+        models = list(pool.map(lambda fit: fit.fit(data), fits))
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def silhouette(clustered: DataFrame, columns: list[str], n: int, seed: int, label: str = "prediction") -> DataFrame:
-    """Mean Euclidean silhouette of min(n, count) hashed sample rows.
+def silhouette(clustered: DataFrame, columns: list[str], label: str = "prediction") -> DataFrame:
+    """Mean silhouette over all rows, with squared Euclidean distances.
 
-    Every sample row is compared with the sample only; the sample has at most n
-    rows, which bounds what is sent to the tasks.
+    The mean squared distance of a row to a cluster needs only the cluster's size, sums
+    and sum of squares, so one pass learns these (a row for each cluster) and a second one
+    scores every row: linear, without pairs. A row alone in its cluster scores 0; with a
+    single cluster the result is null.
     """
-    spark = clustered.sparkSession
-    data = clustered.select("customer_id", *[F.col(c).cast("double").alias(c) for c in columns], F.col(label).cast("int").alias("label"))
-    sample = freeze(sample_exact(data, "customer_id", n, synth.uniform(seed, "silhouette", "customer_id")))
-    local = sample.toPandas()
-    points, groups = local[columns].to_numpy(float), local["label"].to_numpy()
-    names, member = np.unique(groups, return_inverse=True)
-    shared = spark.sparkContext.broadcast((points, np.eye(len(names))[member], names))
-
-    def score(batches):
-        points, onehot, names = shared.value
-        sizes, norms = onehot.sum(axis=0), (points**2).sum(axis=1)
-        for batch in batches:
-            x, own = batch[columns].to_numpy(float), np.searchsorted(names, batch["label"])
-            out = np.zeros(len(x))
-            for at in range(0, len(x), 256):
-                block, mine = x[at:at + 256], own[at:at + 256]
-                rows = np.arange(len(block))
-                squares = (block**2).sum(axis=1)[:, None] + norms[None, :] - 2 * block @ points.T
-                dist = np.sqrt(np.maximum(squares, 0.0))
-                total = dist @ onehot
-                inside = total[rows, mine] / np.maximum(sizes[mine] - 1, 1)
-                mean = total / sizes
-                mean[rows, mine] = np.inf
-                outside = mean.min(axis=1)
-                value = (outside - inside) / np.maximum(np.maximum(inside, outside), 1e-300)
-                out[at:at + 256] = np.where((sizes[mine] > 1) & np.isfinite(outside), value, 0.0)
-            yield pd.DataFrame({"s": out})
-
-    if len(names) < 2:
-        return sample.agg(F.lit(None).cast("double").alias("silhouette"))
-    return sample.repartition(32).mapInPandas(score, "s double").agg(F.avg("s").alias("silhouette"))
+    x = [F.col(c).cast("double") for c in columns]
+    data = clustered.select(*[c.alias(f"x{i}") for i, c in enumerate(x)], F.col(label).cast("int").alias("g"))
+    names = [f"x{i}" for i in range(len(columns))]
+    norm = sum((F.col(c) * F.col(c) for c in names), F.lit(0.0))
+    groups = data.groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(norm).alias("squares"), *[F.sum(c).alias(c) for c in names]
+    ).orderBy("g").collect()
+    if len(groups) < 2:
+        return clustered.sparkSession.createDataFrame([(None,)], "silhouette double")
+
+    def distance(r, n: int):
+        dot = sum((F.col(c) * F.lit(float(r[c])) for c in names), F.lit(0.0))
+        return F.greatest((F.lit(float(r["n"])) * norm - 2 * dot + F.lit(float(r["squares"]))) / F.lit(float(max(n, 1))), F.lit(0.0))
+
+    inside, alone = F.lit(None).cast("double"), F.lit(False)
+    others = []
+    for r in groups:
+        own = F.col("g") == r["g"]
+        inside = F.when(own, distance(r, r["n"] - 1)).otherwise(inside)
+        alone = F.when(own, F.lit(r["n"] == 1)).otherwise(alone)
+        others.append(F.when(~own, distance(r, r["n"])))
+    outside = F.least(*others)
+    value = F.when(alone, 0.0).otherwise(F.coalesce(F.try_divide(outside - inside, F.greatest(inside, outside)), F.lit(0.0)))
+    return data.agg(F.avg(value).alias("silhouette"))
 
 
 def sweep(data: DataFrame, cfg: Settings) -> tuple[list[dict], dict[int, KMeansModel]]:
@@ -81,9 +73,7 @@ def sweep(data: DataFrame, cfg: Settings) -> tuple[list[dict], dict[int, KMeansM
     rows, models = [], {}
     for k in cfg.cluster_range:
         models[k] = fit_kmeans(data, k, cfg)
-        value = silhouette(
-            models[k].transform(data), CLUSTER_FEATURES, cfg.cluster_sample, cfg.seed
-        ).first()["silhouette"]
+        value = silhouette(models[k].transform(data), CLUSTER_FEATURES).first()["silhouette"]
         rows.append({"k": k, "inertia": float(models[k].summary.trainingCost), "silhouette": value})
     return rows, models
 
@@ -146,15 +136,11 @@ def kmeans_segments(df: DataFrame, cfg: Settings) -> tuple[DataFrame, int]:
     return out.join(F.broadcast(names), "cluster", "left"), best
 
 
-def pca_2d(df: DataFrame, cfg: Settings) -> tuple[DataFrame, list[float]]:
-    """Two principal components of a sample, with their explained variance."""
-    data = cluster_input(df).select("customer_id", *CLUSTER_FEATURES)
-    draw = synth.uniform(cfg.seed, "pca", "customer_id")
-    sample = freeze(sample_exact(data, "customer_id", cfg.cluster_sample, draw))
-    means = sample.agg(F.struct(*[F.avg(c).alias(c) for c in CLUSTER_FEATURES])).scalar()
-    centred = sample.withColumn("_means", means).withColumns(
-        {c: F.col(c) - F.col(f"_means.{c}") for c in CLUSTER_FEATURES}
-    )
+def pca_2d(df: DataFrame) -> tuple[DataFrame, list[float]]:
+    """Two principal components of every customer, with their explained variance."""
+    data = freeze(cluster_input(df).select("customer_id", *CLUSTER_FEATURES))
+    means = data.agg(*[F.avg(c).alias(c) for c in CLUSTER_FEATURES]).first()
+    centred = data.withColumns({c: F.col(c) - F.lit(float(means[c] or 0.0)) for c in CLUSTER_FEATURES})
     vectors = VectorAssembler(inputCols=CLUSTER_FEATURES, outputCol="features").transform(centred)
     model = PCA(k=2, inputCol="features", outputCol="pc").fit(vectors)
     pc = vector_to_array("pc")

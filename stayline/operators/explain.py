@@ -10,10 +10,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.config import Settings
-from stayline.functions import synth
-from stayline.operators.ordering import sample_exact
-from stayline.session import freeze
 from stayline.sources.store import scratch
 
 
@@ -122,15 +118,13 @@ def tree_contributions(scaled: DataFrame, leaves: list[tuple], columns: list[str
     return scaled.mapInPandas(attribute, schema)
 
 
-def shap_contributions(model: PipelineModel, test: DataFrame, columns: list[str], cfg: Settings) -> DataFrame:
-    """Attributions of at most shap_sample test rows: closed form for the linear
-    model, tree Shapley values otherwise."""
+def shap_contributions(model: PipelineModel, test: DataFrame, columns: list[str]) -> DataFrame:
+    """Attributions of every test row: closed form for the linear model, tree Shapley
+    values otherwise. Rows are spread over tasks; each task walks the leaves once a batch."""
     from pyspark.ml.functions import vector_to_array
 
-    draw = synth.uniform(cfg.seed, "shap", "customer_id")
-    sample = freeze(sample_exact(test, "customer_id", cfg.shap_sample, draw))
     if model.stages[-1].__class__.__name__.startswith("Logistic"):
-        return linear_contributions(sample, linear_weights(model, columns))
-    scaled = PipelineModel(model.stages[:-1]).transform(sample)
-    rows = scaled.select("customer_id", vector_to_array("features").alias("features"))
+        return linear_contributions(test, linear_weights(model, columns))
+    scaled = PipelineModel(model.stages[:-1]).transform(test)
+    rows = scaled.select("customer_id", vector_to_array("features").alias("features")).repartition("customer_id")
     return tree_contributions(rows, tree_leaves(model, test.sparkSession), columns)

@@ -11,86 +11,68 @@ from stayline.functions import synth
 from stayline.operators.ordering import InOrder
 from stayline.session import freeze
 
-BLOCK_ROWS = 100_000
+def nearest_neighbours(points: DataFrame, columns: list[str], k: int) -> DataFrame:
+    """Exact k nearest other rows of each row: distances d and coordinates near, k rows
+    after one another.
 
-
-def nearest_neighbours(points: DataFrame, columns: list[str], k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Exact k nearest other rows of each row: distances d and coordinates near,
-    k rows after one another.
-
-    points needs customer_id and a 1-based position, and more than k rows. The rows
-    are compared with one block of at most block_rows rows at a time; each pass keeps
-    the k best so far, so no list of pairs is ever built or shuffled.
+    points needs customer_id and a 1-based position, and more than k rows. It is part of a
+    fitting sample, whose size Settings.fit_rows bounds: one broadcast copy is compared
+    with every row, in blocks, and no list of pairs is built or shuffled.
     """
-    spark = points.sparkSession
-    total, width = points.count(), len(columns)
+    spark, width = points.sparkSession, len(columns)
     key_type = dict(points.dtypes)["customer_id"]
     schema = f"customer_id {key_type}, position long, x array<double>, d array<double>, near array<double>"
-    state = points.select(
-        "customer_id", "position",
-        F.array(*[F.col(c).cast("double") for c in columns]).alias("x"),
-        F.array_repeat(F.lit(float("inf")), k).alias("d"),
-        F.array_repeat(F.lit(0.0), k * width).alias("near"),
-    )
-    for first in range(0, total, block_rows):
-        block = (
-            points.filter((F.col("position") > first) & (F.col("position") <= first + block_rows))
-            .select("position", *columns).toPandas()
-        )
-        shared = spark.sparkContext.broadcast(
-            (block["position"].to_numpy(), block[columns].to_numpy(float))
-        )
+    rows = points.select("customer_id", "position", F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
+    held = rows.select("position", "x").orderBy("position").toPandas()
+    shared = spark.sparkContext.broadcast((held["position"].to_numpy(), np.stack(held["x"])))
 
-        def merge(batches, shared=shared):
-            places, others = shared.value
-            squares, keep = (others**2).sum(axis=1), min(k, len(others))
-            step = max(1, 4_000_000 // len(others))
-            for batch in batches:
-                if not len(batch):
-                    continue
-                x, own = np.stack(batch["x"]), batch["position"].to_numpy()
-                best, near = np.stack(batch["d"]), np.stack(batch["near"]).reshape(-1, k, width)
-                for at in range(0, len(x), step):
-                    rows = slice(at, at + step)
-                    part = x[rows]
-                    dist = (part**2).sum(axis=1)[:, None] + squares[None, :] - 2 * part @ others.T
-                    same = own[rows][:, None] == places[None, :]
-                    dist[same] = np.inf
-                    found = np.argpartition(dist, keep - 1, axis=1)[:, :keep]
-                    found_x = others[found]
-                    found_d = ((part[:, None, :] - found_x) ** 2).sum(axis=2)
-                    found_d[np.take_along_axis(same, found, axis=1)] = np.inf
-                    both_d = np.concatenate([best[rows], found_d], axis=1)
-                    both_x = np.concatenate([near[rows], found_x], axis=1)
-                    order = np.argsort(both_d, axis=1, kind="stable")[:, :k]
-                    best[rows] = np.take_along_axis(both_d, order, axis=1)
-                    near[rows] = np.take_along_axis(both_x, order[:, :, None], axis=1)
-                yield batch.assign(d=list(best), near=list(near.reshape(len(x), -1)))
+    def search(batches):
+        places, others = shared.value
+        squares = (others**2).sum(axis=1)
+        step = max(1, 4_000_000 // len(others))
+        for batch in batches:
+            if not len(batch):
+                continue
+            x, own = np.stack(batch["x"]), batch["position"].to_numpy()
+            best, near = np.empty((len(x), k)), np.empty((len(x), k * width))
+            for at in range(0, len(x), step):
+                part = x[at:at + step]
+                dist = (part**2).sum(axis=1)[:, None] + squares[None, :] - 2 * part @ others.T
+                dist[own[at:at + step][:, None] == places[None, :]] = np.inf
+                found = np.argpartition(dist, k - 1, axis=1)[:, :k]
+                exact = ((part[:, None, :] - others[found]) ** 2).sum(axis=2)
+                order = np.lexsort((found, exact), axis=1)
+                best[at:at + step] = np.take_along_axis(exact, order, axis=1)
+                near[at:at + step] = others[np.take_along_axis(found, order, axis=1)].reshape(len(part), -1)
+            yield batch.assign(d=list(best), near=list(near))
 
-        state = state.mapInPandas(merge, schema)
-        if first + block_rows < total:
-            state = freeze(state)
-    return state
+    return rows.mapInPandas(search, schema)
 
 
-def smote(train: DataFrame, columns: list[str], cfg: Settings, label: str = "churn",
-          block_rows: int = BLOCK_ROWS) -> DataFrame:
+def smote(
+    train: DataFrame, columns: list[str], cfg: Settings, label: str = "churn", origin: bool = False
+) -> DataFrame:
     """Adds synthetic minority rows until both labels are equally frequent.
 
     Each new row lies between a minority row and one of its nearest minority
-    neighbours. Base rows take turns, so the numbers of rows match exactly.
+    neighbours. Base rows take turns, so the numbers of rows match exactly. With `origin`,
+    the arrays own and other hold the two parents of a synthetic row (null for others).
     """
+    def marked(df: DataFrame) -> DataFrame:
+        none = F.lit(None).cast("array<double>")
+        return df.withColumns({"own": none, "other": none}) if origin else df
+
     train = freeze(train.select("customer_id", label, *columns))
     sizes = {r[label]: r["count"] for r in train.groupBy(label).count().collect()}
     if len(sizes) < 2:
-        return train
+        return marked(train)
     minority = min(sizes, key=lambda value: (sizes[value], value))
     n, need = sizes[minority], max(sizes.values()) - sizes[minority]
     k = min(cfg.smote_neighbours, n - 1)
     if not need or k < 1:
-        return train
+        return marked(train)
     rows = InOrder(train.filter(F.col(label) == minority), "customer_id")
-    near = nearest_neighbours(rows.numbered(), columns, k, block_rows)
+    near = nearest_neighbours(rows.numbered(), columns, k)
     each, extra = divmod(need, n)
     copies = F.lit(each) + (F.col("position") <= extra).cast("int")
     copy = near.filter(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
@@ -105,6 +87,8 @@ def smote(train: DataFrame, columns: list[str], cfg: Settings, label: str = "chu
         own, other = F.get("x", F.lit(i)), F.get("near", F.col("pick") * len(columns) + i)
         return own + F.col("gap") * (other - own)
 
+    parents = [F.col("x").alias("own"), F.slice("near", F.col("pick") * len(columns) + 1, len(columns)).alias("other")]
+    parents = parents if origin else []
     synthetic = made.select("customer_id", F.lit(minority).cast(dict(train.dtypes)[label]).alias(label),
-                            *[between(i).alias(c) for i, c in enumerate(columns)])
-    return train.unionByName(synthetic)
+                            *[between(i).alias(c) for i, c in enumerate(columns)], *parents)
+    return marked(train).unionByName(synthetic)

@@ -140,7 +140,7 @@ def _(t: Tables):
     folder = scratch(t.spark, "phases")
     save(t.features, f"{folder}/customer_features")
     run = pipeline.Pipeline(t.spark, t.cfg, folder)
-    return run.segmentation(clusters=False).groupBy("rfm_segment").agg(
+    return run.segmentation().groupBy("rfm_segment").agg(
         F.count(F.lit(1)).alias("customers")
     )
 

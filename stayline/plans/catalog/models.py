@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from stayline.operators import churn, clustering, explain, labels, segmentation
+from stayline.operators import churn, clustering, explain, labels, oversampling, segmentation
 from stayline.plans.catalog.base import Tables, query
-from stayline.plans.catalog.sql import u
 from stayline.plans import pipeline
-from stayline.sources.store import save, scratch
-
-
-def reduced(t: Tables):
-    """Fewer trees, rounds and restarts than the defaults, over the same rows."""
-    return replace(
-        t.cfg, cluster_restarts=2, cluster_range=(3, 4, 5), forest_trees=20, forest_depth=8,
-        boosting_rounds=10, boosting_depth=4, max_iter=100,
-    )
+from stayline.sources.store import save, scratch, store
 
 
 def _segments(t: Tables):
     if not hasattr(t, "_clusters"):
-        df, k = clustering.kmeans_segments(t.segmented, reduced(t))
-        from stayline.sources.store import store
-
+        df, k = clustering.kmeans_segments(t.segmented, t.cfg)
         t._clusters = (store(df, "clusters"), k)
     return t._clusters
 
@@ -34,18 +21,15 @@ def _segments(t: Tables):
 def _run(t: Tables) -> churn.Run:
     """One training run of all four models, shared by the queries about it."""
     if not hasattr(t, "_run"):
-        t._run = churn.train_and_score(t.profitable, t.labels, reduced(t))
+        t._run = churn.train_and_score(t.profitable, t.labels, t.cfg)
     return t._run
 
 
 _Z = ", ".join(
     f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS z{i}" for i, c in enumerate(clustering.CLUSTER_FEATURES))
-_D = " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(len(clustering.CLUSTER_FEATURES)))
-
-
 @query("kmeans_sweep", "k:i inertia:f silhouette:f")
 def _(t: Tables):
-    return clustering.kmeans_sweep(t.segmented, reduced(t))
+    return clustering.kmeans_sweep(t.segmented, t.cfg)
 
 
 @query("kmeans_segments", "customer_id:i cluster:i kmeans_segment:s")
@@ -53,19 +37,26 @@ def _(t: Tables):
     return _segments(t)[0]
 
 
+_ROW = " + ".join(f"z{i} * z{i}" for i in range(len(clustering.CLUSTER_FEATURES)))
+_SUMS = ", ".join(f"sum(z{i}) AS s{i}" for i in range(len(clustering.CLUSTER_FEATURES)))
+_DOT = " + ".join(f"z{i} * s{i}" for i in range(len(clustering.CLUSTER_FEATURES)))
+
+
 @query(
     "silhouette", "silhouette:f4",
-    f"""WITH x AS (SELECT customer_id, r_score AS g, {_Z} FROM rfm_scored), s AS (SELECT * FROM x ORDER BY {u('silhouette', 'customer_id')}, customer_id LIMIT 10000),
-       m AS (SELECT a.customer_id, a.g, b.g AS h, sum(sqrt({_D})) AS total, count(*) AS n FROM s a JOIN s b ON true GROUP BY 1, 2, 3),
-       i AS (SELECT customer_id, max(CASE WHEN g = h THEN total / (n - 1) END) AS inside, min(CASE WHEN g <> h THEN total / n END) AS outside FROM m GROUP BY 1)
+    f"""WITH x AS (SELECT customer_id, r_score AS g, {_Z} FROM rfm_scored),
+       c AS (SELECT g AS h, count(*) AS n, {_SUMS}, sum({_ROW}) AS q FROM x GROUP BY 1),
+       d AS (SELECT customer_id, g, h, n, n * ({_ROW}) - 2 * ({_DOT}) + q AS total FROM x, c),
+       i AS (SELECT customer_id, max(CASE WHEN g = h THEN total / (n - 1) END) AS inside, min(CASE WHEN g <> h THEN total / n END) AS outside FROM d GROUP BY 1)
        SELECT avg((outside - inside) / greatest(inside, outside)) AS silhouette FROM i""",
 )
 def _(t: Tables):
-    """Silhouette of the rule-based segments over the cluster features."""
+    """Silhouette of the rule-based segments over the cluster features, all customers,
+    squared distances."""
     scaled = labels.standardise(
         t.segmented.select("customer_id", "r_score", *[F.col(c).cast("double").alias(c) for c in clustering.CLUSTER_FEATURES]),
         clustering.CLUSTER_FEATURES)
-    return clustering.silhouette(scaled, clustering.CLUSTER_FEATURES, t.cfg.cluster_sample, t.cfg.seed, "r_score")
+    return clustering.silhouette(scaled, clustering.CLUSTER_FEATURES, "r_score")
 
 
 @query("cluster_profile", "cluster:i customers:i " + " ".join(f"{c}:f4" for c in clustering.CLUSTER_FEATURES))
@@ -98,9 +89,28 @@ def _(t: Tables):
     return clustering.cluster_names(clustering.cluster_profile(groups))
 
 
-@query("pca_2d", "customer_id:i pc1:f pc2:f")
+@query("pca_2d", "customer_id:i pc1:f pc2:f explained1:f explained2:f")
 def _(t: Tables):
-    return clustering.pca_2d(t.segmented, t.cfg)[0]
+    """Both components of every customer, with their explained variance."""
+    points, explained = clustering.pca_2d(t.segmented)
+    return points.withColumns({f"explained{i + 1}": F.lit(v) for i, v in enumerate(explained)})
+
+
+@query(
+    "pca_moments", "customers:i mean1:f mean2:f spread1:f spread2:f mixed:f",
+    """SELECT count(*) AS customers, 0 AS mean1, 0 AS mean2, 1 AS spread1, 1 AS spread2, 0 AS mixed FROM rfm_scored""",
+)
+def _(t: Tables):
+    """What must hold of principal components of all customers: means 0, variances in the
+    ratio of the explained ones (so 1 after division), no correlation."""
+    points, explained = clustering.pca_2d(t.segmented)
+    total = 5.0  # five standardised features
+    n = F.count(F.lit(1))
+    return points.agg(
+        n.alias("customers"), F.avg("pc1").alias("mean1"), F.avg("pc2").alias("mean2"),
+        (F.var_pop("pc1") / (explained[0] * total)).alias("spread1"),
+        (F.var_pop("pc2") / (explained[1] * total)).alias("spread2"), F.covar_pop("pc1", "pc2").alias("mixed"),
+    )
 
 
 @query("segmentation_pipeline", "rfm_segment:s kmeans_segment:s customers:i")
@@ -110,13 +120,22 @@ def _(t: Tables):
 
 
 @query(
-    "smote", "churn:i n:i",
-    """SELECT c AS churn, (SELECT max(n) FROM (SELECT floor(0.8 * count(*) + 0.5) AS n FROM lab GROUP BY churn)) AS n FROM range(0, 2) r(c)""",
+    "smote", "churn:i n:i outside:i",
+    """SELECT c AS churn, (SELECT max(n) FROM (SELECT floor(0.8 * count(*) + 0.5) AS n FROM lab GROUP BY churn)) AS n, 0 AS outside FROM range(0, 2) r(c)""",
 )
 def _(t: Tables):
-    """Class sizes of the training rows after oversampling: equal."""
-    train, _, _ = churn.prepared(t.profitable, t.labels, t.cfg)
-    return train.groupBy("churn").agg(F.count(F.lit(1)).alias("n"))
+    """Class sizes of the training rows after oversampling: equal; and how many synthetic
+    rows are not between their two parents: none."""
+    matrix = labels.feature_matrix(labels.labelled(t.profitable, t.labels))
+    columns = labels.model_columns(matrix)
+    split = labels.stratified_split(matrix, t.cfg).filter("is_train").drop("is_train")
+    train = oversampling.smote(churn.bounded(split, t.cfg), columns, t.cfg, origin=True)
+    out = F.lit(False)
+    for i, c in enumerate(columns):
+        own, other = F.get("own", F.lit(i)), F.get("other", F.lit(i))
+        slack = 1e-9 * F.greatest(F.abs(own), F.abs(other), F.lit(1.0))
+        out = out | (F.col(c) < F.least(own, other) - slack) | (F.col(c) > F.greatest(own, other) + slack)
+    return train.groupBy("churn").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("own").isNotNull() & out).alias("outside"))
 
 
 _METRICS = "model:s accuracy:f prec:f recall:f f1:f auc_roc:f average_precision:f"
@@ -166,9 +185,9 @@ def _(t: Tables):
 
 @query("churn_leak_free", "model:s auc_roc:f")
 def _(t: Tables):
-    """The logistic model on features as of the split date."""
+    """All models on features as of the split date."""
     data = churn.leak_free_features(t.customers, t.transactions, t.engagement, t.cfg)
-    return churn.train_and_score(data, t.labels, reduced(t), ["Logistic Regression"]).comparison
+    return churn.train_and_score(data, t.labels, t.cfg).comparison
 
 
 @query("feature_importance", "model:s feature:s importance:f")
@@ -183,12 +202,25 @@ def _(t: Tables):
     return churn.feature_importance(run.models, run.columns, top=15)
 
 
+def _attributions(t: Tables):
+    """Attributions of the best model for all test rows, computed once."""
+    if not hasattr(t, "_shap"):
+        run = _run(t)
+        t._shap = store(explain.shap_contributions(run.best, run.test, run.columns), "attributions")
+    return t._shap
+
+
 @query("shap_contributions", "feature:s mean_abs:f")
 def _(t: Tables):
-    """Mean absolute tree attribution of the forest over a sample of test rows."""
-    run = _run(t)
-    parts = explain.shap_contributions(run.models["Random Forest"], run.test, run.columns, t.cfg)
-    return explain.mean_size(parts, run.columns)
+    """Mean absolute attribution of the best model over all test rows, all features."""
+    columns = _run(t).columns
+    return explain.mean_size(_attributions(t), columns, len(columns))
+
+
+@query("shap_rows", "customer_id:i feature:s attribution:f")
+def _(t: Tables):
+    """Attribution of every feature for every test row."""
+    return _attributions(t).unpivot(["customer_id"], _run(t).columns, "feature", "attribution")
 
 
 _LINEAR = {"recency_days": 0.01, "frequency": -0.2, "monetary": -0.000001, "engagement_score": -0.05, "return_rate": 1.5}
@@ -227,6 +259,6 @@ def _(t: Tables):
 @query("full_pipeline", "recommended_action:s customers:i")
 def _(t: Tables):
     """All phases from raw tables to actions, in a folder of their own."""
-    run = pipeline.Pipeline(t.spark, reduced(t), scratch(t.spark, "pipeline"))
-    final = run.run(t.raw, models=["Logistic Regression"])
+    run = pipeline.Pipeline(t.spark, t.cfg, scratch(t.spark, "pipeline"))
+    final = run.run(t.raw)
     return final.groupBy("recommended_action").agg(F.count(F.lit(1)).alias("customers"))

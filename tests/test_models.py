@@ -28,16 +28,15 @@ def people(n=400, seed=5):
     })
 
 
-def test_neighbours_in_blocks_equal_brute_force(spark):
+def test_neighbours_equal_brute_force(spark):
     pdf = people(90).drop(columns="churn")
     df = spark.createDataFrame(pdf).withColumn("position", F.col("customer_id") + 1)
     x = pdf[COLUMNS].to_numpy()
     dist = ((x[:, None] - x[None]) ** 2).sum(axis=2)
     np.fill_diagonal(dist, np.inf)
     want = np.sort(dist, axis=1)[:, :5]
-    for block_rows in (1000, 17):
-        got = oversampling.nearest_neighbours(df, COLUMNS, 5, block_rows).orderBy("position").toPandas()
-        assert np.allclose(np.stack(got.d), want)
+    got = oversampling.nearest_neighbours(df.repartition(7), COLUMNS, 5).orderBy("position").toPandas()
+    assert np.allclose(np.stack(got.d), want)
 
 
 def test_smote_balances_and_stays_between(spark):
@@ -67,14 +66,33 @@ def test_silhouette_equals_brute_force(spark):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame({"customer_id": range(60), "a": rng.normal(size=60), "b": rng.normal(size=60), "prediction": rng.integers(0, 3, 60)})
     x, g = pdf[["a", "b"]].to_numpy(), pdf.prediction.to_numpy()
-    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    dist = ((x[:, None] - x[None]) ** 2).sum(axis=2)
     s = []
     for i in range(60):
         own = dist[i][(g == g[i]) & (np.arange(60) != i)].mean()
         other = min(dist[i][g == k].mean() for k in set(g) - {g[i]})
         s.append((other - own) / max(own, other))
-    got = clustering.silhouette(spark.createDataFrame(pdf), ["a", "b"], 1000, 1).first()[0]
+    got = clustering.silhouette(spark.createDataFrame(pdf), ["a", "b"]).first()[0]
     assert got == pytest.approx(np.mean(s))
+    one = pdf.assign(prediction=1)
+    assert clustering.silhouette(spark.createDataFrame(one), ["a", "b"]).first()[0] is None
+
+
+def test_fit_sample_is_bounded(spark):
+    train = spark.createDataFrame(people(2000))
+    got = churn.bounded(train, replace(CFG, fit_rows=500))
+    assert 400 < got.count() < 600
+    assert churn.bounded(train, CFG).count() == 2000
+    share = got.filter("churn = 1").count() / got.count()
+    assert share == pytest.approx(train.filter("churn = 1").count() / 2000, abs=0.06)
+
+
+def test_smote_parents(spark):
+    got = oversampling.smote(spark.createDataFrame(people()), COLUMNS, CFG, origin=True).toPandas()
+    made = got[got.own.notna()]
+    assert len(made) and (made.churn == 0).all()
+    own, other, x = np.stack(made.own), np.stack(made.other), made[COLUMNS].to_numpy()
+    assert ((x >= np.minimum(own, other) - 1e-9) & (x <= np.maximum(own, other) + 1e-9)).all()
 
 
 def test_cluster_names_get_suffix_on_repeat(spark):
@@ -128,7 +146,7 @@ def test_tree_attributions_equal_definition(spark, models, name):
     fitted, test = models
     model = fitted[name]
     leaves = explain.tree_leaves(model, spark)
-    got = explain.shap_contributions(model, test, COLUMNS, CFG).toPandas().set_index("customer_id").sort_index()
+    got = explain.shap_contributions(model, test, COLUMNS).toPandas().set_index("customer_id").sort_index()
     scaled = PipelineModel(model.stages[:-1]).transform(test).select(
         "customer_id", vector_to_array("features").alias("x")).toPandas().set_index("customer_id").sort_index()
     probs = churn.score(model, test).select("customer_id", "churn_prob").toPandas().set_index("customer_id").sort_index().churn_prob
@@ -141,6 +159,6 @@ def test_tree_attributions_equal_definition(spark, models, name):
 
 def test_linear_attributions_sum_to_score(spark, models):
     fitted, test = models
-    got = explain.shap_contributions(fitted["Logistic Regression"], test, COLUMNS, CFG).toPandas()
+    got = explain.shap_contributions(fitted["Logistic Regression"], test, COLUMNS).toPandas()
     assert np.allclose(got[COLUMNS].sum(), 0, atol=1e-6)
     assert explain.mean_size(spark.createDataFrame(got), COLUMNS).count() == 3
