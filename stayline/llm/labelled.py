@@ -26,6 +26,11 @@ def sample(
     key = F.col(f"`{id_col}`")
     drawn = labels.select(key.alias("id"), F.col(label).cast("int").alias("label"), F.xxhash64(F.lit(seed), key).alias("draw"))
     drawn = drawn.filter(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out("id"))
+    sizes = {r["label"]: r["count"] for r in drawn.groupBy("label").count().collect()}
+    for value, n in sizes.items():  # so few that one task can order them, and more than are needed
+        share = 2 * per_class / n
+        if share < 1:
+            drawn = drawn.filter((F.col("label") != value) | (F.col("draw") < int(share * 2**64) - 2**63))
     place = F.row_number().over(Window.partitionBy("label").orderBy("draw", "id"))
     drawn = drawn.withColumn("place", place).filter(F.col("place") <= per_class).drop("place")
     texts = docs.select(key.alias("id"), F.col(f"`{text_col}`").alias("text")).filter(F.col("text").isNotNull())

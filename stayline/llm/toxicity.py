@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +34,39 @@ PADDING = 10  # words with a zero embedding that every text is averaged with
 LEAST_DOCS = 10  # n-grams of fewer documents of the sample keep the zero embedding
 THRESHOLD = 0.5
 TABLE_WORDS = 300_000
+BLOCK = 256  # texts whose new words are looked up at once
 _EDGES = ".,;:!?*$%&#|\"'()[]{}<>«»…-_=~`"
 
 
-def grams(word: str) -> list[int]:
-    """Buckets of a word's n-grams and of the whole word."""
-    marked = f"<{word}>"
-    parts = {marked} | {marked[i : i + n] for n in SIZES for i in range(len(marked) - n + 1)}
-    return sorted({crc32(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in parts})
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of all words, each marked at both ends, and of the whole
+    words; beside them the number of the word."""
+    if not words:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(w) + 2 for w in words])
+    word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+    starts = np.cumsum(sizes) - sizes
+    place = (np.arange(len(codes)) - np.repeat(starts, sizes)).astype(np.uint64)
+    whole = np.add.reduceat(_mix(codes + (place << np.uint64(32))), starts)
+    buckets, of = [_mix(whole)], [np.arange(len(words), dtype=np.int32)]
+    for n in SIZES:
+        count = len(codes) - n + 1
+        if count < 1:
+            continue
+        h = np.full(count, n, np.uint64)
+        for i in range(n):
+            h = (h ^ codes[i : i + count]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        inside = word[:count] == word[n - 1 :]
+        buckets.append(h[inside])
+        of.append(word[:count][inside])
+    return (np.concatenate(buckets) % np.uint64(BUCKETS)).astype(np.int32), np.concatenate(of)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
 
 
 def split(text: str) -> list[str]:
@@ -64,36 +88,36 @@ class Model:
     def __reduce__(self):
         return Model, (self.weights, self.bias, self.default)
 
-    def word(self, raw: str) -> float:
-        known = plain(raw)
-        return float(self.weights[grams(known)].mean()) if known else 0.0
+    def learn(self, texts: list[list[str]]) -> None:
+        """Put all words of some texts into the table."""
+        new = list({w for words in texts for w in words if w not in self.words})
+        if len(self.words) + len(new) > TABLE_WORDS:
+            self.words.clear()
+            new = list({w for words in texts for w in words})
+        buckets, word = grams([plain(w) for w in new])
+        worth = np.bincount(word, self.weights[buckets], len(new)) / np.maximum(np.bincount(word, minlength=len(new)), 1)
+        self.words.update(zip(new, worth.tolist()))
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        bags, out = [split(t) if t else [] for t in texts], []
+        self.learn(bags)
+        for words in bags:
+            z = sum(map(self.words.__getitem__, words)) / (len(words) + PADDING) + self.bias
+            out.append(1 / (1 + math.exp(-max(-60.0, min(60.0, z)))) if words else self.default)
+        return out
 
     def score(self, text: str | None) -> float:
-        words = split(text) if text else []
-        if not words:
-            return self.default
-        try:
-            total = sum(map(self.words.__getitem__, words))
-        except KeyError:
-            if len(self.words) > TABLE_WORDS:
-                self.words.clear()
-            for raw in set(words):
-                if raw not in self.words:
-                    self.words[raw] = self.word(raw)
-            total = sum(map(self.words.__getitem__, words))
-        return 1 / (1 + math.exp(-max(-60.0, min(60.0, total / (len(words) + PADDING) + self.bias))))
-
-
-def _bag(text: str, table: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return self.scores([text])[0]
+
+
+def _bag(words: list[str], index: dict[str, int], grams_of: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """A text's n-gram buckets and what each adds to the average over its words."""
-    words, counts = np.unique(np.array([plain(w) for w in split(text)], dtype=object), return_counts=True)
-    for w in words:
-        if w not in table:
-            table[w] = np.array(grams(w))
-    own = [table[w] for w in words]
+    at, counts = np.unique([index[plain(w)] for w in words], return_counts=True)
+    own = [grams_of[i] for i in at]
     sizes = np.array([len(g) for g in own])
-    buckets, at = np.unique(np.concatenate(own), return_inverse=True)
-    return buckets, np.bincount(at, np.repeat(counts / (counts.sum() + PADDING) / sizes, sizes))
+    buckets, place = np.unique(np.concatenate(own), return_inverse=True)
+    share = np.bincount(place, np.repeat(counts / (counts.sum() + PADDING) / sizes, sizes))
+    return buckets, share.astype(np.float32)
 
 
 def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
@@ -106,11 +130,21 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         return Model(np.zeros(BUCKETS), -60.0, 0.0)
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(keep))
-    y, table = y[order], {}
-    bags = [_bag(texts[keep[i]], table) for i in order]
-    in_docs = np.bincount(np.concatenate([b for b, _ in bags]), minlength=BUCKETS)
+    y = y[order]
+    index: dict[str, int] = {}
+    for i in order:
+        for w in texts[keep[i]].split():
+            index.setdefault(plain(w), len(index))
+    buckets, word = grams(list(index))
+    by_word = np.argsort(word, kind="stable")
+    grams_of = np.split(buckets[by_word], np.cumsum(np.bincount(word, minlength=len(index)))[:-1])
+    bags = [_bag(texts[keep[i]].split(), index, grams_of) for i in order]
+    del index, grams_of, buckets, word, by_word
+    in_docs = np.zeros(BUCKETS, int)
+    for b, _ in bags:
+        in_docs[b] += 1
     known = np.flatnonzero(in_docs >= min(LEAST_DOCS, len(y)))
-    place = np.full(BUCKETS, -1)
+    place = np.full(BUCKETS, -1, np.int32)
     place[known] = np.arange(len(known))
     bags = [(place[b][place[b] >= 0], x[place[b] >= 0]) for b, x in bags]
     weight = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
@@ -120,15 +154,12 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     params = [embed, linear, bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     batches = [np.arange(i, min(i + BATCH, len(y))) for i in range(0, len(y), BATCH)]
-    packed = []
-    for rows in batches:
-        gram = np.concatenate([bags[i][0] for i in rows])
-        share = np.concatenate([bags[i][1] for i in rows])
-        packed.append((rows, gram, share, np.repeat(np.arange(len(rows)), [len(bags[i][0]) for i in rows])))
     step = 0
     for _ in range(EPOCHS):
-        for k in rng.permutation(len(packed)):
-            rows, gram, share, of = packed[k]
+        for k in rng.permutation(len(batches)):
+            rows = batches[k]
+            gram, share = (np.concatenate([bags[i][part] for i in rows]) for part in (0, 1))
+            of = np.repeat(np.arange(len(rows)), [len(bags[i][0]) for i in rows])
             step += 1
             spread = embed[gram] * share[:, None]
             docs = np.stack([np.bincount(of, spread[:, d], len(rows)) for d in range(DIM)], 1)
@@ -160,7 +191,10 @@ def score(text: Column | str, model: Model) -> Column:
     @F.arrow_udf("double")
     def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([model.score(x.as_py()) for x in batch], pa.float64())
+            out: list[float] = []
+            for at in range(0, len(batch), BLOCK):
+                out += model.scores(batch[at : at + BLOCK].to_pylist())
+            yield pa.array(out, pa.float64())
 
     return scores(text)
 
