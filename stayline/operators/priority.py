@@ -244,24 +244,31 @@ def top_sets(scores: DataFrame, n: int = 20) -> DataFrame:
 
 
 def topk_overlap(scores: DataFrame, cfg: Settings, n: int = 20) -> DataFrame:
-    """How many of the best n are also best with the first weight set."""
+    """How many of the best n are also best with the first weight set.
+
+    The lists have n rows for each weight set, so whether a customer is on the first list is
+    found among these rows, and the scores are computed once.
+    """
     default = next(iter(cfg.weight_sets))
-    top = top_sets(scores, n)
-    base = top.filter(F.col("weights") == default).select("customer_id", F.lit(1).alias("same"))
+    same = F.max(F.col("weights") == default).over(Window.partitionBy("customer_id"))
     return (
-        top.filter(F.col("weights") != default)
-        .join(base, "customer_id", "left")
+        top_sets(scores, n).withColumn("same", same)
+        .filter(F.col("weights") != default)
         .groupBy("weights")
-        .agg(F.count("same").alias("overlap"))
+        .agg(F.count_if("same").alias("overlap"))
         .withColumn("overlap_share", F.col("overlap") / F.lit(float(n)))
     )
 
 
 def sensitivity_analysis(df: DataFrame, cfg: Settings, n: int = 20) -> DataFrame:
-    """Mean score and overlap of the top lists per weight set."""
-    scores = scores_by_weights(df, cfg)
-    means = scores.groupBy("weights").agg(F.avg("score").alias("avg_score"))
-    overlap = topk_overlap(scores, cfg, n)
+    """Mean score and overlap of the top lists per weight set; the means come from one
+    aggregate over all customers, one column for each weight set."""
+    sets = {f"s{i}": (name, weights) for i, (name, weights) in enumerate(cfg.weight_sets.items())}
+    means = normalised(df).agg(*[F.avg(weighted_score(w)).alias(c) for c, (_, w) in sets.items()])
+    means = means.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("weights"), F.col(c).alias("avg_score")) for c, (name, _) in sets.items()
+    ])).alias("m")).select("m.*")
+    overlap = topk_overlap(scores_by_weights(df, cfg), cfg, n)
     return means.join(overlap, "weights", "left").fillna(n, subset=["overlap"]).fillna(
         1.0, subset=["overlap_share"]
     )

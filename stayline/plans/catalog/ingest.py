@@ -17,7 +17,7 @@ from stayline.plans.catalog.sql import (
     AS_OF, RETURN_RATE_CASE, case, cents, even, u,
 )
 from stayline.sources import fixtures
-from stayline.sources.store import load_raw, save, scratch
+from stayline.sources.store import REQUIRED, load_raw, save, scratch
 
 TXN = (
     "transaction_id:i customer_id:i order_date:d product_category:s product_super_category:s "
@@ -43,14 +43,26 @@ def counted(tables: dict[str, DataFrame]) -> DataFrame:
 
 @query(
     "scan_required", "table_name:s n_rows:i n_columns:i",
-    """SELECT 'customer' AS table_name, count(*) AS n_rows, 5 AS n_columns FROM customer
-       UNION ALL SELECT 'orders', count(*), 6 FROM orders
-       UNION ALL SELECT 'lineitem', count(*), 11 FROM lineitem
-       UNION ALL SELECT 'part', count(*), 6 FROM part""",
+    """SELECT 'customers' AS table_name, count(*) AS n_rows, 5 AS n_columns FROM customer
+       UNION ALL SELECT 'orders', count(*), 4 FROM orders
+       UNION ALL SELECT 'order_items', count(*), 5 FROM lineitem
+       UNION ALL SELECT 'payments', count(*), 4 FROM lineitem
+       UNION ALL SELECT 'products', count(*), 2 FROM part
+       UNION ALL SELECT 'category_translation', count(*), 2 FROM brand_map""",
 )
 def _(t: Tables):
-    """Required tables are there and hold their rows."""
-    return counted({n: t.table(n) for n in ("customer", "orders", "lineitem", "part")})
+    """The six required tables, stored and read by the loader; without one of them the
+    loader refuses (see the tests)."""
+    raw = load_raw(t.spark, stored_raw(t), "parquet")
+    return counted({n: raw[n] for n in REQUIRED})
+
+
+def stored_raw(t: Tables) -> str:
+    """A folder with the raw tables."""
+    folder = scratch(t.spark, "raw")
+    for name in (*REQUIRED, "reviews"):
+        save(t.raw[name], f"{folder}/{name}.parquet")
+    return folder
 
 
 @query(
@@ -59,10 +71,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """Optional tables are read when present and None otherwise."""
-    folder = scratch(t.spark, "raw")
-    for name in ("customers", "orders", "order_items", "payments", "products", "category_translation", "reviews"):
-        save(t.raw[name], f"{folder}/{name}.parquet")
-    raw = load_raw(t.spark, folder, "parquet")
+    raw = load_raw(t.spark, stored_raw(t), "parquet")
     found = {n: raw[n] for n in ("reviews", "sellers", "geolocation") if raw[n] is not None}
     return counted(found)
 
@@ -73,11 +82,14 @@ def _(t: Tables):
        UNION ALL SELECT 'orders', count(*), 4, 0 FROM orders
        UNION ALL SELECT 'order_items', count(*), 5, 0 FROM lineitem
        UNION ALL SELECT 'payments', count(*), 4, 0 FROM lineitem
-       UNION ALL SELECT 'products', count(*), 2, CASE WHEN count(*) > count(translated) THEN 1 ELSE 0 END FROM prod""",
+       UNION ALL SELECT 'products', count(*), 2, CASE WHEN count(*) > count(translated) THEN 1 ELSE 0 END FROM prod
+       UNION ALL SELECT 'category_translation', count(*), 2, 0 FROM brand_map
+       UNION ALL SELECT 'reviews', count(*), 3, 0 FROM lineitem""",
 )
 def _(t: Tables):
     shown = {n: t.raw[n] for n in ("customers", "orders", "order_items", "payments")}
     shown["products"] = ingest.translated_products(t.raw, t.cfg)
+    shown |= {n: t.raw[n] for n in ("category_translation", "reviews")}
     return profiling.table_inventory(shown)
 
 

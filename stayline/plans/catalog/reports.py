@@ -16,9 +16,10 @@ from stayline.sources.store import scratch
 _MASTER = [
     ("customer_id", "i"), ("age", "i"), ("gender", "s"), ("region", "s"), ("acquisition_channel", "s"),
     ("customer_tenure_days", "i"), ("recency_days", "i"), ("frequency", "i"), ("monetary", "f"), ("r_score", "i"),
-    ("f_score", "i"), ("m_score", "i"), ("rfm_score", "i"), ("median_order_value", "f2"),
+    ("f_score", "i"), ("m_score", "i"), ("rfm_score", "i"), ("avg_order_value", "f2"), ("median_order_value", "f2"),
     ("categories_purchased", "i"), ("category_concentration", "f2"), ("discount_usage_rate", "f2"),
-    ("return_rate", "f2"), ("spending_trend", "f2"), ("frequency_trend", "f2"), ("engagement_score", "f"),
+    ("avg_discount_pct", "f2"), ("return_rate", "f2"), ("interpurchase_time_avg", "f2"), ("spending_trend", "f2"),
+    ("frequency_trend", "f2"), ("aov_trend", "f2"), ("engagement_score", "f"),
     ("emails_opened_30d", "i"), ("website_visits_30d", "i"), ("campaign_clicks_30d", "i"), ("app_sessions_30d", "i"),
     ("support_tickets", "i"), ("loyalty_program", "i"), ("rfm_segment", "s"), ("gross_revenue", "f"),
     ("net_revenue", "f"), ("customer_profit", "f"), ("profit_margin", "f"), ("profit_quartile", "i"), ("value_tier", "s"),

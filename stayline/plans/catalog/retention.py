@@ -269,7 +269,7 @@ def _(t: Tables):
 
 
 @query(
-    "top_alerts_10", "customer_id:i churn_prob:f retention_priority_score:f recommended_action:s",
+    "top_alerts_10", "customer_id:i customer_profit:f churn_prob:f retention_priority_score:f recommended_action:s",
     "SELECT * FROM fin ORDER BY retention_priority_score DESC, customer_id LIMIT 10",
 )
 def _(t: Tables):

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from stayline.config import Settings
 from stayline.operators import (
-    churn, clustering, exports, features, ingest, labels, priority, profitability, segmentation,
+    churn, clustering, explain, exports, features, ingest, labels, priority, profiling, profitability,
+    segmentation,
 )
 from stayline.session import tune
 from stayline.sources.store import save
@@ -86,6 +87,8 @@ class Pipeline:
         people = self.keep(ingest.customers(raw, self.cfg), "customers")
         txn = self.keep(ingest.transactions(raw, self.cfg), "transactions")
         eng = self.keep(ingest.engagement(people, txn, raw, self.cfg), "engagement")
+        stored = {"customers": people, "transactions": txn, "engagement": eng}
+        self.keep(profiling.union_profiles([profiling.table_profile(df, n) for n, df in stored.items()]), "data_quality")
         return {"customers": people, "transactions": txn, "engagement": eng}
 
     def features(self) -> DataFrame:
@@ -100,7 +103,14 @@ class Pipeline:
         out = segmentation.rfm_score(self.load("customer_features"))
         if clusters:
             out = clustering.kmeans_segments(self.keep(out, "customer_scored"), self.cfg)[0]
-        return self.keep(out, "customer_segmented")
+        out = self.keep(out, "customer_segmented")
+        self.keep(segmentation.segment_profile(out), "segment_profile")
+        if clusters:
+            cells, agreement = segmentation.compare(out, "rfm_segment", "kmeans_segment")
+            self.keep(cells, "segment_comparison")
+            self.keep(agreement, "segment_agreement")
+            self.keep(clustering.cluster_profile(out), "cluster_profile")
+        return out
 
     def profitability(self) -> DataFrame:
         """Phase 4."""
@@ -108,7 +118,11 @@ class Pipeline:
             self.load("customer_segmented"), self.load("transactions"), self.load("customers"),
             self.load("engagement"), self.cfg,
         )
-        return self.keep(out, "customer_profitable")
+        out = self.keep(out, "customer_profitable")
+        self.keep(profitability.profit_summary(out), "profit_summary")
+        self.keep(profitability.high_revenue_low_margin(out), "high_revenue_low_margin")
+        self.keep(profitability.segment_profit(out), "segment_profit")
+        return out
 
     def churn(self, models: list[str] | None = None) -> DataFrame:
         """Phase 5: train, compare, keep the best model and score every customer."""
@@ -116,6 +130,9 @@ class Pipeline:
         target = labels.churn_labels(txn, self.cfg.split_date, self.cfg.as_of)
         run = churn.train_and_score(self.load("customer_profitable"), target, self.cfg, models)
         self.keep(run.comparison, "model_comparison")
+        self.keep(churn.feature_importance(run.models, run.columns), "feature_importance")
+        parts = self.keep(explain.shap_contributions(run.best, run.test, run.columns), "attributions")
+        self.keep(explain.mean_size(parts, run.columns), "attribution_means")
         run.best.write().overwrite().save(f"{self.folder}/model")
         return self.keep(run.scored, "customer_churn")
 
@@ -123,6 +140,8 @@ class Pipeline:
         """Phase 6."""
         final = self.keep(priority.prioritise(self.load("customer_churn"), self.cfg), "customer_retention_final")
         self.keep(priority.decision_matrix(final), "decision_matrix")
+        self.keep(priority.top_targets(final), "top_targets")
+        self.keep(priority.sensitivity_analysis(final, self.cfg), "sensitivity")
         return final
 
     def exports(self) -> dict[str, DataFrame]:

@@ -63,12 +63,16 @@ RAW_FILES = {
 }
 
 
-def exists(spark: SparkSession, pattern: str) -> bool:
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that a pattern finds."""
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(pattern)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    found = place.getFileSystem(conf).globStatus(place)
-    return found is not None and len(found) > 0
+    return [f.getPath().toString() for f in place.getFileSystem(conf).globStatus(place) or []]
+
+
+def exists(spark: SparkSession, pattern: str) -> bool:
+    return bool(matches(spark, pattern))
 
 
 def read_csv(spark: SparkSession, path: str, columns: str | None = None, free_text: bool = False) -> DataFrame:
@@ -88,8 +92,8 @@ def read_csv(spark: SparkSession, path: str, columns: str | None = None, free_te
 def load_raw(spark: SparkSession, folder: str, fmt: str = "csv") -> dict:
     """Required tables, and optional ones where their file is there.
 
-    CSV files are found by the end of their name; parquet tables are folders or
-    files named after the table.
+    CSV files are found by the end of their name, and two files with the same end are
+    an error; parquet tables are folders or files named after the table.
     """
     out = {}
     for name in REQUIRED + OPTIONAL:
@@ -99,6 +103,8 @@ def load_raw(spark: SparkSession, folder: str, fmt: str = "csv") -> dict:
                 raise FileNotFoundError(f"required table {name} is missing: {path}")
             out[name] = None
         elif fmt == "csv":
+            if len(files := matches(spark, path)) > 1:
+                raise ValueError(f"more than one file for table {name}: {', '.join(files)}")
             out[name] = read_csv(spark, path, RAW_SCHEMAS.get(name), free_text=name == "reviews")
         else:
             out[name] = spark.read.parquet(path)
