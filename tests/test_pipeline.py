@@ -60,6 +60,30 @@ def test_missing_required_file(spark, tmp_path):
         load_raw(spark, str(tmp_path))
 
 
+def test_two_files_for_one_table(spark, raw_folder, tmp_path):
+    import shutil
+
+    folder = shutil.copytree(raw_folder, tmp_path / "raw")
+    shutil.copy(folder / f"shop_{RAW_FILES['orders']}", folder / f"old_{RAW_FILES['orders']}")
+    with pytest.raises(ValueError, match="orders"):
+        load_raw(spark, str(folder))
+
+
+def test_command_line_needs_raw_tables_for_phase_1(capsys):
+    from stayline.__main__ import main
+
+    with pytest.raises(SystemExit):
+        main(["folder"])
+    assert "--raw" in capsys.readouterr().err
+
+
+REPORTS = [
+    "data_quality", "segment_profile", "segment_comparison", "segment_agreement", "cluster_profile", "profit_summary",
+    "high_revenue_low_margin", "segment_profit", "feature_importance", "attributions", "attribution_means", "top_targets",
+    "sensitivity",
+]
+
+
 def test_raw_to_exports_and_restart(spark, raw_folder, tmp_path):
     raw = load_raw(spark, raw_folder)
     assert raw["reviews"].count() == 300 and raw["sellers"] is None
@@ -70,6 +94,9 @@ def test_raw_to_exports_and_restart(spark, raw_folder, tmp_path):
     assert set(rows) == people
     assert all(r.recommended_action and 0 <= r.churn_prob <= 1 and r.kmeans_segment for r in rows.values())
     assert run.load("model_comparison").count() == 2
+    reports = {name: run.load(name).count() for name in REPORTS}
+    assert reports["data_quality"] == 3 and reports["sensitivity"] == len(CFG.weight_sets) and reports["segment_agreement"] == 1
+    assert all(n > 0 for name, n in reports.items() if name != "high_revenue_low_margin")
     exports = run.exports()
     assert exports["customer_master"].count() == len(people)
     assert exports["date_dimension"].count() == 731
