@@ -129,6 +129,39 @@ def histogram(
     )
 
 
+def histograms(df: DataFrame, specs: list[tuple]) -> DataFrame:
+    """Histograms of several columns of one table: (name, bin, left_edge, n).
+
+    specs are (column, bins, name, low, high), as for `histogram`. One aggregate finds all
+    spans, a row, and one pass counts all bins, so the table is read twice however many
+    columns are asked for.
+    """
+    def clamped(column, low, high):
+        value = F.col(column).cast("double")
+        if low is None and high is None:
+            return value
+        return S.clip(value, float("-inf") if low is None else low, float("inf") if high is None else high)
+
+    values = [clamped(c, low, high) for c, _, _, low, high in specs]
+    ends = df.agg(*[F.struct(F.min(v).alias("lo"), F.max(v).alias("hi")).alias(f"s{i}") for i, v in enumerate(values)]).first()
+    cells, grid = [], []
+    for i, (v, (_, bins, name, _, _)) in enumerate(zip(values, specs)):
+        lo, hi = ends[f"s{i}"]
+        if lo is not None and lo == hi:
+            lo, hi = lo - 0.5, hi + 0.5
+        width = None if lo is None else (hi - lo) / bins
+        grid += [(name, b, None if lo is None else lo + b * width) for b in range(bins)]
+        if lo is not None:
+            place = F.least(F.lit(bins - 1), F.floor((v - lo) / width)).cast("int")
+            cells.append(F.struct(F.lit(name).alias("name"), F.when(v.isNotNull(), place).alias("bin")))
+    bars = df.sparkSession.createDataFrame(grid, "name string, bin int, left_edge double")
+    if not cells:
+        return bars.withColumn("n", F.lit(0).cast("long"))
+    counted = df.select(F.inline(F.array(*cells))).filter(F.col("bin").isNotNull()).groupBy("name", "bin").agg(
+        F.count(F.lit(1)).alias("n"))
+    return bars.join(counted, ["name", "bin"], "left").fillna(0, subset=["n"])
+
+
 def monthly_orders(orders: DataFrame) -> DataFrame:
     return (
         orders.groupBy(S.year_month(F.col("order_purchase_timestamp").cast("date")).alias("year_month"))

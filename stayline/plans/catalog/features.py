@@ -279,8 +279,8 @@ def _(t: Tables):
     """Bin counts of nine columns, some of them clamped first."""
     source = {"feat": t.features, "pay": t.raw["payments"], "seg_prof": t.profitable, "fin": t.final}
     parts = [
-        profiling.histogram(source[table], column, bins, low, high).withColumn("name", F.lit(name))
-        for column, table, bins, name, low, high in _HISTOGRAMS
+        profiling.histograms(df, [(c, bins, name, low, high) for c, of, bins, name, low, high in _HISTOGRAMS if of == table])
+        for table, df in source.items()
     ]
     return profiling.union_profiles(parts)
 

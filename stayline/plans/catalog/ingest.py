@@ -421,8 +421,7 @@ def _(t: Tables):
                {cents('revenue')} AS total_revenue FROM txn""",
 )
 def _(t: Tables):
-    txn = t.txn("order_date", "revenue", "product_id", "product_category", "product_super_category")
-    return ingest.dataset_summary(txn, t.people)
+    return ingest.dataset_summary(t.transactions, t.customers)
 
 
 @query("ingest_customers", PEOPLE, "SELECT * FROM people")

@@ -117,7 +117,7 @@ CATEGORY_COLUMNS = ("transaction_id", "customer_id", "product_super_category", "
     CATEGORY,
 )
 def _(t: Tables):
-    return exports.category_performance(t.txn(*CATEGORY_COLUMNS))
+    return exports.category_performance(t.transactions.select(*CATEGORY_COLUMNS))
 
 
 EXPORTS_SQL = """
@@ -365,7 +365,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     geo = exports.geographic_summary(t.final)
-    return measures.geo_category(geo, exports.category_performance(t.txn(*CATEGORY_COLUMNS)))
+    return measures.geo_category(geo, exports.category_performance(t.transactions.select(*CATEGORY_COLUMNS)))
 
 
 @query(

@@ -10,7 +10,7 @@ from stayline.config import Settings
 from stayline.functions import scalars as S
 from stayline.functions import synth
 from stayline.operators import (
-    evaluation, exports, features, ingest, labels, priority, profitability, segmentation,
+    evaluation, exports, features, ingest, labels, priority, profiling, profitability, segmentation,
 )
 
 CFG = Settings()
@@ -235,6 +235,17 @@ def test_payment_mode_takes_smallest_of_ties(spark):
     assert got == {"a": (10.0, 2.0, "card"), "b": (3.0, 2.0, "slip")}
 
 
+def test_histograms_of_several_columns(spark):
+    df = spark.createDataFrame([(0.0, 5), (1.0, 5), (4.0, None), (10.0, None), (None, 5)], "a double, b int")
+    got = profiling.histograms(df, [("a", 5, "a", None, None), ("b", 2, "b", None, None), ("a", 2, "cut", 0, 4)])
+    rows = {(r.name, r.bin): (r.left_edge, r.n) for r in got.collect()}
+    assert [rows["a", i] for i in range(5)] == [(0.0, 2), (2.0, 0), (4.0, 1), (6.0, 0), (8.0, 1)]
+    assert [rows["b", i] for i in range(2)] == [(4.5, 0), (5.0, 3)]
+    assert [rows["cut", i] for i in range(2)] == [(0.0, 2), (2.0, 2)]
+    none = profiling.histograms(df.filter("a > 99"), [("a", 3, "a", None, None)]).collect()
+    assert [(r.left_edge, r.n) for r in none] == [(None, 0)] * 3
+
+
 def test_calendar(spark):
     rows = exports.date_dimension(spark, dt.date(2016, 9, 1), dt.date(2018, 9, 1)).orderBy("date").collect()
     assert len(rows) == 731
