@@ -151,13 +151,15 @@ WEIGHT_SETS = {
     "Balanced (33/33/33)": (0.33, 0.34, 0.33),
 }
 
+# Names of value and risk tiers.
 VALUE_TIERS = ["High Value", "Medium Value", "Low Value"]
 RISK_TIERS = ["Low Risk", "Medium Risk", "High Risk"]
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Dates, rates and lookups. The defaults are the published configuration."""
+    """Dates, rates and lookups. The defaults are the published configuration: fixed values,
+    but for fit_rows."""
 
     start_date: dt.date = dt.date(2016, 9, 1)
     as_of: dt.date = dt.date(2018, 9, 1)

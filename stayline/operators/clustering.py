@@ -14,6 +14,7 @@ from stayline.config import Settings
 from stayline.operators.labels import standardise
 from stayline.session import freeze
 
+# Features that clusters are made of.
 CLUSTER_FEATURES = ["recency_days", "frequency", "monetary", "engagement_score", "avg_order_value"]
 
 

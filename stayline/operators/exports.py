@@ -12,6 +12,7 @@ from stayline.operators.ingest import available, of_customers
 from stayline.operators.priority import top_by_rank
 from stayline.functions.scalars import mean, total
 
+# Columns of the exported tables, in order.
 MASTER_COLUMNS = [
     "customer_id", "age", "gender", "region", "acquisition_channel", "customer_tenure_days",
     "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score", "rfm_score",

@@ -9,6 +9,7 @@ from stayline.config import Settings
 from stayline.functions import scalars as S
 from stayline.functions import synth
 
+# Columns of the transaction table.
 TRANSACTION_COLUMNS = [
     "transaction_id", "customer_id", "order_date", "product_category",
     "product_super_category", "product_id", "quantity", "unit_price", "revenue",

@@ -11,6 +11,7 @@ from stayline.functions import synth
 from stayline.operators.ingest import of_customers
 from stayline.operators.ordering import group_cut
 
+# Features of the churn models.
 MODEL_FEATURES = [
     "recency_days", "frequency", "monetary", "avg_order_value", "median_order_value",
     "purchase_std", "categories_purchased", "category_concentration", "avg_quantity",

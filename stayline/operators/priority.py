@@ -9,6 +9,7 @@ from stayline.config import RISK_TIERS, VALUE_TIERS, Settings
 from stayline.functions import scalars as S
 from stayline.functions.scalars import mean, total
 
+# Columns of the target list.
 REPORT_COLUMNS = [
     "priority_rank", "customer_id", "customer_profit", "churn_prob", "expected_retention_value",
     "intervention_cost", "expected_net_benefit", "retention_priority_score", "rfm_segment",

@@ -71,6 +71,7 @@ def describe(df: DataFrame, columns: list[str], key: str) -> DataFrame:
     return stats.select(F.explode(F.array(*columns)).alias("s")).select("s.*")
 
 
+# Columns of the correlation matrix.
 CORRELATED = [
     "recency_days", "frequency", "monetary", "avg_order_value", "categories_purchased",
     "discount_usage_rate", "return_rate", "spending_trend", "frequency_trend",

@@ -13,6 +13,7 @@ from stayline.operators.ordering import InOrder, quantile_buckets, quantiles
 from stayline.operators.segmentation import share_of_total
 from stayline.session import freeze
 
+# Columns of the profit statement.
 PROFIT_COLUMNS = [
     "customer_id", "gross_revenue", "net_revenue", "total_cogs", "total_discount_cost",
     "return_cost", "service_cost", "acquisition_cost", "customer_profit", "profit_margin",

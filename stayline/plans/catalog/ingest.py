@@ -168,7 +168,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """Calendar from the first order to the analysis date."""
-    return exports.date_dimension_of(t.txn("order_date"), t.cfg.as_of)
+    return exports.date_dimension_of(t.transactions, t.cfg.as_of)
 
 
 @query(
