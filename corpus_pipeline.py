@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm import order_minhash, packing, quality, secret_scan, toxicity
-from stayline.llm.registry import table
+from stayline.llm.registry import table, unused
 from stayline.sources.store import store
 
 
@@ -39,11 +39,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def cut_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret in their texts replaced by a mark; n_chars follows."""
-    found = secret_scan.scan(docs, "text", base_as="_base_spans", spans_as="_spans")
-    clean = secret_scan.redact(F.col("text"), F.col("_spans"))
+    base, spans = unused(docs, "_base", "_spans")
+    found = secret_scan.scan(docs, "text", base_as=base, spans_as=spans)
+    clean = secret_scan.redact(F.col("text"), F.col(spans))
     out = found.withColumn("text", clean)
     if "n_chars" in docs.columns:
-        changed = F.when(F.size("_spans") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
+        changed = F.when(F.size(spans) > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
         out = out.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 

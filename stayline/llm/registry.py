@@ -24,3 +24,13 @@ def query(name: str, sql: str | None = None):
         return fn
 
     return register
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as keep it apart from df's columns."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
