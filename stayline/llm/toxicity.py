@@ -49,7 +49,7 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts = np.cumsum(sizes) - sizes
     place = (np.arange(len(codes)) - np.repeat(starts, sizes)).astype(np.uint64)
     whole = np.add.reduceat(_mix(codes + (place << np.uint64(32))), starts)
-    buckets, of = [_mix(whole)], [np.arange(len(words), dtype=np.int32)]
+    buckets, of = [(_mix(whole) % np.uint64(BUCKETS)).astype(np.int32)], [np.arange(len(words), dtype=np.int32)]
     for n in SIZES:
         count = len(codes) - n + 1
         if count < 1:
@@ -59,9 +59,9 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             h = (h ^ codes[i : i + count]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
         inside = word[:count] == word[n - 1 :]
-        buckets.append(h[inside])
+        buckets.append((h[inside] % np.uint64(BUCKETS)).astype(np.int32))
         of.append(word[:count][inside])
-    return (np.concatenate(buckets) % np.uint64(BUCKETS)).astype(np.int32), np.concatenate(of)
+    return np.concatenate(buckets), np.concatenate(of)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -110,14 +110,23 @@ class Model:
         return self.scores([text])[0]
 
 
-def _bag(words: list[str], index: dict[str, int], grams_of: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """A text's n-gram buckets and what each adds to the average over its words."""
-    at, counts = np.unique([index[plain(w)] for w in words], return_counts=True)
-    own = [grams_of[i] for i in at]
-    sizes = np.array([len(g) for g in own])
-    buckets, place = np.unique(np.concatenate(own), return_inverse=True)
-    share = np.bincount(place, np.repeat(counts / (counts.sum() + PADDING) / sizes, sizes))
-    return buckets, share.astype(np.float32)
+def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each text its n-gram buckets and what each adds to the average over its words."""
+    index: dict[str, int] = {}
+    rows = [[index.setdefault(plain(w), len(index)) for w in split(t)] for t in texts]
+    buckets, word = grams(list(index))
+    buckets = buckets[np.argsort(word, kind="stable")]
+    ends = np.cumsum(np.bincount(word, minlength=len(index)))
+    starts = np.concatenate([[0], ends[:-1]])
+    out = []
+    for row in rows:
+        at, counts = np.unique(row, return_counts=True)
+        own = [buckets[starts[i] : ends[i]] for i in at]
+        sizes = ends[at] - starts[at]
+        found, place = np.unique(np.concatenate(own), return_inverse=True)
+        share = np.bincount(place, np.repeat(counts / (counts.sum() + PADDING) / sizes, sizes))
+        out.append((found, share.astype(np.float32)))
+    return out
 
 
 def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
@@ -131,22 +140,18 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(keep))
     y = y[order]
-    index: dict[str, int] = {}
-    for i in order:
-        for w in texts[keep[i]].split():
-            index.setdefault(plain(w), len(index))
-    buckets, word = grams(list(index))
-    by_word = np.argsort(word, kind="stable")
-    grams_of = np.split(buckets[by_word], np.cumsum(np.bincount(word, minlength=len(index)))[:-1])
-    bags = [_bag(texts[keep[i]].split(), index, grams_of) for i in order]
-    del index, grams_of, buckets, word, by_word
+    bags: list[tuple[np.ndarray, np.ndarray]] = []
+    for at in range(0, len(order), BLOCK):  # a block's words at a time, so that few are held
+        bags += _bags([texts[keep[i]] for i in order[at : at + BLOCK]])
     in_docs = np.zeros(BUCKETS, int)
     for b, _ in bags:
         in_docs[b] += 1
     known = np.flatnonzero(in_docs >= min(LEAST_DOCS, len(y)))
     place = np.full(BUCKETS, -1, np.int32)
     place[known] = np.arange(len(known))
-    bags = [(place[b][place[b] >= 0], x[place[b] >= 0]) for b, x in bags]
+    for i, (b, x) in enumerate(bags):  # in place, so that the sample is held once
+        at = place[b]
+        bags[i] = at[at >= 0], x[at >= 0]
     weight = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
 
     embed = rng.normal(0, START, (len(known), DIM))
