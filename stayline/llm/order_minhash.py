@@ -13,11 +13,12 @@ the labelled k-mers if their order agrees, less otherwise. No pair outside the b
 belong to an alignment that reaches the threshold.
 
 Classes are the connected components of the links. Within a bucket, every text is compared
-with the bucket's smallest; after a first round of components only texts that are not in
-their bucket's main component are compared with the members of the others, so all pairs of
-a bucket that components leave open are verified, while a large group of copies costs one
-comparison a text. Exact copies are one text from the start. Grouping is by aggregation
-and joins; no group is ever gathered in one task, and links never reach the driver.
+with the bucket's smallest. After a first round of components, the texts outside their
+bucket's main component are compared with all members of other components, in blocks of at
+most BLOCK by BLOCK texts inside the tasks, so every pair of a bucket that components leave
+open is verified, and only links become rows. A large group of copies costs one comparison
+a text. Exact copies are one text from the start. No group is ever gathered in one
+task, and links never reach the driver.
 """
 
 from __future__ import annotations
@@ -28,24 +29,26 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.registry import query, table
+from stayline.llm.registry import query, table, unused
 from stayline.sources.store import store
 
 K = 5
 SIMILARITY = 0.8
 # (least k-mers, k-mers below, smallest hashes in a sketch, sketches). Ranges overlap by
 # more than the threshold, so two similar texts always have a range in common. At
-# similarity 0.8 a sketch agrees with chance 0.8, about 0.5 and 0.33 in these ranges.
-LEVELS = [(1, 16, 1, 8), (12, 80, 3, 20), (64, 1 << 62, 5, 32)]
+# similarity 0.8 a sketch agrees with a chance of at least 0.4, 0.26 and 0.26.
+LEVELS = [(1, 16, 3, 20), (12, 80, 5, 32), (64, 1 << 62, 6, 40)]
 _WORD = re.compile(r"\w+")
 _KNOWN: dict[str, int] = {}
 TABLE_WORDS = 300_000
 CELLS = 1 << 20  # hashes computed at once
+BLOCK = 256  # texts on either side of a block of comparisons
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -146,19 +149,18 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, sizes, lists = [], [], []
+        keys, lists = [], []
         for text in batch.column("text"):
             text = text.as_py() or ""
             words = word_hashes(text)
             kmers = labelled_kmers(words)
             said = " ".join(_WORD.findall(text.lower())) if len(words) else "\x00" + text
             keys.append(blake2b(said.encode("utf-8", "surrogatepass"), digest_size=16).digest())
-            sizes.append(len(kmers))
             lists.append(sketches(kmers))
         yield pa.RecordBatch.from_arrays(
             [batch.column("row"), batch.column("id"), batch.column("raw"), pa.array(keys, pa.binary()),
-             pa.array(sizes, pa.int32()), pa.array(lists, pa.list_(pa.int64()))],
-            ["row", "id", "raw", "key", "size", "buckets"],
+             pa.array(lists, pa.list_(pa.int64()))],
+            ["row", "id", "raw", "key", "buckets"],
         )
 
 
@@ -189,6 +191,46 @@ def _verified(least: float):
     return run
 
 
+def _flat(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All values of some arrays, and the number of the array each comes from."""
+    return np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+
+
+def _blocks_compared(least: float):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """Links between the strays and the members of one block of a bucket. A pair that
+        shares a smaller bucket is left to that one."""
+        links: list[tuple[int, int]] = []
+        strays, members = rows[rows["stray"]], rows[~rows["stray"]]
+        if len(strays) and len(members):
+            bucket = rows["bucket"].iloc[0]
+            node, root = members["node"].to_numpy(), members["root"].to_numpy()
+            kmers = [labelled_kmers(w.astype(np.int32).view(np.uint32)) for w in members["words"]]
+            sizes = np.array([len(k) for k in kmers])
+            buckets, bucket_of = _flat(list(members["buckets"]))
+            smaller = buckets < bucket
+            buckets, bucket_of = buckets[smaller], bucket_of[smaller]
+            flat, of = _flat(kmers)
+            for own, own_root, words, own_buckets in strays[["node", "root", "words", "buckets"]].itertuples(index=False):
+                mine = labelled_kmers(words.astype(np.int32).view(np.uint32))
+                open_ = (root != own_root) & (np.minimum(sizes, len(mine)) >= least * np.maximum(sizes, len(mine)))
+                if not open_.any():
+                    continue
+                open_[bucket_of[np.isin(buckets, own_buckets)]] = False
+                if not open_.any():
+                    continue
+                inside = open_[of]
+                sought, sorted_ = flat[inside], np.sort(mine)
+                at = np.minimum(np.searchsorted(sorted_, sought), len(sorted_) - 1)
+                both = np.bincount(of[inside][sorted_[at] == sought], minlength=len(node))
+                for i in np.flatnonzero(open_ & (both >= least * (sizes + len(mine) - both))):
+                    if aligned(mine, kmers[i], least) >= least:
+                        links.append((min(own, node[i]), max(own, node[i])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node in links (a, b); root is the smallest node it is connected
     to. Labels pass along links and jump to their labels' labels until nothing changes."""
@@ -209,7 +251,7 @@ class Duplicates:
     """Classes of near-duplicate texts of one table.
 
     `rows` has, for every row of df, row (a number), id, raw (hash of the text), key (of the
-    normalised text), size (k-mers) and node (the smallest row with the same key).
+    normalised text) and buckets; `nodes` has the smallest row of each key.
     """
 
     def __init__(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY):
@@ -217,14 +259,14 @@ class Duplicates:
         text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
         self.texts = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("raw"))
         made = self.texts.withColumn("row", F.monotonically_increasing_id()).select("row", "id", "raw", "text").mapInArrow(
-            _sketched, "row long, id long, raw long, key binary, size int, buckets array<long>")
+            _sketched, "row long, id long, raw long, key binary, buckets array<long>")
         self.rows = store(made, "sketches")
         self.nodes = self.rows.groupBy("key").agg(F.min("row").alias("node"))
 
     def members(self) -> DataFrame:
-        """(bucket, node, size) of buckets that at least two different texts share."""
-        firsts = self.rows.select("row", "size", "buckets").join(self.nodes.select(F.col("node").alias("row")), "row", "left_semi")
-        every = firsts.select(F.explode("buckets").alias("bucket"), F.col("row").alias("node"), "size")
+        """(bucket, node, pivot) of buckets that at least two different texts share."""
+        firsts = self.rows.select("row", "buckets").join(self.nodes.select(F.col("node").alias("row")), "row", "left_semi")
+        every = firsts.select(F.explode("buckets").alias("bucket"), F.col("row").alias("node"))
         shared = every.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).filter("pivot <> most")
         return store(every.join(shared.select("bucket", "pivot"), "bucket"), "members")
 
@@ -246,20 +288,30 @@ class Duplicates:
         """(node, root) of the texts that have a near-duplicate with another text."""
         members = self.members()
         words = self.words(members)
-        fits = lambda a, b: F.least(a, b) >= F.greatest(a, b) * F.lit(self.least) - 1e-9
         stars = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
         links = self.verified(stars, words)
         first = components(links)
         # what the first components leave open, bucket by bucket
         placed = members.join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mains = placed.filter("node = pivot").select("bucket", F.col("root").alias("main"))
-        placed = placed.join(mains, "bucket")
-        strays = placed.filter("root <> main").select("bucket", F.col("node").alias("s"), F.col("root").alias("s_root"), F.col("size").alias("s_size"))
-        open_ = strays.select("bucket").distinct()
-        others = placed.join(open_, "bucket", "left_semi").filter("node <> pivot")  # pivots met all members
-        rest = strays.join(others, "bucket").filter((F.col("root") != F.col("s_root")) & fits(F.col("size"), F.col("s_size")))
-        rest = rest.select(F.least("s", "node").alias("a"), F.greatest("s", "node").alias("b")).distinct()
-        more = self.verified(rest.join(links, ["a", "b"], "left_anti"), words)
+        placed = store(placed.join(mains, "bucket").withColumn("stray", F.col("root") != F.col("main")), "placed")
+        placed = placed.filter("node <> pivot")  # pivots met all members
+        sizes = placed.groupBy("bucket").agg(
+            F.count_if("stray").alias("strays"), F.count(F.lit(1)).alias("all"),
+            F.min("root").alias("least"), F.max("root").alias("most"),
+        ).filter("strays > 0 and least <> most")
+        parts = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+        open_ = placed.join(
+            sizes.select("bucket", parts("strays").alias("columns"), parts("all").alias("rows")), "bucket")
+        draw = F.xxhash64("node")
+        each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        as_member = open_.withColumn("row", F.pmod(draw, F.col("rows")).cast("int")).withColumn("column", F.explode(each("columns")))
+        as_stray = open_.filter("stray").withColumn("column", F.pmod(draw, F.col("columns")).cast("int")).withColumn("row", F.explode(each("rows")))
+        dealt = as_member.withColumn("stray", F.lit(False)).unionByName(as_stray)
+        texts = words.join(self.rows.select(F.col("row").alias("node"), "buckets"), "node")
+        dealt = dealt.select("bucket", "row", "column", "node", "root", "stray").join(texts, "node")
+        more = dealt.groupBy("bucket", "row", "column").applyInPandas(_blocks_compared(self.least), "a long, b long")
+        more = store(more.distinct(), "links")
         return first if more.isEmpty() else components(links.union(more))
 
     def classes(self) -> DataFrame:
@@ -287,17 +339,17 @@ def duplicate_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
     """The row of each class with the smallest id (ids before none), with df's own columns."""
     found = Duplicates(df, id_col, text_col, least).classes()
+    own, key, raw, alike = unused(df, "_own", "_id", "_raw", "_alike")
     best = F.min(F.struct(F.col("id").isNull(), "id", "row"))
     kept = found.groupBy("class").agg(best.alias("best")).select(F.col("best.row").alias("row"))
-    same = found.groupBy("id", "raw").agg(F.count(F.lit(1)).alias("_alike"))
+    same = found.groupBy("id", "raw").agg(F.count(F.lit(1)).alias(alike))
     kept = found.select("row", "id", "raw").join(kept, "row", "left_semi")
     kept = kept.join(same, kept["id"].eqNullSafe(same["id"]) & (kept["raw"] == same["raw"])).select(
-        kept["id"].alias("_id"), kept["raw"].alias("_raw"), "_alike")
-    raw = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    marked = df.withColumn("_own", raw)
-    out = marked.join(kept, (marked["_own"] == kept["_raw"]) & marked[f"`{id_col}`"].cast("long").eqNullSafe(kept["_id"]))
-    once = out.filter("_alike = 1")
-    repeated = out.filter("_alike > 1").dropDuplicates(["_id", "_raw"])
+        kept["id"].alias(key), kept["raw"].alias(raw), alike)
+    marked = df.withColumn(own, F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+    out = marked.join(kept, (marked[own] == kept[raw]) & marked[f"`{id_col}`"].cast("long").eqNullSafe(kept[key]))
+    once = out.filter(F.col(alike) == 1)
+    repeated = out.filter(F.col(alike) > 1).dropDuplicates([key, raw])
     return once.unionByName(repeated).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
