@@ -2,12 +2,14 @@
 
 Every curve projects the vectors on a few random orthogonal directions, shifts and
 scales them and orders them by their place on a Hilbert curve. Spark range-partitions all
-(curve, key) pairs, so each curve becomes a sequence of cells with CELL rows. A query
-is compared with all vectors of its own cell and of the two beside it, in double precision;
-the best of all curves are merged, and ranked once more.
+(curve, key) pairs, so each curve becomes a sequence of cells. A query is compared with all
+vectors of its own cell and of the two beside it, in double precision; the best of all
+curves are merged, and ranked once more. A cell has one point in SHARE of all, so recall
+does not fall as the table grows; a curve has at most SHARE cells. Comparisons are dealt
+in tiles of at most TILE points of a cell and about TILE queries.
 
 Equal vectors are one point with its smallest ids, as many as a result can need, so a
-vector that a third of the rows share costs no more than any other. Cells have a fixed
+vector that a third of the rows share costs no more than any other. All cells have the same
 number of points, whatever the distribution. Only the scale of the projections comes
 from a sample, of FIT_POINTS points; every vector is indexed.
 """
@@ -28,10 +30,12 @@ from stayline.sources.store import store
 
 CURVES = 32
 DIRECTIONS, BITS = 8, 3  # of each curve; a key has DIRECTIONS * BITS bits
-CELL = 512
+CELL = 512  # points of a cell, at least
+SHARE = 160  # a cell has one point in so many, at least
+TILE = 4096  # points of a cell, and queries, that one task compares at once
 FIT_POINTS = 10_000
 NEIGHBOURS = 10
-BLOCK = 1 << 22  # numbers in a block of differences
+BLOCK = 1 << 22  # numbers in a block of products or differences
 
 
 def hilbert_keys(places: np.ndarray, bits: int) -> np.ndarray:
@@ -102,16 +106,45 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.withColumn("vec", F.transform("vec", lambda x: F.when(x == 0, F.abs(x)).otherwise(x)))  # no -0
 
 
+def cell_size(points: int) -> int:
+    """Points of a cell, for so many points on each curve."""
+    return max(CELL, -(-points // SHARE))
+
+
+def nearest_of(q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, id, distance) of the k nearest rows of x, ties to the smaller id.
+
+    Products find the rows within rounding of the k-th distance; the distances
+    of these are then sums of squared differences."""
+    k, size = min(k, len(x)), (x**2).sum(axis=1)
+    step, parts = max(1, BLOCK // len(x)), []
+    for at in range(0, len(q), step):
+        some = q[at : at + step]
+        own = (some**2).sum(axis=1)[:, None]
+        near = own + size - 2 * (some @ x.T)
+        slack = 4 * (x.shape[1] + 4) * np.finfo(float).eps * (own + size.max())
+        row, col = np.nonzero(~(near > np.partition(near, k - 1, axis=1)[:, k - 1 : k] + slack))  # keeps overflows
+        score, pairs = np.empty(len(row)), max(1, BLOCK // x.shape[1])
+        for a in range(0, len(row), pairs):
+            score[a : a + pairs] = np.sqrt(((some[row[a : a + pairs]] - x[col[a : a + pairs]]) ** 2).sum(axis=1))
+        order = np.lexsort((ids[col], score, row))
+        row, col, score = row[order], col[order], score[order]
+        best = np.arange(len(row)) - np.searchsorted(row, row) < k
+        parts.append((row[best] + at, ids[col[best]], score[best]))
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
 def nearest(
     vectors: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int = NEIGHBOURS, curves: int = CURVES,
-    cell: int = CELL, seed: int = 5,
+    cell: int | None = None, seed: int = 5,
 ) -> DataFrame:
     """(query_id, rank, id, score): for every row that is_query (a condition on `id`) selects,
     the k nearest other rows found, by Euclidean distance, ties to the smaller id.
 
     Rows with an unusable vector (see `usable`) take no part; repeated rows of an id with
     the same vector count once; with fewer than k other rows all are found; an empty table
-    gives an empty result. Columns other than the two named are not looked at.
+    gives an empty result. Columns other than the two named are not looked at. Without
+    `cell` the cells grow with the points (`cell_size`).
     """
     spark = vectors.sparkSession
     rows = store(usable(vectors, id_col, vec_col).groupBy("vec", "id").agg(F.lit(1).alias("one")).drop("one"), "vectors")
@@ -135,35 +168,47 @@ def nearest(
                 continue
             for curve, keys in enumerate(fitted.keys(_matrix(batch.column("vec")))):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), curve, np.int32)), pa.array(keys), batch.column("point")],
-                    ["curve", "key", "point"])
-
-    keys = points.select("point", "vec").mapInArrow(keyed, "curve int, key long, point long")
-    placed = InOrder(keys, "curve", "key", "point").numbered()
-    cells = placed.select("point", F.expr(f"(position - 1) div {cell}").alias("cell"))
-    placed = points.select("point", "vec", "asks").join(cells, "point")
-    def role(offset: int, query: bool) -> Column:
-        return F.struct((F.col("cell") + offset).alias("to"), F.lit(query).alias("query"))
-
-    held, put = role(0, False), [role(d, True) for d in (-1, 0, 1)]
-    dealt = placed.select("point", "vec", F.inline(F.when(F.col("asks"), F.array(held, *put)).otherwise(F.array(held))))
+                    [pa.array(np.full(len(keys), curve, np.int32)), pa.array(keys), batch.column("point"), batch.column("asks")],
+                    ["curve", "key", "point", "asks"])
+
+    keys = points.select("point", "vec", "asks").mapInArrow(keyed, "curve int, key long, point long, asks boolean")
+    ordered = InOrder(keys, "curve", "key", "point")
+    cell = cell or cell_size(ordered.count // curves)
+    cells = ordered.numbered().select(
+        "point", "asks", F.expr(f"(position - 1) div {cell}").alias("cell"),
+        F.expr(f"(position - 1) % {cell} div {TILE}").cast("int").alias("tile"))
+    tiles = -(-cell // TILE)
+    # queries that come to each cell, in parts; at most curves * SHARE cells
+    asking = {r["cell"]: r["count"] for r in cells.filter("asks").groupBy("cell").count().collect()}
+    coming = {c + d for c in asking for d in (-1, 0, 1)}
+    parts = {c: -(-sum(asking.get(c + d, 0) for d in (-1, 0, 1)) // TILE) for c in coming}
+    met = spark.createDataFrame(
+        [(c, *[parts.get(c + d, 0) for d in (-1, 0, 1)]) for c in sorted(coming)],
+        "cell long, before int, here int, after int")
+    placed = points.select("point", "vec").join(cells.join(F.broadcast(met), "cell"), "point")
+
+    def role(to: Column, tile: Column, part: Column, query: bool) -> Column:
+        return F.struct(to.alias("to"), tile.alias("tile"), part.cast("int").alias("part"), F.lit(query).alias("query"))
+
+    held = F.transform(F.sequence(F.lit(0), F.col("here") - 1), lambda p: role(F.col("cell"), F.col("tile"), p, False))
+    every = F.sequence(F.lit(0), F.lit(tiles - 1))
+
+    def put(offset: int, number: str) -> Column:
+        part = F.pmod(F.xxhash64("point"), F.greatest(F.col(number), F.lit(1)))
+        return F.transform(every, lambda t: role(F.col("cell") + offset, t, part, True))
+
+    asked_of = F.concat(put(-1, "before"), put(0, "here"), put(1, "after"))
+    dealt = placed.select("point", "vec", F.inline(F.when(F.col("asks"), F.concat(held, asked_of)).otherwise(held)))
 
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
         held, put = (rows[rows["query"] == q].drop_duplicates("point") for q in (False, True))
         if not len(held) or not len(put):
             return pd.DataFrame({"query": [], "point": [], "score": []})
-        x, ids = np.stack(held["vec"].to_numpy()).astype(np.float64), held["point"].to_numpy()
-        step, parts = max(1, BLOCK // x.size), []
-        for at in range(0, len(put), step):
-            some = put.iloc[at : at + step]
-            q = np.stack(some["vec"].to_numpy()).astype(np.float64)
-            score = np.sqrt(((q[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
-            for own, line in zip(some["point"].to_numpy(), score):
-                best = np.lexsort((ids, line))[: k + 1]
-                parts.append(pd.DataFrame({"query": own, "point": ids[best], "score": line[best]}))
-        return pd.concat(parts)
-
-    found = dealt.groupBy("to").applyInPandas(compared, "query long, point long, score double")
+        x, q = (np.stack(side["vec"].to_numpy()).astype(np.float64) for side in (held, put))
+        row, ids, score = nearest_of(q, x, held["point"].to_numpy(), k + 1)
+        return pd.DataFrame({"query": put["point"].to_numpy()[row], "point": ids, "score": score})
+
+    found = dealt.groupBy("to", "tile", "part").applyInPandas(compared, "query long, point long, score double")
     found = found.groupBy("query", "point").agg(F.min("score").alias("score"))
     best = F.row_number().over(Window.partitionBy("query").orderBy("score", "point"))
     found = found.withColumn("best", best).filter(F.col("best") <= k + 1)
