@@ -1,8 +1,10 @@
 """Document quality by nearest-neighbour voting in a latent-semantic space.
 
-A text becomes counts of hashed terms that describe how it is written: shapes of its
-tokens (case, digits, punctuation), the tokens' endings, repeated tokens and lines,
-and pairs of neighbouring shapes. Sublinear counts with inverse document frequencies,
+A whole text becomes counts of hashed terms in two blocks. The first describes how it is
+written: shapes of its tokens (case, digits, punctuation), pairs of neighbouring shapes,
+shares of repeated tokens and lines, capitals and marks, and a size step. The second holds
+what it is written with: its words, in lower case without marks around them, and their last
+two and three letters. Sublinear counts with inverse document frequencies, each block
 scaled to length one, are projected on the leading singular vectors of the labelled
 sample. The labelled vectors are broadcast (at most 2 * PER_CLASS rows of DIM
 floats); every document's cosine with every labelled vector is computed exactly, in blocks, and the NEIGHBOURS
@@ -12,7 +14,7 @@ shares. Texts are scored whole, where they lie: no rows move.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -25,7 +27,8 @@ from stayline.llm.labelled import held_out, sample
 from stayline.llm.registry import query, table
 
 PER_CLASS = 2000  # labelled rows of either label that a model is fitted on, at most
-TERMS = 1 << 12
+STYLE_TERMS = 1 << 12  # buckets of the first block
+TERMS = 1 << 14  # buckets of both
 DIM = 48
 NEIGHBOURS = 25
 POWER = 4
@@ -44,23 +47,47 @@ def shape(token: str) -> str:
     return out[:8]
 
 
+def bare(token: str) -> str:
+    """The token in lower case, without what is neither letter nor digit at its ends."""
+    if not token.isalnum():
+        inner = [i for i, ch in enumerate(token) if ch.isalnum()]
+        token = token[inner[0] : inner[-1] + 1] if inner else ""
+    return token.lower()
+
+
 def _bucket(term: str) -> int:
-    return crc32(term.encode("utf-8", "surrogatepass")) % TERMS
+    return crc32(term.encode("utf-8", "surrogatepass")) % STYLE_TERMS
+
+
+def _word_bucket(term: str) -> int:
+    return STYLE_TERMS + crc32(term.encode("utf-8", "surrogatepass")) % (TERMS - STYLE_TERMS)
 
 
 class Terms:
-    """Hashed term counts of texts; shapes of tokens met before are kept, a bounded number."""
+    """Hashed term counts of texts; terms of tokens and of pairs of shapes met before are
+    kept, a bounded number."""
 
     def __init__(self):
-        self.known: dict[str, tuple[str, int]] = {}
+        self.known: dict[str, tuple[str, int, tuple[int, ...]]] = {}
+        self.pairs: dict[tuple[str, str], int] = {}
 
-    def token(self, token: str) -> tuple[str, int]:
+    def token(self, token: str) -> tuple[str, int, tuple[int, ...]]:
+        """Shape of a token, its bucket, and those of the word and its endings."""
         got = self.known.get(token)
         if got is None:
             if len(self.known) > TABLE_WORDS:
                 self.known.clear()
-            s = shape(token)
-            got = self.known[token] = (s, _bucket("s " + s))
+            s, word = shape(token), bare(token)
+            terms = (_word_bucket("w " + word), _word_bucket("e " + word[-2:]), _word_bucket("e " + word[-3:])) if word else ()
+            got = self.known[token] = (s, _bucket("s " + s), terms[:2] if len(word) < 3 else terms)
+        return got
+
+    def pair(self, pair: tuple[str, str]) -> int:
+        got = self.pairs.get(pair)
+        if got is None:
+            if len(self.pairs) > TABLE_WORDS:
+                self.pairs.clear()
+            got = self.pairs[pair] = _bucket(f"p {pair[0]} {pair[1]}")
         return got
 
     def counts(self, text: str | None) -> dict[int, float]:
@@ -68,13 +95,20 @@ class Terms:
         tokens = text.split() if text else []
         if not tokens:
             return {_bucket("empty"): 1.0}
-        out: Counter = Counter()
+        out: dict[int, float] = defaultdict(float)
         shapes = Counter()
         words = Counter(tokens)
+        shape_of = {}
         for token, n in words.items():
-            s, at = self.token(token)
+            s, at, terms = self.token(token)
+            shape_of[token] = s
             shapes[s] += n
             out[at] += n
+            for term in terms:
+                out[term] += n
+        in_order = list(map(shape_of.__getitem__, tokens))
+        for pair, n in Counter(zip(in_order, in_order[1:])).items():
+            out[self.pair(pair)] += n
         n = len(tokens)
         again = n - len(words)
         lines = text.split("\n")
@@ -102,7 +136,10 @@ class Model:
         return Model, (self.idf, self.axes, self.vectors, self.labels, self.prior)
 
     def project(self, texts: list[str | None]) -> np.ndarray:
-        dense = _rows([self.terms.counts(t) for t in texts], self.idf) @ self.axes
+        dense = np.empty((len(texts), self.axes.shape[1]), np.float32)
+        for row, text in zip(dense, texts):
+            at, values = _weighted(_counted(self.terms.counts(text)), self.idf)
+            row[:] = values @ self.axes[at]
         return dense / np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
@@ -121,13 +158,19 @@ class Model:
         return out
 
 
-def _rows(bags: list[dict[int, float]], idf: np.ndarray) -> np.ndarray:
-    """Dense block of weighted rows of length one."""
-    out = np.zeros((len(bags), TERMS), np.float32)
-    for row, bag in zip(out, bags):
-        row[list(bag)] = np.log1p(np.fromiter(bag.values(), float, len(bag)))
-    out *= idf
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+def _counted(bag: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Terms and counts of a text as arrays."""
+    return np.fromiter(bag.keys(), np.int32, len(bag)), np.fromiter(bag.values(), np.float32, len(bag))
+
+
+def _weighted(bag: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms and weights of a text, the weights of either block of length one."""
+    at, counts = bag
+    values = np.log1p(counts) * idf[at]
+    words = at >= STYLE_TERMS
+    for block in (words, ~words):
+        values[block] /= max(float(np.linalg.norm(values[block])), 1e-12)
+    return at, values
 
 
 def fit(texts: list[str], labels: list[int], prior: float) -> Model:
@@ -135,29 +178,34 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
     all labels. Without rows every text scores the prior."""
     y = np.array(labels, dtype=int)
     terms = Terms()
-    bags = [terms.counts(t) for t in texts]
+    bags = [_counted(terms.counts(t)) for t in texts]
     have = np.zeros(TERMS)
-    for bag in bags:
-        have[list(bag)] += 1
+    for at, _ in bags:
+        have[at] += 1
     idf = np.log((1 + len(bags)) / (1 + have)) + 0.1
     idf[have == 0] = 0.0
-    gram = np.zeros((TERMS, TERMS), np.float32)
-    for at in range(0, len(bags), BLOCK):
-        block = _rows(bags[at : at + BLOCK], idf)
-        gram += block.T @ block
-    axes = _leading(gram, min(DIM, max(1, len(bags))))
-    model = Model(idf.astype(np.float32), axes, np.zeros((0, axes.shape[1]), np.float32), y[:0], prior)
+    idf = idf.astype(np.float32)
+    axes = _leading([_weighted(bag, idf) for bag in bags], min(DIM, max(1, len(bags))))
+    model = Model(idf, axes, np.zeros((0, axes.shape[1]), np.float32), y[:0], prior)
     if len(bags):
         model.vectors, model.labels = np.concatenate(
             [model.project(texts[at : at + BLOCK]) for at in range(0, len(texts), BLOCK)]), y
     return model
 
 
-def _leading(gram: np.ndarray, dim: int, rounds: int = 12) -> np.ndarray:
-    """Leading eigenvectors of a symmetric matrix by block iteration."""
-    q = np.linalg.qr(np.random.default_rng(3).normal(size=(len(gram), dim)).astype(np.float32))[0]
+def _leading(rows: list[tuple[np.ndarray, np.ndarray]], dim: int, rounds: int = 12) -> np.ndarray:
+    """Leading right singular vectors of weighted rows by block iteration; BLOCK rows are
+    dense at a time."""
+    q = np.linalg.qr(np.random.default_rng(3).normal(size=(TERMS, dim)).astype(np.float32))[0]
     for _ in range(rounds):
-        q = np.linalg.qr(gram @ q)[0]
+        after = np.zeros_like(q)
+        for first in range(0, len(rows), BLOCK):
+            some = rows[first : first + BLOCK]
+            dense = np.zeros((len(some), TERMS), np.float32)
+            for row, (at, values) in zip(dense, some):
+                row[at] = values
+            after += dense.T @ (dense @ q)
+        q = np.linalg.qr(after)[0]
     return q.astype(np.float32)
 
 

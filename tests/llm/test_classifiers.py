@@ -79,6 +79,45 @@ def test_quality_space():
     assert quality.fit([], [], 0.7).score(["x", None]).tolist() == [0.7, 0.7]
 
 
+def letters(rng, n):
+    """Random lower-case letters: the shapes of words()."""
+    return " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(n))
+
+
+def halves(rng, n, mixed):
+    """Capitalised and small words, in turn or one kind after the other."""
+    small, large = words(rng, n).split(), words(rng, n).title().split()
+    return " ".join(w for pair in zip(large, small) for w in pair) if mixed else " ".join(large + small)
+
+
+def other(rng, n):
+    """Words that good texts lack."""
+    return " ".join(["wordy", "salad", "mixes", "terms", "junky", "heaps"][i] for i in rng.integers(0, 6, n))
+
+
+def endings(rng, n, end):
+    """Words never seen twice, with one ending."""
+    return " ".join(w + end for w in letters(rng, n).split())
+
+
+@pytest.mark.parametrize("good,junk", [
+    (words, letters), (words, other), (lambda r, n: halves(r, n, True), lambda r, n: halves(r, n, False)),
+    (lambda r, n: endings(r, n, "ing"), lambda r, n: endings(r, n, "qxz")),
+])
+def test_quality_tells_junk_of_equal_shapes(good, junk):
+    rng = np.random.default_rng(4)
+    model = quality.fit([good(rng, 40) for _ in range(60)] + [junk(rng, 40) for _ in range(60)], [1] * 60 + [0] * 60, 0.5)
+    assert (model.score([good(rng, 40) for _ in range(20)]) > 0.8).all()
+    assert (model.score([junk(rng, 40) for _ in range(20)]) < 0.2).all()
+
+
+def test_quality_terms_cover_the_whole_text():
+    terms = quality.Terms()
+    for long, end in (("word " * 30_000, "finis"), ("x" * 50_000, "y")):
+        assert set(terms.counts(long + end)) - set(terms.counts(long))
+    assert quality.bare("(Ab-c9!),") == "ab-c9" and quality.bare("--") == ""
+
+
 @pytest.mark.parametrize("name", ["op2_neighbour_vote", "op6_subword_softmax"])
 def test_queries_on_held_out_rows(spark, name):
     label, least = ("quality", 0.95) if name.startswith("op2") else ("toxic", 0.6)
