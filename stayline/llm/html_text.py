@@ -3,7 +3,9 @@
 The standard library's streaming parser turns a page into lines, one for each block of
 text, with the number of tags met since the line before. Lines in menus, adverts, forms
 and the like (by element or by the words of class, id and role) are noise and count as
-empty, as do lines that are mostly links. The text-to-tag ratios are smoothed with a Gaussian and clustered by a threshold:
+empty, as do lines that are mostly links. Words alone don't make a container noise that
+holds the page's longest article (or else main) element, most of its text, or, on a page
+with neither, most of the text. The text-to-tag ratios are smoothed with a Gaussian and clustered by a threshold:
 the midpoint of two means. Lines above it are content. From the body, the walk goes down
 as long as one container holds most of the content; that container is the region.
 
@@ -54,6 +56,7 @@ CONTAINER_TAGS = set(
 SPACED_TAGS = {"br", "td", "th", "img", "input", "option"}
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+NEGATIONS = {"no", "has", "with", "without"}  # the word after one of them in a name marks nothing
 _WORDS = re.compile("[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 SIGMA = 1.0  # of the smoothing, in lines
@@ -69,6 +72,7 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int, int, bool, bool, int]] = []
         self.parents, self.kinds = [-1], ["body"]  # containers; 0 is the page
         self.open: list[tuple[str, int, bool, bool]] = []  # tag, container, noise, in article
+        self.named = [False]  # noise by its words
         self.here, self.noise, self.article = 0, False, False
         self.text: list[str] = []
         self.tags, self.heading, self.link, self.linked = 0, False, False, 0
@@ -84,18 +88,21 @@ class _Lines(HTMLParser):
     def restore(self) -> None:
         _, self.here, self.noise, self.article = self.open[-1] if self.open else ("", 0, False, False)
 
-    def marked(self, tag: str, attrs: list) -> bool:
+    def marked(self, tag: str, attrs: list) -> tuple[bool, bool]:
+        """Whether an element is noise, and whether it is so by its words alone."""
         if tag in NOISE_TAGS or (tag == "header" and not self.article):
-            return True
+            return True, False
         said = set()
         for name, value in attrs:
             if name in ("class", "id", "role") and value:
-                said.update(w.lower() for w in _WORDS.findall(value))
+                for token in value.split():
+                    words = [w.lower() for w in _WORDS.findall(token)]
+                    said.update(w for before, w in zip(["", *words], words) if before not in NEGATIONS)
             elif name == "hidden" or (name == "style" and value and re.search(r"display\s*:\s*none", value)):
-                return True
-        said -= {"no", "has", "with"}
-        return tag not in ("body", "html", "article", "main") and bool(
+                return True, False
+        named = tag not in ("body", "html", "article", "main") and bool(
             said & NOISE_WORDS or (not self.article and said & HEADER_WORDS))
+        return named, named
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -111,7 +118,7 @@ class _Lines(HTMLParser):
         self.link = tag == "a" or (self.link and not block)
         if tag in VOID_TAGS or tag in ("html", "body", "head"):
             return
-        noise = self.marked(tag, attrs)
+        noise, named = self.marked(tag, attrs)
         if tag not in CONTAINER_TAGS and not noise:
             return
         if noise and not block:
@@ -121,6 +128,8 @@ class _Lines(HTMLParser):
             here = len(self.parents)
             self.parents.append(self.here)
             self.kinds.append(tag)
+            self.named.append(named)
+            noise = noise and not named  # decided when the whole page is read
         self.here, self.noise = here, self.noise or noise
         self.article = self.article or tag in ("article", "main")
         self.open.append((tag, here, self.noise, self.article))
@@ -151,6 +160,37 @@ class _Lines(HTMLParser):
             self.linked += len(data.strip())
 
 
+def unnamed(page: _Lines) -> list[tuple[str, int, int, bool, bool, int]]:
+    """The page's lines, noise where a container is noise by its words. It is none if it
+    holds the article with the most text, or MOST of that article's text; on a page without
+    article and main, if it holds more than half of the text. Text is what is no noise
+    otherwise, outside links; containers inside one that is kept are judged by themselves."""
+    if not any(page.named):
+        return page.lines
+    n = len(page.parents)
+    size = [0] * n
+    for text, _, here, noise, _, linked in page.lines:
+        if not noise:
+            size[here] += max(0, len(text) - linked)
+    for c in range(n - 1, 0, -1):
+        size[page.parents[c]] += size[c]
+    main = next((found for kind in ("article", "main") if (found := [c for c in range(n) if page.kinds[c] == kind and size[c]])), [])
+    main = max(main, key=lambda c: size[c], default=None)
+    above, c = set(), main
+    while c is not None and c >= 0:
+        above.add(c)
+        c = page.parents[c]
+    out, within = [False] * n, [c == main for c in range(n)]
+    for c in range(1, n):
+        within[c] = within[c] or within[page.parents[c]]
+        if main is None:
+            kept = 2 * size[c] > size[0]
+        else:
+            kept = c in above or (within[c] and size[c] >= MOST * size[main])
+        out[c] = out[page.parents[c]] or (page.named[c] and not kept)
+    return [(text, tags, here, noise or out[here], heading, linked) for text, tags, here, noise, heading, linked in page.lines]
+
+
 def smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
     """Gaussian smoothing; weights at the edges are scaled to sum to one."""
     reach = math.ceil(3 * sigma)
@@ -177,7 +217,7 @@ def threshold(values: np.ndarray) -> float:
 
 def region_lines(page: _Lines, sigma: float = SIGMA) -> list[str]:
     """Texts of the lines that belong to the content regions, in page order."""
-    lines = page.lines
+    lines = unnamed(page)
     if all(noise for _, _, _, noise, _, _ in lines):
         return []
     ratios = np.array([0.0 if noise else max(0, len(text) - linked) / max(tags, 1) for text, tags, _, noise, _, linked in lines])

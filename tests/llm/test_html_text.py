@@ -34,6 +34,20 @@ CASES = {
 }
 
 
+WRAPS = ["content with-sidebar", "no-sidebar", "has-comments", "page withoutSidebar", "widget", "alert", "social", "search-page", "form"]
+ASIDE = f"<div class='sidebar'><p>{O}</p></div><div class='ad'>Buy {O}</div>"
+CASES |= {f"wrap {w}": (f"<div class='{w}'><h1>Head</h1><p>{L}</p><p>{L}</p><p>{L}</p></div><div class='comments'><p>{O}</p></div>", ["Head", L, L, L]) for w in WRAPS}
+CASES |= {f"hold {w}": (f"<div class='{w}'>{ASIDE}<article><h1>Head</h1><p>{L}</p></article></div>", ["Head", L]) for w in WRAPS}
+CASES |= {
+    "nested wraps": (f"<div class=widget><div id=social><main><p>{L}</p><div class=share>{O}</div><p>Ok.</p></main></div></div>", [L, "Ok."]),
+    "negated": (f"<div class=text><p>{L}</p><div class='no-sidebar has-comments'><p>{O}</p></div><p>{L}</p></div>", [L, O, L]),
+    "comment articles": (f"<main><article><p>{L}</p></article><div class=comments><article><p>{O}</p></article><article><p>{O}</p></article></div></main>", [L]),
+    "long ad": (f"<div class=ad><p>{O}</p><p>{O}</p></div><article><p>Short.</p></article>", ["Short."]),
+    "inner wrap": (f"<main><div class=widget><p>{L}</p><p>{O}</p></div><p>End.</p></main>", [L, O, "End."]),
+    "both": (f"<div class='no-sidebar sidebar'><p>{O}</p></div><div class=text><p>{L}</p><p>{L}</p></div>", [L, L]),
+}
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_known_pages(name):
     body, blocks = CASES[name]
