@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from stayline.llm import hilbert_search, html_text, order_minhash, packing, pieces, quality, secret_scan, sharding, simhash, toxicity  # noqa: F401
+from stayline.llm import (  # noqa: F401
+    conversations, hard_negatives, hilbert_search, html_text, order_minhash, packing, pieces, quality, secret_scan,
+    sharding, simhash, suffix_arrays, toxicity,
+)
 from stayline.llm.registry import ORACLES, QUERIES
 
 
