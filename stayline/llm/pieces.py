@@ -3,12 +3,13 @@
 No piece of the models this serves holds a whitespace marker behind another character,
 so no merge crosses from one word into the marker of the next, and a text is the
 sequence of its marked words (leading markers plus what follows up to the next marker).
-Each task keeps a table of the marked words it has met, segments every new one once with
-the library, and puts a text's ids together by looking its words up in order. A model
+Each task keeps a table of the distinct marked words it has met, segments every new one once
+with the library, and puts a text's ids together by looking its words up in order. A model
 whose pieces do cross markers is refused.
 
-The table belongs to one Python worker, holds at most TABLE_WORDS words and starts anew
-when it is full, so memory does not depend on the input. No rows move: there is no
+The table belongs to one Python worker, so a word is segmented once in each worker that meets
+it; it holds at most TABLE_WORDS words and starts anew when it is full, so memory does not
+depend on the input. No rows move: there is no
 shuffle, and a lost executor's part is simply computed again.
 """
 
@@ -61,6 +62,9 @@ class Segmenter:
         except KeyError:
             if self.size > TABLE_BYTES or len(self.words) > TABLE_WORDS:
                 self.words, self.size = {}, 0
+            # behind a text's last word one marker may stand alone: the library has no text for it
+            for lone in " ▁":
+                self.words.setdefault(lone, array("i", [self.model.piece_to_id("▁")]).tobytes())
             new = list({w for w in words if w not in self.words})
             for word, ids in zip(new, self.model.encode([w[1:] for w in new], num_threads=1)):
                 self.words[word] = got = array("i", ids).tobytes()

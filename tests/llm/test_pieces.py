@@ -41,7 +41,7 @@ def test_encode_and_decode_columns(awkward, library):
         assert r["back"] == (library.decode(ids) if ids else "")
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=2000, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab ▁\n\té😀́<s>/."), max_size=40))
 def test_words_join_to_whole_text(text):
     own = pieces.Segmenter.of(MODEL)
@@ -58,6 +58,16 @@ def test_table_starts_anew(monkeypatch, library):
         assert [int.from_bytes(got[i : i + 4], "little") for i in range(0, len(got), 4)] == library.encode(text)
 
 
+@pytest.mark.parametrize("end", [" ", "\t", "\n", "  ", "▁", " ▁", "\n ", "\t \n"])
+def test_lone_marker_at_the_end(spark, library, tmp_path, end):
+    texts = ["a" + end, end, "a b" + end, "é." + end]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.queries()["op9_pieces"](spark, str(tmp_path)).collect():
+        ids = library.encode(texts[r["doc_id"]])
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
 def test_query(spark, folder, library):
     docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     rows = queries.queries()["op9_pieces"](spark, folder).collect()
