@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.labelled import held_out, sample
+from stayline.llm import labelled
+from stayline.llm.labelled import Bag, held_out, sample
 from stayline.llm.registry import query, table
 
 PER_CLASS = 2000  # labelled rows of either label that a model is fitted on, at most
@@ -136,9 +137,13 @@ class Model:
         return Model, (self.idf, self.axes, self.vectors, self.labels, self.prior)
 
     def project(self, texts: list[str | None]) -> np.ndarray:
-        dense = np.empty((len(texts), self.axes.shape[1]), np.float32)
-        for row, text in zip(dense, texts):
-            at, values = _weighted(_counted(self.terms.counts(text)), self.idf)
+        return self.placed([_counted(self.terms.counts(text)) for text in texts])
+
+    def placed(self, bags: list[Bag]) -> np.ndarray:
+        """Vectors of length one of some bags."""
+        dense = np.empty((len(bags), self.axes.shape[1]), np.float32)
+        for row, bag in zip(dense, bags):
+            at, values = _weighted(bag, self.idf)
             row[:] = values @ self.axes[at]
         return dense / np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
 
@@ -173,12 +178,21 @@ def _weighted(bag: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> tuple[np.n
     return at, values
 
 
+def count(texts: list[str]) -> list[Bag]:
+    """The bag of each text."""
+    terms = Terms()
+    return [_counted(terms.counts(t)) for t in texts]
+
+
 def fit(texts: list[str], labels: list[int], prior: float) -> Model:
+    """A model of whole texts, see `fit_bags`."""
+    return fit_bags(count(texts), labels, prior)
+
+
+def fit_bags(bags: list[Bag], labels: list[int], prior: float) -> Model:
     """Latent space and vectors of a labelled sample; prior is the share of label 1 among
     all labels. Without rows every text scores the prior."""
     y = np.array(labels, dtype=int)
-    terms = Terms()
-    bags = [_counted(terms.counts(t)) for t in texts]
     have = np.zeros(TERMS)
     for at, _ in bags:
         have[at] += 1
@@ -188,8 +202,7 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
     axes = _leading([_weighted(bag, idf) for bag in bags], min(DIM, max(1, len(bags))))
     model = Model(idf, axes, np.zeros((0, axes.shape[1]), np.float32), y[:0], prior)
     if len(bags):
-        model.vectors, model.labels = np.concatenate(
-            [model.project(texts[at : at + BLOCK]) for at in range(0, len(texts), BLOCK)]), y
+        model.vectors, model.labels = model.placed(bags), y
     return model
 
 
@@ -214,7 +227,8 @@ def fitted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mo
     counted over all of these labels."""
     learnt = labels.filter(~held_out("doc_id") & F.col("quality").isin(0, 1))
     prior = learnt.agg(F.avg("quality").alias("p")).first()["p"]
-    return fit(*sample(docs, labels, "quality", per_class), 1.0 if prior is None else float(prior))
+    prior = 1.0 if prior is None else float(prior)
+    return labelled.fitted(sample(docs, labels, "quality", per_class), count, lambda bags, y: fit_bags(bags, y, prior))
 
 
 def score(text: Column | str, model: Model) -> Column:

@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.labelled import held_out, sample
+from stayline.llm import labelled
+from stayline.llm.labelled import Bag, held_out, sample
 from stayline.llm.registry import query, table
 
 PER_CLASS = 2500  # labelled rows of either label that a model is fitted on, at most
@@ -110,7 +111,7 @@ class Model:
         return self.scores([text])[0]
 
 
-def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+def _bags(texts: list[str]) -> list[Bag]:
     """For each text its n-gram buckets and what each adds to the average over its words."""
     index: dict[str, int] = {}
     rows = [[index.setdefault(plain(w), len(index)) for w in split(t)] for t in texts]
@@ -129,20 +130,34 @@ def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
+def count(texts: list[str]) -> list[Bag]:
+    """The bag of each text; empty for one without words."""
+    full = [i for i, t in enumerate(texts) if t.split()]
+    out: list[Bag] = [(np.zeros(0, np.int32), np.zeros(0, np.float32))] * len(texts)
+    for at in range(0, len(full), BLOCK):  # a block's words at a time, so that few are held
+        some = full[at : at + BLOCK]
+        for i, bag in zip(some, _bags([texts[i] for i in some])):
+            out[i] = bag
+    return out
+
+
 def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
-    """Train on whole texts, both labels with equal weight: Adam over small batches, whose
-    second moments tell n-grams with a steady effect from those with a chance one. Texts
+    """A model of whole texts, see `fit_bags`."""
+    return fit_bags(count(texts), labels, seed)
+
+
+def fit_bags(bags: list[Bag], labels: list[int], seed: int = 7) -> Model:
+    """Train on the bags of whole texts, both labels with equal weight: Adam over small batches,
+    whose second moments tell n-grams with a steady effect from those with a chance one. Texts
     without words don't count; without rows of both labels every text scores 0."""
-    keep = [i for i, t in enumerate(texts) if t.split()]
+    keep = [i for i, (b, _) in enumerate(bags) if len(b)]
     y = np.array([labels[i] for i in keep], dtype=int)
     if len(set(y.tolist())) < 2:
         return Model(np.zeros(BUCKETS), -60.0, 0.0)
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(keep))
     y = y[order]
-    bags: list[tuple[np.ndarray, np.ndarray]] = []
-    for at in range(0, len(order), BLOCK):  # a block's words at a time, so that few are held
-        bags += _bags([texts[keep[i]] for i in order[at : at + BLOCK]])
+    bags = [bags[keep[i]] for i in order]
     in_docs = np.zeros(BUCKETS, int)
     for b, _ in bags:
         in_docs[b] += 1
@@ -187,7 +202,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
 
 def fitted(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """A model of `labels.toxic` from the rows outside the held-out fold."""
-    return fit(*sample(docs, labels, "toxic", per_class))
+    return labelled.fitted(sample(docs, labels, "toxic", per_class), count, fit_bags)
 
 
 def score(text: Column | str, model: Model) -> Column:
