@@ -26,6 +26,7 @@ from stayline.sources.store import save, store
 
 MISSING = 255  # bin of null and NaN values
 ONE = float(1 << 30)  # fixed-point unit of g and h
+ROWS_A_TASK = 50_000
 KEEP_ROUNDS = 25  # rounds after which margins are stored
 LEAST_GAIN = 1e-6
 
@@ -282,7 +283,8 @@ def fit(
 
     plain = data.select(F.col(label).cast("int").alias("y"), *[F.col(c).cast("double").alias(f"x{f}") for f, c in enumerate(columns)])
     schema = "bins binary, y int, margin double"
-    rows = store(plain.mapInArrow(packed, schema), "binned")
+    parts = max(1, -(-sum(sizes.values()) // ROWS_A_TASK))  # fewer tasks than partitions where rows are few
+    rows = store(plain.coalesce(parts).mapInArrow(packed, schema), "binned")
     recent: list[Tree] = []
     for _ in range(rounds):
         tree = _grown(rows, recent, width, depth, rate, penalty, least_curvature, weight)

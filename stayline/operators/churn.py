@@ -11,17 +11,20 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.config import Settings
 from stayline.functions import synth
 from stayline.functions.scalars import predicted_flag
-from stayline.operators import evaluation, features, labels
+from stayline.operators import boosting, evaluation, features, labels
 from stayline.operators.oversampling import smote
 from stayline.session import freeze
+from stayline.sources.store import exists
 
 MODELS = ["Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting"]
+NEWTON = "Newton Boosting"  # may stand beside the others, or for Gradient Boosting
+Model = PipelineModel | boosting.NewtonTrees
 
 
 def leak_free_features(people: DataFrame, txn: DataFrame, engagement: DataFrame, cfg: Settings) -> DataFrame:
@@ -59,8 +62,9 @@ def weighted(train: DataFrame) -> DataFrame:
 
 def train_models(
     train: DataFrame, columns: list[str], cfg: Settings, names: list[str] | None = None
-) -> dict[str, PipelineModel]:
-    """One fitted pipeline (assemble, scale, classify) per model name."""
+) -> dict[str, Model]:
+    """One fitted pipeline (assemble, scale, classify) per model name; Newton-boosted trees need
+    neither scaling nor class weights, as the positive weight follows from the labels."""
     train = freeze(weighted(train))
     n_rows = train.count()
     prepare = [
@@ -68,18 +72,39 @@ def train_models(
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
     ]
     names = names or MODELS
+
+    def fit(name: str) -> Model:
+        if name == NEWTON:
+            return boosting.fit(
+                train, columns, rounds=cfg.boosting_rounds, depth=cfg.boosting_depth, rate=cfg.boosting_rate, seed=cfg.seed)
+        return Pipeline(stages=[*prepare, classifier(name, n_rows, cfg)]).fit(train)
+
     with ThreadPoolExecutor(len(names)) as pool:  # the models don't depend on one another
-        fitted = pool.map(lambda name: Pipeline(stages=[*prepare, classifier(name, n_rows, cfg)]).fit(train), names)
-        return dict(zip(names, fitted))
+        return dict(zip(names, pool.map(fit, names)))
+
+
+def save_model(model: Model, spark: SparkSession, path: str) -> None:
+    """Write a fitted model of either kind; `load_model` reads it back."""
+    if isinstance(model, boosting.NewtonTrees):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def load_model(spark: SparkSession, path: str) -> Model:
+    pipeline = exists(spark, f"{path}/stages")
+    return PipelineModel.load(path) if pipeline else boosting.NewtonTrees.load(spark, path)
+
+
+def score(model: Model, df: DataFrame) -> DataFrame:
     """Adds churn_prob; the vector columns are dropped."""
+    if isinstance(model, boosting.NewtonTrees):
+        return model.score(df)
     out = model.transform(df).withColumn("churn_prob", vector_to_array("probability")[1])
     return out.drop("raw_features", "features", "rawPrediction", "probability", "prediction")
 
 
-def score_all(model: PipelineModel, customers: DataFrame) -> DataFrame:
+def score_all(model: Model, customers: DataFrame) -> DataFrame:
     """Probability and flag for every customer, labelled or not."""
     matrix = labels.feature_matrix(customers)
     scored = score(model, matrix).select("customer_id", "churn_prob")
@@ -88,16 +113,17 @@ def score_all(model: PipelineModel, customers: DataFrame) -> DataFrame:
     )
 
 
-def feature_importance(models: dict[str, PipelineModel], columns: list[str], top: int | None = None) -> DataFrame:
+def feature_importance(models: dict[str, Model], columns: list[str], top: int | None = None) -> DataFrame:
     """Importances of the tree ensembles; as many rows as features."""
-    from pyspark.sql import SparkSession
-
     rows = []
     for name, model in models.items():
-        values = getattr(model.stages[-1], "featureImportances", None)
-        if values is None:
+        if isinstance(model, boosting.NewtonTrees):
+            values = model.gains()
+        elif (found := getattr(model.stages[-1], "featureImportances", None)) is not None:
+            values = found.toArray().tolist()
+        else:
             continue
-        ranked = sorted(zip(columns, values.toArray().tolist()), key=lambda p: (-p[1], p[0]))
+        ranked = sorted(zip(columns, values), key=lambda p: (-p[1], p[0]))
         rows += [(name, place, c, float(v)) for place, (c, v) in enumerate(ranked[:top], start=1)]
     spark = SparkSession.getActiveSession()
     return spark.createDataFrame(rows, "model string, place int, feature string, importance double")
@@ -110,7 +136,7 @@ class Run:
     models: dict
     comparison: DataFrame
     best_name: str
-    best: PipelineModel
+    best: Model
     scored: DataFrame
     test: DataFrame
     columns: list

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import factorial
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -10,8 +10,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayline.operators.boosting import NewtonTrees
 from stayline.sources.store import scratch
 
+ROWS = 2048  # rows that descend a tree at once
+
 
 def linear_contributions(df: DataFrame, weights: dict[str, float]) -> DataFrame:
     """weight * (value - mean) per feature: the exact attribution of a linear score."""
@@ -40,12 +43,29 @@ def linear_weights(model: PipelineModel, columns: list[str]) -> dict[str, float]
     }
 
 
-def tree_leaves(model: PipelineModel, spark) -> list[tuple]:
-    """Leaves of a fitted tree or ensemble: (value, {feature: (low, high, cover share)}).
-
-    A leaf is reached by rows with low < x <= high for every feature on its path;
-    the share is the product of child/parent row counts of that feature's splits.
-    """
+class TreeNodes(NamedTuple):
+    """A tree as arrays over its nodes, node 0 the root: rows with feature <= cut go left, null ones
+    where null_left says; leaves have feature -1; cover is how much of the training rows a node saw."""
+
+    feature: np.ndarray
+    cut: np.ndarray
+    null_left: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    cover: np.ndarray
+
+
+def model_trees(model: PipelineModel | NewtonTrees, spark) -> list[TreeNodes]:
+    """Trees of a fitted tree or ensemble, their values weighted so that they add up to the
+    score: a probability, or the margin of boosted trees (half of it for gradient-boosted ones)."""
+    if isinstance(model, NewtonTrees):
+        return [
+            TreeNodes(
+                np.array(t.feature), np.array([model.cuts[f][b] if f >= 0 else 0.0 for f, b in zip(t.feature, t.bin)]),
+                np.array(t.missing_left), np.array(t.left), np.array(t.right), np.array(t.value), np.array(t.cover))
+            for t in model.trees
+        ]
     fitted = model.stages[-1]
     path = scratch(spark, "trees")
     fitted.write().overwrite().save(path)
@@ -56,75 +76,116 @@ def tree_leaves(model: PipelineModel, spark) -> list[tuple]:
         data = data.withColumn("treeID", F.lit(0))
     boosted = fitted.__class__.__name__.startswith("GBT")
     scale = fitted.treeWeights if hasattr(fitted, "treeWeights") else [1.0]
-    trees: dict[int, dict] = {}
-    for r in data.collect():  # as many rows as the model has nodes
-        trees.setdefault(r["treeID"], {})[r["id"]] = r
     total = 1.0 if boosted else float(sum(scale))
-    leaves = []
-
-    def walk(nodes, node, weight, path):
-        if node["leftChild"] < 0:
-            stats = node["impurityStats"]
-            value = node["prediction"] if boosted else stats[1] / sum(stats)
-            leaves.append((weight * value, path))
+    by_tree: dict[int, dict] = {}
+    for r in data.collect():  # as many rows as the model has nodes
+        by_tree.setdefault(r["treeID"], {})[r["id"]] = r
+    out = []
+    for tree_id, nodes in sorted(by_tree.items()):
+        place = {node: i for i, node in enumerate(sorted(nodes))}
+        rows = [nodes[node] for node in place]
+        inner = [r["leftChild"] >= 0 for r in rows]
+
+        def value(r):
+            return r["prediction"] if boosted else r["impurityStats"][1] / sum(r["impurityStats"])
+
+        out.append(TreeNodes(
+            np.array([r["split"]["featureIndex"] if i else -1 for r, i in zip(rows, inner)]),
+            np.array([r["split"]["leftCategoriesOrThreshold"][0] if i else 0.0 for r, i in zip(rows, inner)]),
+            np.zeros(len(rows), bool),
+            np.array([place[r["leftChild"]] if i else -1 for r, i in zip(rows, inner)]),
+            np.array([place[r["rightChild"]] if i else -1 for r, i in zip(rows, inner)]),
+            np.array([0.0 if i else scale[tree_id] / total * value(r) for r, i in zip(rows, inner)]),
+            np.array([float(r["rawCount"]) for r in rows]),
+        ))
+    return out
+
+
+def _unwound(weights: np.ndarray, share: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Path weights as they were before a feature came in, for several features at once: weights is
+    (m + 1, rows), share (features, 1), inside (features, rows); the result (m, features, rows)."""
+    m = len(weights) - 1
+    out = np.empty((m, *inside.shape))
+    after = np.broadcast_to(weights[m], inside.shape)
+    for j in range(m - 1, -1, -1):
+        part = share * ((m - j) / (m + 1))
+        told = after * ((m + 1) / (j + 1))
+        out[j] = np.where(inside, told, weights[j] / part)
+        after = weights[j] - told * part
+    return out
+
+
+def tree_shapley(tree: TreeNodes, x: np.ndarray, out: np.ndarray) -> None:
+    """Adds the path-dependent Shapley values of a tree, for all rows of x, to out (features, rows).
+
+    One descent: entry k of the path weights is the weight of the subsets of k features of the
+    path, in which a feature lets a row pass if it is in the subset and the row goes that way, and
+    with the share of training rows that went that way if not. A split extends the weights; a
+    feature that comes again is taken out first; at a leaf each feature is taken out in turn.
+    """
+    def descend(node: int, path: list[int], share: list[float], inside: list[np.ndarray], weights: np.ndarray) -> None:
+        m = len(path)
+        feature = tree.feature[node]
+        if feature < 0:
+            if m and tree.value[node]:
+                passes, shares = np.stack(inside), np.array(share)[:, None]
+                worth = _unwound(weights, shares, passes).sum(axis=0) * (passes - shares) * tree.value[node]
+                for f, add in zip(path, worth):
+                    out[f] += add
             return
-        split = node["split"]
-        f, cut = split["featureIndex"], split["leftCategoriesOrThreshold"][0]
-        for side in ("leftChild", "rightChild"):
-            child = nodes[node[side]]
-            low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
-            low, high = (low, min(high, cut)) if side == "leftChild" else (max(low, cut), high)
-            cover = share * child["rawCount"] / max(node["rawCount"], 1)
-            walk(nodes, child, weight, {**path, f: (low, high, cover)})
-
-    for tree_id, nodes in trees.items():
-        walk(nodes, nodes[0], scale[tree_id] / total, {})
-    return leaves
-
-
-def _leaf_shapley(x: np.ndarray, value: float, path: dict, out: np.ndarray) -> None:
-    """Adds the Shapley values of one leaf, a product game over its path features."""
-    names = list(path)
-    m = len(names)
-    inside = np.stack([(x[:, f] > path[f][0]) & (x[:, f] <= path[f][1]) for f in names], axis=1).astype(float)
-    share = [path[f][2] for f in names]
-    sizes = np.array([factorial(s) * factorial(m - 1 - s) / factorial(m) for s in range(m)])
-    for i, f in enumerate(names):
-        poly = np.zeros((len(x), m))
-        poly[:, 0] = 1.0
-        for j in range(m):
-            if j != i:
-                shifted = np.concatenate([np.zeros((len(x), 1)), poly[:, :-1]], axis=1)
-                poly = poly * share[j] + shifted * inside[:, [j]]
-        out[:, f] += value * (inside[:, i] - share[i]) * (poly @ sizes)
-
-
-def tree_contributions(scaled: DataFrame, leaves: list[tuple], columns: list[str]) -> DataFrame:
-    """Path-dependent Shapley values of a tree ensemble for rows with a `features` array."""
-    shared = scaled.sparkSession.sparkContext.broadcast([leaf for leaf in leaves if leaf[1]])
-    key_type = dict(scaled.dtypes)["customer_id"]
+        was, had = 1.0, None
+        if feature in path:
+            i = path.index(feature)
+            was, had = share[i], inside[i]
+            weights = _unwound(weights, np.array([[was]]), had[None])[:, 0]
+            path, share, inside = path[:i] + path[i + 1 :], share[:i] + share[i + 1 :], inside[:i] + inside[i + 1 :]
+            m -= 1
+        values = x[:, feature]
+        goes = np.where(np.isnan(values), tree.null_left[node], values <= tree.cut[node])
+        grown = np.arange(1, m + 2)[:, None] / (m + 2)
+        for child, there in ((tree.left[node], goes), (tree.right[node], ~goes)):
+            passes = there if had is None else there & had
+            part = max(was * tree.cover[child] / max(tree.cover[node], 1e-300), 1e-12)  # no row at all: as good as none
+            more = np.zeros((m + 2, len(x)))
+            more[:-1] = weights * (part * grown[::-1])
+            more[1:] += weights * grown * passes
+            descend(child, path + [feature], share + [part], inside + [passes], more)
+
+    descend(0, [], [], [], np.ones((1, len(x))))
+
+
+def tree_contributions(rows: DataFrame, trees: list[TreeNodes], columns: list[str]) -> DataFrame:
+    """Path-dependent Shapley values of a tree ensemble for rows with a `features` array. The
+    model is shared with all tasks; its size depends on the settings alone."""
+    shared = rows.sparkSession.sparkContext.broadcast(trees)
+    key_type = dict(rows.dtypes)["customer_id"]
     schema = f"customer_id {key_type}, " + ", ".join(f"`{c}` double" for c in columns)
 
     def attribute(batches):
         for batch in batches:
             x = np.array(batch["features"].tolist(), dtype=float).reshape(-1, len(columns))
-            out = np.zeros_like(x)
-            for value, path in shared.value:
-                _leaf_shapley(x, value, path, out)
-            frame = pd.DataFrame(out, columns=columns)
+            out = np.zeros((len(columns), len(x)))
+            for at in range(0, len(x), ROWS):
+                for tree in shared.value:
+                    tree_shapley(tree, x[at : at + ROWS], out[:, at : at + ROWS])
+            frame = pd.DataFrame(out.T, columns=columns)
             frame.insert(0, "customer_id", batch["customer_id"].to_numpy())
             yield frame
 
-    return scaled.mapInPandas(attribute, schema)
+    return rows.mapInPandas(attribute, schema)
 
 
-def shap_contributions(model: PipelineModel, test: DataFrame, columns: list[str]) -> DataFrame:
+def shap_contributions(model: PipelineModel | NewtonTrees, test: DataFrame, columns: list[str]) -> DataFrame:
     """Attributions of every test row: closed form for the linear model, tree Shapley
-    values otherwise. Rows are spread over tasks; each task walks the leaves once a batch."""
+    values otherwise. Rows are spread over tasks; each task descends each tree once a batch."""
     from pyspark.ml.functions import vector_to_array
 
+    if isinstance(model, NewtonTrees):
+        values = F.array(*[F.col(c).cast("double") for c in model.columns]).alias("features")
+        rows = test.select("customer_id", values).repartition("customer_id")
+        return tree_contributions(rows, model_trees(model, test.sparkSession), columns)
     if model.stages[-1].__class__.__name__.startswith("Logistic"):
         return linear_contributions(test, linear_weights(model, columns))
     scaled = PipelineModel(model.stages[:-1]).transform(test)
     rows = scaled.select("customer_id", vector_to_array("features").alias("features")).repartition("customer_id")
-    return tree_contributions(rows, tree_leaves(model, test.sparkSession), columns)
+    return tree_contributions(rows, model_trees(model, test.sparkSession), columns)

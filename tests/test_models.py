@@ -106,7 +106,7 @@ def test_cluster_names_get_suffix_on_repeat(spark):
 @pytest.fixture(scope="module")
 def models(spark):
     train = spark.createDataFrame(people(600))
-    return churn.train_models(train, COLUMNS, CFG), spark.createDataFrame(people(120, 6))
+    return churn.train_models(train, COLUMNS, CFG, churn.MODELS + [churn.NEWTON]), spark.createDataFrame(people(120, 6))
 
 
 def test_all_models_beat_chance(spark, models):
@@ -115,21 +115,27 @@ def test_all_models_beat_chance(spark, models):
     fitted, test = models
     scored = {n: churn.score(m, test) for n, m in fitted.items()}
     table = evaluation.compare_models(scored).toPandas().set_index("model")
-    assert set(table.index) == set(churn.MODELS)
+    assert set(table.index) == {*churn.MODELS, churn.NEWTON}
     assert (table.auc_roc > 0.75).all()
 
 
-def shapley(leaves, x, n):
-    """By definition: expected leaf values over all subsets of features."""
+def expected(tree, x, subset, node=0):
+    """A tree's value where only the features of a subset are known."""
+    f = tree.feature[node]
+    if f < 0:
+        return tree.value[node]
+    left, right = tree.left[node], tree.right[node]
+    if f in subset:
+        goes = tree.null_left[node] if np.isnan(x[f]) else x[f] <= tree.cut[node]
+        return expected(tree, x, subset, left if goes else right)
+    return sum(tree.cover[c] / tree.cover[node] * expected(tree, x, subset, c) for c in (left, right))
+
+
+def shapley(trees, x, n):
+    """By definition: over all subsets of features."""
 
     def value(subset):
-        out = 0.0
-        for v, path in leaves:
-            p = 1.0
-            for f, (low, high, share) in path.items():
-                p *= float(low < x[f] <= high) if f in subset else share
-            out += v * p
-        return out
+        return sum(expected(t, x, subset) for t in trees)
 
     phi = np.zeros(n)
     for i in range(n):
@@ -141,22 +147,70 @@ def shapley(leaves, x, n):
     return phi, value(set(range(n)))
 
 
-@pytest.mark.parametrize("name", ["Decision Tree", "Random Forest", "Gradient Boosting"])
+@pytest.mark.parametrize("name", ["Decision Tree", "Random Forest", "Gradient Boosting", "Newton Boosting"])
 def test_tree_attributions_equal_definition(spark, models, name):
     fitted, test = models
     model = fitted[name]
-    leaves = explain.tree_leaves(model, spark)
+    trees = explain.model_trees(model, spark)
     got = explain.shap_contributions(model, test, COLUMNS).toPandas().set_index("customer_id").sort_index()
-    scaled = PipelineModel(model.stages[:-1]).transform(test).select(
-        "customer_id", vector_to_array("features").alias("x")).toPandas().set_index("customer_id").sort_index()
+    if name == churn.NEWTON:
+        x = test.select("customer_id", F.array(*COLUMNS).alias("x"))
+    else:
+        x = PipelineModel(model.stages[:-1]).transform(test).select("customer_id", vector_to_array("features").alias("x"))
+    x = x.toPandas().set_index("customer_id").sort_index().x
     probs = churn.score(model, test).select("customer_id", "churn_prob").toPandas().set_index("customer_id").sort_index().churn_prob
     for i in (0, 5, 77):
-        phi, full = shapley(leaves, scaled.x[i], len(COLUMNS))
+        phi, full = shapley(trees, x[i], len(COLUMNS))
         assert np.allclose(got.loc[i, COLUMNS].to_numpy(float), phi)
-        prob = 1 / (1 + np.exp(-2 * full)) if name == "Gradient Boosting" else full
+        scale = {"Gradient Boosting": 2, "Newton Boosting": 1}.get(name)
+        prob = 1 / (1 + np.exp(-scale * full)) if scale else full
         assert prob == pytest.approx(probs[i], abs=1e-6)
 
 
+def random_tree(rng, depth, features):
+    """A full tree over random cuts, in which features come again on a path."""
+    n = 2 ** (depth + 1) - 1
+    inner = np.arange(n) < 2**depth - 1
+    cover = np.zeros(n)
+    cover[0] = 1000.0
+    for i in np.flatnonzero(inner):
+        part = rng.uniform(0.1, 0.9)
+        cover[2 * i + 1], cover[2 * i + 2] = part * cover[i], (1 - part) * cover[i]
+    return explain.TreeNodes(
+        np.where(inner, rng.integers(0, features, n), -1), rng.normal(size=n), rng.random(n) < 0.5,
+        np.where(inner, 2 * np.arange(n) + 1, -1), np.where(inner, 2 * np.arange(n) + 2, -1),
+        np.where(inner, 0.0, rng.normal(size=n)), cover)
+
+
+@pytest.mark.parametrize("depth", [0, 1, 4, 6])
+def test_path_weights_equal_definition(depth):
+    rng = np.random.default_rng(depth)
+    tree, x = random_tree(rng, depth, 4), rng.normal(size=(20, 4))
+    x[rng.random(x.shape) < 0.1] = np.nan
+    out = np.zeros((4, 20))
+    explain.tree_shapley(tree, x, out)
+    for i in range(20):
+        assert np.allclose(out[:, i], shapley([tree], x[i], 4)[0])
+
+
+def test_deep_tree_is_additive():
+    rng = np.random.default_rng(9)
+    tree, x = random_tree(rng, 12, 25), rng.normal(size=(50, 25))
+    out = np.zeros((25, 50))
+    explain.tree_shapley(tree, x, out)
+    none, whole = expected(tree, x[0], set()), [expected(tree, row, set(range(25))) for row in x]
+    assert np.allclose(out.sum(axis=0) + none, whole)
+
+
+def test_models_come_back_from_disk(spark, models, tmp_path):
+    fitted, test = models
+    for name in ("Decision Tree", churn.NEWTON):
+        path = f"{tmp_path}/{name}"
+        churn.save_model(fitted[name], spark, path)
+        again = churn.load_model(spark, path)
+        assert sorted(churn.score(again, test).collect()) == sorted(churn.score(fitted[name], test).collect())
+
+
 def test_linear_attributions_sum_to_score(spark, models):
     fitted, test = models
     got = explain.shap_contributions(fitted["Logistic Regression"], test, COLUMNS).toPandas()
