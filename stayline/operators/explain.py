@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stayline.operators.boosting import NewtonTrees
 from stayline.sources.store import scratch
 
-ROWS = 2048  # rows that descend a tree at once
+ROWS = 8192  # rows that descend a tree at once
 
 
 def linear_contributions(df: DataFrame, weights: dict[str, float]) -> DataFrame:
@@ -122,8 +122,11 @@ def tree_shapley(tree: TreeNodes, x: np.ndarray, out: np.ndarray) -> None:
     path, in which a feature lets a row pass if it is in the subset and the row goes that way, and
     with the share of training rows that went that way if not. A split extends the weights; a
     feature that comes again is taken out first; at a leaf each feature is taken out in turn.
+    Rows that went alike at all splits of a path so far are one pattern and share its weights.
     """
-    def descend(node: int, path: list[int], share: list[float], inside: list[np.ndarray], weights: np.ndarray) -> None:
+    def descend(
+        node: int, path: list[int], share: list[float], inside: list[np.ndarray], weights: np.ndarray, pattern: np.ndarray
+    ) -> None:
         m = len(path)
         feature = tree.feature[node]
         if feature < 0:
@@ -131,9 +134,9 @@ def tree_shapley(tree: TreeNodes, x: np.ndarray, out: np.ndarray) -> None:
                 passes, shares = np.stack(inside), np.array(share)[:, None]
                 worth = _unwound(weights, shares, passes).sum(axis=0) * (passes - shares) * tree.value[node]
                 for f, add in zip(path, worth):
-                    out[f] += add
+                    out[f] += add[pattern]
             return
-        was, had = 1.0, None
+        was, had = 1.0, np.ones(weights.shape[1], bool)
         if feature in path:
             i = path.index(feature)
             was, had = share[i], inside[i]
@@ -142,16 +145,22 @@ def tree_shapley(tree: TreeNodes, x: np.ndarray, out: np.ndarray) -> None:
             m -= 1
         values = x[:, feature]
         goes = np.where(np.isnan(values), tree.null_left[node], values <= tree.cut[node])
+        finer = 2 * pattern + goes
+        present = np.bincount(finer, minlength=2 * len(had)) > 0
+        pattern = (np.cumsum(present) - 1)[finer]
+        source, went = np.divmod(np.flatnonzero(present), 2)
+        inside, weights, had, went = [p[source] for p in inside], weights[:, source], had[source], went.astype(bool)
         grown = np.arange(1, m + 2)[:, None] / (m + 2)
-        for child, there in ((tree.left[node], goes), (tree.right[node], ~goes)):
-            passes = there if had is None else there & had
+        for child, there in ((tree.left[node], went), (tree.right[node], ~went)):
+            passes = there & had
             part = max(was * tree.cover[child] / max(tree.cover[node], 1e-300), 1e-12)  # no row at all: as good as none
-            more = np.zeros((m + 2, len(x)))
+            more = np.zeros((m + 2, len(source)))
             more[:-1] = weights * (part * grown[::-1])
             more[1:] += weights * grown * passes
-            descend(child, path + [feature], share + [part], inside + [passes], more)
+            descend(child, path + [feature], share + [part], inside + [passes], more, pattern)
 
-    descend(0, [], [], [], np.ones((1, len(x))))
+    if len(x):
+        descend(0, [], [], [], np.ones((1, 1)), np.zeros(len(x), np.int64))
 
 
 def tree_contributions(rows: DataFrame, trees: list[TreeNodes], columns: list[str]) -> DataFrame:
