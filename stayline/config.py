@@ -159,7 +159,7 @@ RISK_TIERS = ["Low Risk", "Medium Risk", "High Risk"]
 @dataclass(frozen=True)
 class Settings:
     """Dates, rates and lookups. The defaults are the published configuration: fixed values,
-    but for fit_rows."""
+    but for fit_rows; the silhouette's sample is as large as the published one."""
 
     start_date: dt.date = dt.date(2016, 9, 1)
     as_of: dt.date = dt.date(2018, 9, 1)
@@ -197,6 +197,8 @@ class Settings:
     test_share: float = 0.20
     cluster_range: tuple = (3, 4, 5, 6, 7, 8)
     cluster_restarts: int = 10
+    # Rows that a silhouette is averaged over, at most; their distances are to all rows.
+    silhouette_rows: int = 10_000
     # Labelled rows a classifier is fitted on, at most; testing and scoring use all rows.
     fit_rows: int = 200_000
     smote_neighbours: int = 5

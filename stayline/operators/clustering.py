@@ -2,37 +2,233 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayline.config import Settings
+from stayline.functions import synth
 from stayline.operators.labels import standardise
+from stayline.operators.ordering import sample_exact
 from stayline.session import freeze
+from stayline.sources.store import store
+
+STEPS = float(1 << 26)
+TOLERANCE = 1e-4
+TILE = 1 << 21  # distances held at once
+SAMPLE_BLOCK = 1024  # sampled rows whose sums meet in one task
 
 # Features that clusters are made of.
 CLUSTER_FEATURES = ["recency_days", "frequency", "monetary", "engagement_score", "avg_order_value"]
 
 
 def cluster_input(df: DataFrame) -> DataFrame:
-    """Standardised cluster features as a vector."""
+    """Customers with standardised cluster features, in steps of 2^-26: sums of them are exact, so
+    centres don't depend on partitions."""
     data = df.select(
         "customer_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in CLUSTER_FEATURES]
     )
     scaled = standardise(data, CLUSTER_FEATURES)
-    return VectorAssembler(inputCols=CLUSTER_FEATURES, outputCol="features").transform(scaled)
+    return scaled.withColumns({c: F.rint(F.col(c) * STEPS) / STEPS for c in CLUSTER_FEATURES})
+
+
+@dataclass
+class Centres:
+    """One k-means run."""
+
+    k: int
+    restart: int
+    points: np.ndarray
+    inertia: float = math.inf
+    passes: int = 0
+
+
+def _matrix(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
+    return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns])
+
+
+def _squares(x: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows of x to all points, without cancellation."""
+    out = np.zeros((len(x), len(points)))
+    for i in range(x.shape[1]):
+        out += (x[:, i, None] - points[None, :, i]) ** 2
+    return out
+
+
+def _draws(keys: np.ndarray, salt: int) -> np.ndarray:
+    """Exponential draws of rows with 64-bit keys."""
+    h = keys.astype(np.uint64) ^ np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64)
+    for _ in range(2):
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return -np.log((h.astype(np.float64) + 1) / 2**64)
+
+
+def starts(data: DataFrame, columns: list[str], sets: list[tuple[int, int]], seed: int) -> list[Centres]:
+    """k-means++ starts of all (k, restart) sets together: each pass draws the next centre of every
+    set that lacks one, with the squared distance to the nearest centre as weight. A row's draw
+    is an exponential one over its weight; the smallest of all rows wins."""
+    runs = [Centres(k, restart, np.zeros((0, len(columns)))) for k, restart in sets]
+    keyed = data.select(F.xxhash64(F.lit(seed), "customer_id").alias("key"), *columns)
+    schema = "run int, draw double, " + ", ".join(f"x{i} double" for i in range(len(columns)))
+    types = pa.schema([("run", pa.int32()), ("draw", pa.float64()), *[(f"x{i}", pa.float64()) for i in range(len(columns))]])
+    for turn in range(max((k for k, _ in sets), default=0)):
+        open_ = [(i, r.points, r.restart * 64 + turn) for i, r in enumerate(runs) if len(r.points) < r.k]
+
+        def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best: dict[int, tuple] = {}
+            for batch in batches:
+                x, keys = _matrix(batch, columns), batch.column("key").to_numpy().view(np.uint64)
+                if not len(x):
+                    continue
+                for i, points, salt in open_:
+                    weight = _squares(x, points).min(axis=1) if len(points) else np.ones(len(x))
+                    with np.errstate(divide="ignore"):
+                        draw = _draws(keys, salt) / weight
+                    at = int(draw.argmin())
+                    found = (float(draw[at]), *x[at].tolist())
+                    best[i] = min(best.get(i, found), found)
+            rows = [(i, *row) for i, row in best.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), types)], schema=types) if rows else (
+                pa.RecordBatch.from_pylist([], schema=types))
+
+        rows = keyed.mapInArrow(drawn, schema)
+        first = F.min(F.struct("draw", *[f"x{i}" for i in range(len(columns))])).alias("first")
+        for r in rows.groupBy("run").agg(first).collect():  # one row a set
+            run = runs[r["run"]]
+            run.points = np.vstack([run.points, [r["first"][f"x{i}"] for i in range(len(columns))]])
+    return [r for r in runs if len(r.points)]
+
+
+def converged(data: DataFrame, columns: list[str], runs: list[Centres], most: int = 300, tolerance: float = TOLERANCE) -> list[Centres]:
+    """Lloyd's updates of all runs together: one pass over the rows sums every cluster of every run
+    that still moves by more than the tolerance, in each partition first. A cluster that
+    loses all rows keeps its centre."""
+    sums = ", ".join(f"s{i} double" for i in range(len(columns)))
+    types = pa.schema([("run", pa.int32()), ("cluster", pa.int32()), ("n", pa.int64()), ("cost", pa.float64()),
+                       *[(f"s{i}", pa.float64()) for i in range(len(columns))]])
+    open_ = list(range(len(runs)))
+    for _ in range(most):
+        if not open_:
+            break
+        moving = [(i, runs[i].points) for i in open_]
+
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = {i: np.zeros((len(points), len(columns) + 2)) for i, points in moving}
+            for batch in batches:
+                x = _matrix(batch, columns)
+                for i, points in moving:
+                    square = _squares(x, points)
+                    near = square.argmin(axis=1)
+                    own = np.take_along_axis(square, near[:, None], 1)[:, 0]
+                    for j, values in enumerate((np.ones(len(x)), own, *x.T)):
+                        total[i][:, j] += np.bincount(near, values, len(points))
+            rows = [(i, c, int(row[0]), *row[1:]) for i, part in total.items() for c, row in enumerate(part) if row[0]]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), types)], schema=types)
 
+        parts = data.select(*columns).mapInArrow(summed, f"run int, cluster int, n long, cost double, {sums}")
+        found = parts.groupBy("run", "cluster").agg(*[F.sum(c).alias(c) for c in types.names[2:]]).collect()
+        shift = dict.fromkeys(open_, 0.0)
+        cost = dict.fromkeys(open_, 0.0)
+        for r in found:  # one row a cluster
+            run = runs[r["run"]]
+            centre = np.array([r[f"s{i}"] for i in range(len(columns))]) / r["n"]
+            shift[r["run"]] = max(shift[r["run"]], float(((centre - run.points[r["cluster"]]) ** 2).sum()))
+            cost[r["run"]] += r["cost"]
+            run.points[r["cluster"]] = centre
+        for i in open_:
+            runs[i].inertia, runs[i].passes = cost[i], runs[i].passes + 1
+        open_ = [i for i in open_ if shift[i] > tolerance**2]
+    return runs
 
-def fit_kmeans(data: DataFrame, k: int, cfg: Settings) -> KMeansModel:
-    """The best of several seeded starts, by training cost."""
-    fits = [KMeans(k=k, seed=cfg.seed + i, maxIter=300, tol=1e-4) for i in range(cfg.cluster_restarts)]
-    with ThreadPoolExecutor(4) as pool:  # the starts don't depend on one another
-        models = list(pool.map(lambda fit: fit.fit(data), fits))
-    return min(models, key=lambda m: m.summary.trainingCost)
+
+def best_runs(data: DataFrame, columns: list[str], cfg: Settings) -> dict[int, Centres]:
+    """For each k the run of least inertia among all restarts, carried on until nothing moves: every
+    row is nearest to its own centre, and the centre is the mean of its rows."""
+    sets = [(k, restart) for k in cfg.cluster_range for restart in range(cfg.cluster_restarts)]
+    runs = converged(data, columns, starts(data, columns, sets, cfg.seed))
+    best = {}
+    for run in runs:
+        if run.k not in best or run.inertia < best[run.k].inertia:
+            best[run.k] = run
+    converged(data, columns, list(best.values()), tolerance=0.0)
+    return best
+
+
+def nearest_centre(run: Centres, columns: list[str]) -> Column:
+    """Number of the nearest centre, ties to the smaller one."""
+    squares = [sum(((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(columns, point)), F.lit(0.0)) for point in run.points]
+    far = F.array(*squares)
+    return (F.array_position(far, F.array_min(far)) - 1).cast("int")
+
+
+def euclidean_silhouettes(
+    data: DataFrame, columns: list[str], labels: dict[str, Column], cfg: Settings, key: str = "customer_id"
+) -> dict[str, float | None]:
+    """Mean silhouette of each labelling, with Euclidean distances between all rows and a sample
+    of Settings.silhouette_rows of them, drawn by a hash of the key.
+
+    The sample goes to every task (its size is the setting's). Tiles of rows meet it; each
+    distance is computed once for all labellings, and only its sums for each sampled row
+    and cluster leave the tile. A row alone in its cluster scores 0; with a single
+    cluster the result is null.
+    """
+    names, width = list(labels), len(columns)
+    marked = store(data.select(key, *columns, *[c.cast("int").alias(f"_{i}") for i, c in enumerate(labels.values())]), "labelled")
+    sample = sample_exact(marked, key, cfg.silhouette_rows, synth.uniform(cfg.seed, "silhouette", key)).drop(key).toArrow()
+    points = np.column_stack([sample.column(c).to_numpy() for c in columns]) if sample.num_rows else np.zeros((0, width))
+    sizes, of, offsets, total = [], [], [], 0
+    for i in range(len(names)):
+        counts = {r[f"_{i}"]: r["count"] for r in marked.groupBy(f"_{i}").count().collect()}
+        place = {label: j for j, label in enumerate(sorted(counts, key=lambda v: (v is None, v)))}
+        sizes.append((place, np.array([counts[label] for label in place])))
+        of.append(np.array([place[v] for v in sample.column(f"_{i}").to_pylist()], dtype=int))
+        offsets.append(total)
+        total += len(place)
+    places = [place for place, _ in sizes]
+    shared = data.sparkSession.sparkContext.broadcast(points)
+
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        points = shared.value
+        sums = np.zeros((len(points), total))
+        step = max(1, TILE // max(1, len(points)))
+        for batch in batches:
+            x = _matrix(batch, columns)
+            member = np.zeros((len(x), total))
+            for i, place in enumerate(places):
+                member[np.arange(len(x)), offsets[i] + np.array([place[v] for v in batch.column(f"_{i}").to_pylist()], dtype=int)] = 1
+            for at in range(0, len(x), step):
+                sums += np.sqrt(_squares(points, x[at : at + step])) @ member[at : at + step]
+        for at in range(0, len(points), SAMPLE_BLOCK):
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([sums[at : at + SAMPLE_BLOCK].tobytes()], pa.binary())], ["first", "sums"])
+
+    def scored(key: tuple, rows: pa.Table) -> pa.Table:
+        first = key[0].as_py()
+        sums = sum(np.frombuffer(x).reshape(-1, total) for x in rows["sums"].to_pylist())
+        out = []
+        for i, (place, n) in enumerate(sizes):
+            part, own = sums[:, offsets[i] : offsets[i] + len(n)], of[i][first : first + len(sums)]
+            rows_ = np.arange(len(part))
+            inside = part[rows_, own] / np.maximum(n[own] - 1, 1)
+            means = part / n
+            means[rows_, own] = np.inf
+            outside = means.min(axis=1, initial=np.inf)
+            most = np.maximum(inside, outside)
+            value = np.where((n[own] == 1) | (most == 0), 0.0, (outside - inside) / np.where(most == 0, 1, most))
+            out.append((i, float(value.sum()) if len(n) > 1 else None, len(part)))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.float64(), pa.int64()))], names=["label", "sum", "n"])
+
+    rows = marked.mapInArrow(tiles, "first int, sums binary").groupBy("first").applyInArrow(scored, "label int, sum double, n long")
+    found = {r["label"]: r for r in rows.groupBy("label").agg(F.sum("sum").alias("sum"), F.sum("n").alias("n")).collect()}
+    return {name: found[i]["sum"] / found[i]["n"] if i in found and found[i]["sum"] is not None else None for i, name in enumerate(names)}
 
 
 def silhouette(clustered: DataFrame, columns: list[str], label: str = "prediction") -> DataFrame:
@@ -69,19 +265,41 @@ def silhouette(clustered: DataFrame, columns: list[str], label: str = "predictio
     return data.agg(F.avg(value).alias("silhouette"))
 
 
-def sweep(data: DataFrame, cfg: Settings) -> tuple[list[dict], dict[int, KMeansModel]]:
+def sweep(data: DataFrame, cfg: Settings) -> tuple[list[dict], dict[int, Centres]]:
     """Inertia and silhouette per k."""
-    rows, models = [], {}
-    for k in cfg.cluster_range:
-        models[k] = fit_kmeans(data, k, cfg)
-        value = silhouette(models[k].transform(data), CLUSTER_FEATURES).first()["silhouette"]
-        rows.append({"k": k, "inertia": float(models[k].summary.trainingCost), "silhouette": value})
-    return rows, models
+    runs = best_runs(data, CLUSTER_FEATURES, cfg)
+    labels = {str(k): nearest_centre(run, CLUSTER_FEATURES) for k, run in runs.items()}
+    values = euclidean_silhouettes(data, CLUSTER_FEATURES, labels, cfg)
+    rows = [{"k": k, "inertia": runs[k].inertia, "silhouette": values[str(k)]} for k in cfg.cluster_range if k in runs]
+    return rows, runs
+
+
+def sweep_table(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
-def kmeans_sweep(df: DataFrame, cfg: Settings) -> DataFrame:
-    rows, _ = sweep(freeze(cluster_input(df)), cfg)
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+def fixpoints(data: DataFrame, runs: dict[int, Centres]) -> DataFrame:
+    """For each k: customers, how many lie nearer to another centre than to their own, the greatest
+    distance of a centre from the mean of its rows along one feature, and the inertia's
+    difference from the sum over rows."""
+    spark, out = data.sparkSession, None
+    for k, run in runs.items():
+        squares = lambda p: sum(((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(CLUSTER_FEATURES, p)), F.lit(0.0))
+        marked = data.withColumn("cluster", nearest_centre(run, CLUSTER_FEATURES))
+        own = F.get(F.array(*[squares(p) for p in run.points]), F.col("cluster"))
+        nearer = F.least(*[squares(p) for p in run.points]) < own
+        groups = marked.groupBy("cluster").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(nearer).alias("misplaced"), F.sum(own).alias("cost"),
+            *[F.avg(c).alias(c) for c in CLUSTER_FEATURES])
+        centres = spark.createDataFrame(
+            [(i, *map(float, p)) for i, p in enumerate(run.points)], "cluster int, " + ", ".join(f"m_{c} double" for c in CLUSTER_FEATURES))
+        apart = F.greatest(*[F.abs(F.col(c) - F.col(f"m_{c}")) for c in CLUSTER_FEATURES])
+        row = groups.join(F.broadcast(centres), "cluster").agg(
+            F.sum("n").alias("customers"), F.sum("misplaced").alias("misplaced"), F.max(apart).alias("off_mean"),
+            F.abs(F.sum("cost") - F.lit(run.inertia)).alias("off_inertia"))
+        row = row.select(F.lit(k).alias("k"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def cluster_profile(clustered: DataFrame) -> DataFrame:
@@ -125,18 +343,22 @@ def cluster_names(profiles: DataFrame) -> DataFrame:
     )
 
 
-def kmeans_segments(df: DataFrame, cfg: Settings) -> tuple[DataFrame, int]:
-    """Cluster and its name for every customer, with the k of the best silhouette."""
-    data = freeze(cluster_input(df))
-    rows, models = sweep(data, cfg)
+def segments_of(df: DataFrame, data: DataFrame, rows: list[dict], runs: dict[int, Centres]) -> tuple[DataFrame, int]:
+    """Cluster and its name for every customer, with the k of the best silhouette in a sweep."""
     best = max(rows, key=lambda r: -2.0 if r["silhouette"] is None else r["silhouette"])["k"]
-    assigned = models[best].transform(data).select("customer_id", F.col("prediction").alias("cluster"))
+    assigned = data.select("customer_id", nearest_centre(runs[best], CLUSTER_FEATURES).alias("cluster"))
     out = df.join(assigned, "customer_id", "left")
     names = cluster_names(cluster_profile(out))
     # one row per cluster, at most the largest k tried
     return out.join(F.broadcast(names), "cluster", "left"), best
 
 
+def kmeans_segments(df: DataFrame, cfg: Settings) -> tuple[DataFrame, int]:
+    """Sweep and segments of all customers."""
+    data = store(cluster_input(df), "clusters")
+    return segments_of(df, data, *sweep(data, cfg))
+
+
 def pca_2d(df: DataFrame) -> tuple[DataFrame, list[float]]:
     """Two principal components of every customer, with their explained variance."""
     data = freeze(cluster_input(df).select("customer_id", *CLUSTER_FEATURES))

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from stayline.operators import churn, clustering, explain, labels, oversampling, segmentation
+from stayline.operators import boosting, churn, clustering, explain, labels, oversampling, segmentation
 from stayline.plans.catalog.base import Tables, query
 from stayline.plans import pipeline
 from stayline.sources.store import save, scratch, store
 
 
+def _sweep(t: Tables):
+    """The stored cluster input, and inertia, silhouette and run of each k."""
+    if not hasattr(t, "_swept"):
+        data = store(clustering.cluster_input(t.segmented), "clusters")
+        t._swept = (data, *clustering.sweep(data, t.cfg))
+    return t._swept
+
+
 def _segments(t: Tables):
     if not hasattr(t, "_clusters"):
-        df, k = clustering.kmeans_segments(t.segmented, t.cfg)
+        df, k = clustering.segments_of(t.segmented, *_sweep(t))
         t._clusters = (store(df, "clusters"), k)
     return t._clusters
 
@@ -29,7 +36,30 @@ _Z = ", ".join(
     f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS z{i}" for i, c in enumerate(clustering.CLUSTER_FEATURES))
 @query("kmeans_sweep", "k:i inertia:f silhouette:f")
 def _(t: Tables):
-    return clustering.kmeans_sweep(t.segmented, t.cfg)
+    return clustering.sweep_table(t.spark, _sweep(t)[1])
+
+
+@query(
+    "kmeans_fixpoint", "k:i customers:i misplaced:i off_mean:f off_inertia:f4",
+    "SELECT r.k, (SELECT count(*) FROM rfm_scored) AS customers, 0 AS misplaced, 0 AS off_mean, 0 AS off_inertia FROM range(3, 9) r(k)",
+)
+def _(t: Tables):
+    """What must hold of the runs for each k: every customer lies nearest to its own centre, each
+    centre is the mean of its customers, and the inertia is the sum of their squared distances."""
+    data, _, runs = _sweep(t)
+    return clustering.fixpoints(data, runs)
+
+
+@query("compare_kmeans", "rfm_segment:s kmeans_segment:s customers:i")
+def _(t: Tables):
+    """Cross table of the rule-based and the k-means segments of all customers."""
+    return segmentation.compare(_segments(t)[0], "rfm_segment", "kmeans_segment")[0]
+
+
+@query("kmeans_rand_index", "adjusted_rand_index:f")
+def _(t: Tables):
+    """Agreement of the rule-based and the k-means segments of all customers."""
+    return segmentation.compare(_segments(t)[0], "rfm_segment", "kmeans_segment")[1]
 
 
 @query("kmeans_segments", "customer_id:i cluster:i kmeans_segment:s")
@@ -42,8 +72,33 @@ _SUMS = ", ".join(f"sum(z{i}) AS s{i}" for i in range(len(clustering.CLUSTER_FEA
 _DOT = " + ".join(f"z{i} * s{i}" for i in range(len(clustering.CLUSTER_FEATURES)))
 
 
+_APART = " + ".join(f"(s.z{i} - x.z{i}) * (s.z{i} - x.z{i})" for i in range(len(clustering.CLUSTER_FEATURES)))
+
+
+def _scaled(t: Tables):
+    columns = [F.col(c).cast("double").alias(c) for c in clustering.CLUSTER_FEATURES]
+    return labels.standardise(t.segmented.select("customer_id", "r_score", *columns), clustering.CLUSTER_FEATURES)
+
+
 @query(
     "silhouette", "silhouette:f4",
+    f"""WITH x AS (SELECT customer_id, r_score AS g, {_Z} FROM rfm_scored),
+       s AS (SELECT * FROM x ORDER BY substr(md5('42:silhouette:' || customer_id), 1, 13), customer_id LIMIT 10000),
+       n AS (SELECT g AS h, count(*) AS n FROM x GROUP BY 1),
+       d AS (SELECT s.customer_id, s.g, x.g AS h, sum(sqrt({_APART})) AS total FROM s, x GROUP BY 1, 2, 3),
+       i AS (SELECT customer_id, max(CASE WHEN d.g = d.h THEN total / (n - 1) END) AS inside, min(CASE WHEN d.g <> d.h THEN total / n END) AS outside
+             FROM d JOIN n ON d.h = n.h GROUP BY 1)
+       SELECT avg((outside - inside) / greatest(inside, outside)) AS silhouette FROM i""",
+)
+def _(t: Tables):
+    """Silhouette of the rule-based segments over the cluster features, Euclidean distances of a
+    seeded sample to all customers."""
+    found = clustering.euclidean_silhouettes(_scaled(t), clustering.CLUSTER_FEATURES, {"r_score": F.col("r_score")}, t.cfg)
+    return t.spark.createDataFrame([(found["r_score"],)], "silhouette double")
+
+
+@query(
+    "silhouette_squared", "silhouette:f4",
     f"""WITH x AS (SELECT customer_id, r_score AS g, {_Z} FROM rfm_scored),
        c AS (SELECT g AS h, count(*) AS n, {_SUMS}, sum({_ROW}) AS q FROM x GROUP BY 1),
        d AS (SELECT customer_id, g, h, n, n * ({_ROW}) - 2 * ({_DOT}) + q AS total FROM x, c),
@@ -53,10 +108,7 @@ _DOT = " + ".join(f"z{i} * s{i}" for i in range(len(clustering.CLUSTER_FEATURES)
 def _(t: Tables):
     """Silhouette of the rule-based segments over the cluster features, all customers,
     squared distances."""
-    scaled = labels.standardise(
-        t.segmented.select("customer_id", "r_score", *[F.col(c).cast("double").alias(c) for c in clustering.CLUSTER_FEATURES]),
-        clustering.CLUSTER_FEATURES)
-    return clustering.silhouette(scaled, clustering.CLUSTER_FEATURES, "r_score")
+    return clustering.silhouette(_scaled(t), clustering.CLUSTER_FEATURES, "r_score")
 
 
 @query("cluster_profile", "cluster:i customers:i " + " ".join(f"{c}:f4" for c in clustering.CLUSTER_FEATURES))
@@ -166,6 +218,53 @@ def _(t: Tables):
     return _trained(t, "Gradient Boosting")
 
 
+def _newton(t: Tables) -> churn.Run:
+    """A training run of the Newton-boosted trees alone."""
+    if not hasattr(t, "_newton_run"):
+        t._newton_run = churn.train_and_score(t.profitable, t.labels, t.cfg, [churn.NEWTON])
+    return t._newton_run
+
+
+@query("newton_boosting", _METRICS)
+def _(t: Tables):
+    return _newton(t).comparison.withColumnRenamed("precision", "prec")
+
+
+@query("newton_importance", "model:s place:i feature:s importance:f")
+def _(t: Tables):
+    """Share of each feature in the gains of all splits of the Newton-boosted trees."""
+    run = _newton(t)
+    return churn.feature_importance(run.models, run.columns)
+
+
+_STUMP = ["r_score", "f_score", "m_score", "frequency"]
+
+
+@query(
+    "newton_first_split", "feature:s cut:f gain:f4 rows_left:i value_left:f value_right:f",
+    f"""WITH d AS (SELECT l.churn AS y, {', '.join(f'CAST(s.{c} AS DOUBLE) AS {c}' for c in _STUMP)} FROM lab l JOIN rfm_scored s ON l.customer_id = s.customer_id),
+       w AS (SELECT y, {', '.join(_STUMP)}, CASE WHEN y = 1 THEN (SELECT CAST(count(*) - sum(y) AS DOUBLE) / sum(y) FROM d) ELSE 1 END AS w FROM d),
+       g AS ({' UNION ALL '.join(f"SELECT {i} AS place, '{c}' AS feature, {c} AS v, (0.5 - y) * w AS g, 0.25 * w AS h FROM w" for i, c in enumerate(_STUMP))}),
+       v AS (SELECT place, feature, v, sum(g) AS g, sum(h) AS h, count(*) AS n FROM g GROUP BY 1, 2, 3),
+       c AS (SELECT place, feature, v AS cut, max(v) OVER f AS most, sum(g) OVER (f ORDER BY v) AS gl, sum(h) OVER (f ORDER BY v) AS hl,
+                    sum(n) OVER (f ORDER BY v) AS rows_left, sum(g) OVER f AS ga, sum(h) OVER f AS ha FROM v WINDOW f AS (PARTITION BY feature))
+       SELECT feature, cut, gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1) AS gain, rows_left,
+              -0.1 * gl / (hl + 1) AS value_left, -0.1 * (ga - gl) / (ha - hl + 1) AS value_right
+       FROM c WHERE cut < most AND hl >= 1 AND ha - hl >= 1 ORDER BY round(gain, 6) DESC, place, cut LIMIT 1""",
+)
+def _(t: Tables):
+    """The first split of the Newton-boosted trees over whole scores, which have few values: the
+    best of all cuts, and both leaves."""
+    data = labels.labelled(t.segmented, t.labels)
+    model = boosting.fit(data, _STUMP, rounds=1, depth=1, rate=0.1, cut_rows=1 << 62)
+    tree = model.trees[0]
+    cut = model.cuts[tree.feature[0]][tree.bin[0]]
+    left = data.filter(F.col(_STUMP[tree.feature[0]]) <= cut).agg(F.count(F.lit(1)).alias("rows_left"))
+    return left.select(
+        F.lit(_STUMP[tree.feature[0]]).alias("feature"), F.lit(cut).alias("cut"), F.lit(tree.gain[0]).alias("gain"), "rows_left",
+        F.lit(tree.value[tree.left[0]]).alias("value_left"), F.lit(tree.value[tree.right[0]]).alias("value_right"))
+
+
 @query("train_models", "model:s auc_roc:f")
 def _(t: Tables):
     return _run(t).comparison
@@ -179,8 +278,8 @@ def _(t: Tables):
 
 @query("score_all", "customer_id:i churn_prob:f churn_predicted:i")
 def _(t: Tables):
-    run = _run(t)
-    return churn.score_all(run.models["Logistic Regression"], t.profitable)
+    """Probability and flag of the best model for every customer."""
+    return churn.score_all(_run(t).best, t.profitable)
 
 
 @query("churn_leak_free", "model:s auc_roc:f")
@@ -237,11 +336,11 @@ def _(t: Tables):
 
 @query("model_sink", "customers:i same:i", "SELECT count(*) AS customers, count(*) AS same FROM people")
 def _(t: Tables):
-    """A saved and reloaded model scores every customer as before."""
-    model = _run(t).models["Logistic Regression"]
+    """The best model, saved and reloaded, scores every customer as before."""
+    model = _run(t).best
     path = scratch(t.spark, "model")
-    model.write().overwrite().save(path)
-    again = churn.score_all(PipelineModel.load(path), t.profitable).select(
+    churn.save_model(model, t.spark, path)
+    again = churn.score_all(churn.load_model(t.spark, path), t.profitable).select(
         "customer_id", F.col("churn_prob").alias("again"))
     both = churn.score_all(model, t.profitable).select("customer_id", "churn_prob").join(again, "customer_id")
     return both.agg(

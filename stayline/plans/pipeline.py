@@ -133,7 +133,7 @@ class Pipeline:
         self.keep(churn.feature_importance(run.models, run.columns), "feature_importance")
         parts = self.keep(explain.shap_contributions(run.best, run.test, run.columns), "attributions")
         self.keep(explain.mean_size(parts, run.columns), "attribution_means")
-        run.best.write().overwrite().save(f"{self.folder}/model")
+        churn.save_model(run.best, self.spark, f"{self.folder}/model")
         return self.keep(run.scored, "customer_churn")
 
     def priority(self) -> DataFrame:

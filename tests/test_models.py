@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from stayline.config import Settings
+from stayline.functions import synth
 from stayline.operators import churn, clustering, explain, labels, oversampling
 
 CFG = replace(Settings(), forest_trees=5, forest_depth=4, boosting_rounds=4, boosting_depth=3,
@@ -78,6 +79,78 @@ def test_silhouette_equals_brute_force(spark):
     assert clustering.silhouette(spark.createDataFrame(one), ["a", "b"]).first()[0] is None
 
 
+def blobs(n=300, seed=8):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 2)) + np.array([[0, 0], [4, 0], [0, 5], [6, 6]])[rng.integers(0, 4, n)]
+    return np.rint(x * clustering.STEPS) / clustering.STEPS
+
+
+def euclidean(x, g):
+    dist, s = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2)), []
+    for i in range(len(x)):
+        if (g == g[i]).sum() == 1:
+            s.append(0.0)
+            continue
+        own = dist[i][(g == g[i]) & (np.arange(len(x)) != i)].mean()
+        other = min(dist[i][g == k].mean() for k in set(g) - {g[i]})
+        s.append((other - own) / max(own, other))
+    return np.array(s)
+
+
+def test_euclidean_silhouette_equals_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = blobs()
+    pdf = pd.DataFrame({"customer_id": range(len(x)), "a": x[:, 0], "b": x[:, 1], "g": rng.integers(0, 3, len(x)), "h": 1,
+                        "own": [7] + [8] * (len(x) - 1)})
+    df = spark.createDataFrame(pdf).repartition(5)
+    monkeypatch.setattr(clustering, "SAMPLE_BLOCK", 64)
+    monkeypatch.setattr(clustering, "TILE", 5000)
+    labels = {c: F.col(c) for c in ("g", "h", "own")}
+    got = clustering.euclidean_silhouettes(df, ["a", "b"], labels, CFG)
+    assert got["g"] == pytest.approx(euclidean(x, pdf.g.to_numpy()).mean())
+    assert got["own"] == pytest.approx(euclidean(x, pdf.own.to_numpy()).mean()) and got["h"] is None
+    some = clustering.euclidean_silhouettes(df, ["a", "b"], labels, replace(CFG, silhouette_rows=40))
+    each = euclidean(x, pdf.g.to_numpy())
+    draws = df.select("customer_id", synth.uniform(CFG.seed, "silhouette", "customer_id").alias("u")).toPandas().sort_values("u")
+    assert some["g"] == pytest.approx(each[draws.customer_id.to_numpy()[:40]].mean())
+
+
+def lloyd(x, points):
+    """Updates of one run alone, to its fixpoint."""
+    passes = 0
+    while True:
+        near = ((x[:, None] - points[None]) ** 2).sum(axis=2).argmin(axis=1)
+        after = np.array([x[near == c].mean(axis=0) if (near == c).any() else points[c] for c in range(len(points))])
+        passes += 1
+        if np.array_equal(after, points):
+            return after, ((x - after[near]) ** 2).sum(), passes
+        points = after
+
+
+def test_runs_in_one_scan_equal_separate_ones(spark):
+    x = blobs()
+    df = spark.createDataFrame(pd.DataFrame({"customer_id": range(len(x)), "a": x[:, 0], "b": x[:, 1]}))
+    sets = [(k, r) for k in (2, 3, 4) for r in range(3)]
+    runs = clustering.starts(df.repartition(5), ["a", "b"], sets, 1)
+    again = clustering.starts(df.repartition(2), ["a", "b"], sets, 1)
+    first = [r.points.copy() for r in runs]
+    assert [(r.k, r.restart) for r in runs] == sets and all(np.array_equal(a, b.points) for a, b in zip(first, again))
+    assert all(len({tuple(p) for p in points}) == len(points) for points in first)  # no row is drawn twice
+    assert len({points.tobytes() for points in first}) == len(first)
+    clustering.converged(df.repartition(5), ["a", "b"], runs, tolerance=0.0)
+    for run, points in zip(runs, first):
+        want, inertia, passes = lloyd(x, points)
+        assert np.allclose(run.points, want) and run.inertia == pytest.approx(inertia) and run.passes == passes
+    best = clustering.best_runs(df, ["a", "b"], replace(CFG, cluster_range=(4,), cluster_restarts=5))[4]
+    assert best.inertia <= min(r.inertia for r in runs if r.k == 4) * 1.001
+
+
+def test_more_clusters_than_points(spark):
+    df = spark.createDataFrame([(i, float(i % 2), 0.0) for i in range(6)], "customer_id int, a double, b double")
+    run = clustering.best_runs(df, ["a", "b"], replace(CFG, cluster_range=(3,)))[3]
+    assert run.inertia == 0 and df.select(clustering.nearest_centre(run, ["a", "b"])).distinct().count() == 2
+
+
 def test_fit_sample_is_bounded(spark):
     train = spark.createDataFrame(people(2000))
     got = churn.bounded(train, replace(CFG, fit_rows=500))
