@@ -382,24 +382,27 @@ def _counted(buckets: int):
     return run
 
 
-def _shared(key: tuple, rows: pa.Table) -> pa.Table:
-    """Fingerprints of a bucket that several batches have, or that are hot, for each batch."""
-    lists = [np.frombuffer(x, np.uint64) for x in rows["prints"].to_pylist()]
-    prints = np.concatenate(lists)
-    kinds = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["kinds"].to_pylist()])
-    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    _, of, times = np.unique(prints, return_inverse=True, return_counts=True)
-    hot = (np.bincount(of, kinds) > HOT)[of]
-    wanted = np.flatnonzero((times[of] > 1) | hot)
-    cuts = np.searchsorted(row[wanted], np.arange(1, len(lists)))
-    groups = np.split(wanted, cuts)
-    batch = rows["batch"].to_pylist()
-    some = [i for i, g in enumerate(groups) if len(g)]
-    return pa.table({
-        "batch": pa.array([batch[i] for i in some], pa.int64()),
-        "prints": pa.array([prints[groups[i]].tobytes() for i in some], pa.binary()),
-        "hot": pa.array([hot[groups[i]].tobytes() for i in some], pa.binary()),
-    })
+def _shared(most: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        """Fingerprints of a bucket that several batches have, or that are hot, for each batch."""
+        lists = [np.frombuffer(x, np.uint64) for x in rows["prints"].to_pylist()]
+        prints = np.concatenate(lists)
+        kinds = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["kinds"].to_pylist()])
+        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        _, of, times = np.unique(prints, return_inverse=True, return_counts=True)
+        hot = (np.bincount(of, kinds) > most)[of]
+        wanted = np.flatnonzero((times[of] > 1) | hot)
+        cuts = np.searchsorted(row[wanted], np.arange(1, len(lists)))
+        groups = np.split(wanted, cuts)
+        batch = rows["batch"].to_pylist()
+        some = [i for i, g in enumerate(groups) if len(g)]
+        return pa.table({
+            "batch": pa.array([batch[i] for i in some], pa.int64()),
+            "prints": pa.array([prints[groups[i]].tobytes() for i in some], pa.binary()),
+            "hot": pa.array([hot[groups[i]].tobytes() for i in some], pa.binary()),
+        })
+
+    return run
 
 
 def _joined(parts: list[bytes], kind) -> np.ndarray:
@@ -519,7 +522,7 @@ _CUT = pa.schema([
 
 def deduplicated(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, shard_bytes: int = SHARD_BYTES,
-    bucket_bytes: int = BUCKET_BYTES,
+    bucket_bytes: int = BUCKET_BYTES, hot: int = HOT,
 ) -> DataFrame:
     """(id, n_bytes, n_removed, spans, kept) of every row of df: its bytes in UTF-8, how many of
     them go, the spans that go (start and end, by bytes) and the bytes that stay.
@@ -538,7 +541,7 @@ def deduplicated(
         key.alias("id"), F.coalesce(key, F.lit(2**63 - 1)).alias("doc"), F.monotonically_increasing_id().alias("row"), text)
     docs = docs.withColumn("batch", F.pmod(F.xxhash64("row"), F.lit(batches)))  # moved once: the three uses share it
     counts = docs.groupBy("batch").applyInArrow(_counted(buckets), "bucket long, batch long, prints binary, kinds binary")
-    shared = counts.groupBy("bucket").applyInArrow(_shared, "batch long, prints binary, hot binary")
+    shared = counts.groupBy("bucket").applyInArrow(_shared(hot), "batch long, prints binary, hot binary")
     shipped = docs.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(
         _shipped(shards), "shard long, batch long, doc long, row long, start long, at long, single boolean, again boolean, print long, body binary")
     answers = shipped.groupBy("shard").applyInArrow(_sorted, "batch long, at long, single boolean, marks binary")
