@@ -40,6 +40,37 @@ def test_neighbours_equal_brute_force(spark):
     assert np.allclose(np.stack(got.d), want)
 
 
+def crowd(n=600, seed=2):
+    """Clusters, a point that a third of the rows share, and far outliers."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 3)) * 0.3 + rng.normal(size=(6, 3))[rng.integers(0, 6, n)] * 5
+    x[rng.random(n) < 0.33] = x[0]
+    x[:4] *= 100
+    return x
+
+
+@pytest.mark.parametrize("pivots", [1, 7, 24])
+def test_pivot_neighbours_equal_brute_force(spark, monkeypatch, pivots):
+    monkeypatch.setattr(oversampling, "BLOCK", 50)
+    x = crowd()
+    df = spark.createDataFrame([(i, i + 1, row.tolist()) for i, row in enumerate(x)], "customer_id int, position long, x array<double>")
+    dist = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(dist, np.inf)
+    got = oversampling.pivot_neighbours(df.repartition(6), 3, 5, pivots).orderBy("position").toPandas()
+    assert len(got) == len(x) and np.allclose(np.stack(got.d), np.sort(dist, axis=1)[:, :5])
+    near = np.stack(got.near).reshape(-1, 5, 3)
+    assert np.allclose(((near - x[:, None]) ** 2).sum(axis=2), np.stack(got.d))
+
+
+def test_neighbours_beyond_the_shared_bytes(spark):
+    pdf = people(90).drop(columns="churn")
+    df = spark.createDataFrame(pdf).withColumn("position", F.col("customer_id") + 1)
+    small = oversampling.nearest_neighbours(df, COLUMNS, 5).orderBy("position").toPandas()
+    large = oversampling.nearest_neighbours(df, COLUMNS, 5, shared_bytes=100).orderBy("position").toPandas()
+    assert list(small.columns) == list(large.columns) and np.allclose(np.stack(small.d), np.stack(large.d))
+    assert np.allclose(np.stack(small.near), np.stack(large.near))
+
+
 def test_smote_balances_and_stays_between(spark):
     pdf = people()
     train = spark.createDataFrame(pdf).repartition(3)
