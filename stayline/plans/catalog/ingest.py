@@ -129,18 +129,30 @@ def _(t: Tables):
     ))
 
 
-PHASES = [("customer_features", "features"), ("customer_segmented", "segmented"),
-          ("customer_profitable", "profitable"), ("customer_churn", "scored"),
-          ("customer_retention_final", "final")]
+PHASES = [("features", "customer_features", "features"), ("segmentation", "customer_segmented", "segmented"),
+          ("profitability", "customer_profitable", "profitable"), ("churn", "customer_churn", "scored")]
 
 
 @query(
-    "sink_phase_tables", "table_name:s n_rows:i",
-    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM people" for n, _ in PHASES),
+    "sink_phase_tables", "phase:s table_name:s n_rows:i",
+    " UNION ALL ".join(f"SELECT '{p}' AS phase, '{n}' AS table_name, count(*) AS n_rows FROM people" for p, n, _ in PHASES)
+    + """ UNION ALL SELECT 'priority', 'customer_retention_final', count(*) FROM people
+          UNION ALL SELECT 'priority', 'decision_matrix', 3 * count(DISTINCT value_tier) FROM fin
+          UNION ALL SELECT 'priority', 'sensitivity', 4
+          UNION ALL SELECT 'priority', 'top_targets', least(20, count(*)) FROM fin WHERE customer_profit IS NOT NULL""",
 )
 def _(t: Tables):
-    """One stored table per phase."""
-    return counted({name: getattr(t, attribute) for name, attribute in PHASES})
+    """Tables that finished phases have stored, as their manifests name them: those of the catalogue
+    up to the scores, and what the priority phase of the pipeline makes of them."""
+    run = pipeline.Pipeline(t.spark, t.cfg, scratch(t.spark, "phases"))
+    for phase, name, attribute in PHASES:
+        run.adopt(phase, {name: getattr(t, attribute)})
+    run.priority()
+    rows = [
+        t.spark.read.parquet(path).agg(F.lit(m["phase"]).alias("phase"), F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        for m in run.phases.manifests().values() for name, path in m["tables"].items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query(
@@ -149,9 +161,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """Segmentation started from the stored feature table."""
-    folder = scratch(t.spark, "phases")
-    save(t.features, f"{folder}/customer_features")
-    run = pipeline.Pipeline(t.spark, t.cfg, folder)
+    run = pipeline.Pipeline(t.spark, t.cfg, scratch(t.spark, "phases"))
+    run.adopt("features", {"customer_features": t.features})
     return run.segmentation().groupBy("rfm_segment").agg(
         F.count(F.lit(1)).alias("customers")
     )

@@ -3,6 +3,8 @@ start at any phase."""
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from stayline.operators import (
     segmentation,
 )
 from stayline.session import tune
+from stayline.sources.phases import Phases
 from stayline.sources.store import save
 
 
@@ -68,20 +71,42 @@ def read_back(spark: SparkSession, names, folder: str) -> DataFrame:
     return out
 
 
+def committed(name: str):
+    """A method whose tables become the result of a phase together, when it has ended."""
+
+    def wrap(method):
+        @wraps(method)
+        def run(self, *args, **kwargs):
+            with self.phases.phase(name):
+                return method(self, *args, **kwargs)
+
+        return run
+
+    return wrap
+
+
 class Pipeline:
-    """Phases over a folder of stored tables."""
+    """Phases over a folder of stored tables. A phase reads only tables of finished phases with the
+    same settings, none of which has been replaced by a later run of an earlier phase."""
 
     def __init__(self, spark: SparkSession, cfg: Settings, folder: str):
         tune(spark)
         self.spark, self.cfg, self.folder = spark, cfg, folder.rstrip("/")
+        self.phases = Phases(spark, self.folder, cfg)
 
     def load(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}")
+        return self.phases.load(name)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        save(df, f"{self.folder}/{name}")
-        return self.load(name)
+        return self.phases.keep(df, name)
+
+    def adopt(self, phase: str, tables: dict[str, DataFrame]) -> None:
+        """Store tables made elsewhere as the result of a phase."""
+        with self.phases.phase(phase):
+            for name, df in tables.items():
+                self.keep(df, name)
 
+    @committed("base")
     def base(self, raw: dict) -> dict[str, DataFrame]:
         """Phase 1: customers, transactions, engagement."""
         people = self.keep(ingest.customers(raw, self.cfg), "customers")
@@ -91,6 +116,7 @@ class Pipeline:
         self.keep(profiling.union_profiles([profiling.table_profile(df, n) for n, df in stored.items()]), "data_quality")
         return {"customers": people, "transactions": txn, "engagement": eng}
 
+    @committed("features")
     def features(self) -> DataFrame:
         """Phase 2."""
         out = features.customer_features(
@@ -98,6 +124,7 @@ class Pipeline:
         )
         return self.keep(out, "customer_features")
 
+    @committed("segmentation")
     def segmentation(self, clusters: bool = True) -> DataFrame:
         """Phase 3: rule-based segments and, unless switched off, k-means clusters."""
         out = segmentation.rfm_score(self.load("customer_features"))
@@ -112,6 +139,7 @@ class Pipeline:
             self.keep(clustering.cluster_profile(out), "cluster_profile")
         return out
 
+    @committed("profitability")
     def profitability(self) -> DataFrame:
         """Phase 4."""
         out = profitability.add_profitability(
@@ -124,6 +152,7 @@ class Pipeline:
         self.keep(profitability.segment_profit(out), "segment_profit")
         return out
 
+    @committed("churn")
     def churn(self, models: list[str] | None = None) -> DataFrame:
         """Phase 5: train, compare, keep the best model and score every customer."""
         txn = self.load("transactions")
@@ -133,9 +162,10 @@ class Pipeline:
         self.keep(churn.feature_importance(run.models, run.columns), "feature_importance")
         parts = self.keep(explain.shap_contributions(run.best, run.test, run.columns), "attributions")
         self.keep(explain.mean_size(parts, run.columns), "attribution_means")
-        churn.save_model(run.best, self.spark, f"{self.folder}/model")
+        churn.save_model(run.best, self.spark, self.phases.place("model"))
         return self.keep(run.scored, "customer_churn")
 
+    @committed("priority")
     def priority(self) -> DataFrame:
         """Phase 6."""
         final = self.keep(priority.prioritise(self.load("customer_churn"), self.cfg), "customer_retention_final")
