@@ -29,6 +29,16 @@ def union_profiles(profiles: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, profiles)
 
 
+def with_rejects(profiles: DataFrame, rejects: DataFrame | None) -> DataFrame:
+    """Profiles with `rejected`, how many lines of each table could not be read."""
+    if rejects is None:
+        return profiles.withColumn("rejected", F.lit(0).cast("long"))
+    lines = rejects.groupBy("table_name", "file", "line", "column").count()  # equal lines once a copy
+    most = lines.groupBy("table_name", "file", "line").agg(F.max("count").alias("n"))
+    counts = most.groupBy("table_name").agg(F.sum("n").alias("rejected"))
+    return profiles.join(counts, "table_name", "left").withColumn("rejected", F.coalesce("rejected", F.lit(0).cast("long")))
+
+
 def table_inventory(tables: dict[str, DataFrame]) -> DataFrame:
     return union_profiles([table_profile(df, name) for name, df in tables.items()])
 

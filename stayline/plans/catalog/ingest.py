@@ -17,7 +17,7 @@ from stayline.plans.catalog.sql import (
     AS_OF, RETURN_RATE_CASE, case, cents, even, u,
 )
 from stayline.sources import fixtures
-from stayline.sources.store import REQUIRED, load_raw, save, scratch
+from stayline.sources.store import RAW_SCHEMAS, REQUIRED, load_raw, save, scratch, split_csv
 
 TXN = (
     "transaction_id:i customer_id:i order_date:d product_category:s product_super_category:s "
@@ -76,6 +76,36 @@ def _(t: Tables):
     return counted(found)
 
 
+_HARM = "l_orderkey * 7 + l_linenumber"
+_HEADER = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value"
+
+
+@query(
+    "rejected_lines", "column_name:s n:i",
+    f"""WITH x AS (SELECT ({_HARM}) % 50 AS harm FROM lineitem)
+        SELECT 'good' AS column_name, count(*) AS n FROM x WHERE harm NOT IN (0, 1, 2, 3)
+        UNION ALL SELECT 'price', count(*) FROM x WHERE harm IN (0, 2) UNION ALL SELECT 'freight_value', count(*) FROM x WHERE harm = 2
+        UNION ALL SELECT 'order_item_id', count(*) FROM x WHERE harm = 1 UNION ALL SELECT 'line', count(*) FROM x WHERE harm = 3""",
+)
+def _(t: Tables):
+    """Line items written as CSV with damage in some lines, read by the loader: good rows, and the
+    rejects of each column (of the line, where fields are missing)."""
+    harm = F.expr(f"({_HARM}) % 50")
+    price = F.when(harm == 0, "12,5").when(harm == 2, "much").when(harm == 4, "").otherwise(F.col("l_extendedprice").cast("string"))
+    fields = [
+        F.col("l_orderkey").cast("string"), F.when(harm == 1, "first").otherwise(F.col("l_linenumber").cast("string")),
+        F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.col("l_shipdate").cast("string"),
+        F.concat(F.lit('"'), price, F.lit('"')), F.when(harm == 2, "?").otherwise("1.5"),
+    ]
+    line = F.when(harm == 3, F.concat_ws(",", *fields[:5])).otherwise(F.concat_ws(",", *fields))
+    path = scratch(t.spark, "lines")
+    lines = t.table("lineitem").select(line.alias(_HEADER))  # one column, its name the header of every file
+    lines.write.options(header=True, quote="", sep="\x01").csv(path)
+    good, rejects = split_csv(t.spark, path, RAW_SCHEMAS["order_items"])
+    counts = rejects.groupBy(F.coalesce("column", F.lit("line")).alias("column_name")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.unionByName(good.agg(F.lit("good").alias("column_name"), F.count(F.lit(1)).alias("n")))
+
+
 @query(
     "table_inventory", "table_name:s n_rows:i n_columns:i null_columns:i",
     """SELECT 'customers' AS table_name, count(*) AS n_rows, 5 AS n_columns, 0 AS null_columns FROM customer

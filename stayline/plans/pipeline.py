@@ -113,7 +113,14 @@ class Pipeline:
         txn = self.keep(ingest.transactions(raw, self.cfg), "transactions")
         eng = self.keep(ingest.engagement(people, txn, raw, self.cfg), "engagement")
         stored = {"customers": people, "transactions": txn, "engagement": eng}
-        self.keep(profiling.union_profiles([profiling.table_profile(df, n) for n, df in stored.items()]), "data_quality")
+        quality = profiling.union_profiles([profiling.table_profile(df, n) for n, df in stored.items()])
+        rejects = raw.get("rejects")
+        if rejects is not None:
+            rejects = self.keep(rejects, "rejects")
+            read = {f"raw {n}": df for n, df in raw.items() if n != "rejects" and df is not None}
+            quality = quality.unionByName(profiling.table_inventory(read))
+            rejects = rejects.withColumn("table_name", F.concat(F.lit("raw "), "table_name"))
+        self.keep(profiling.with_rejects(quality, rejects), "data_quality")
         return {"customers": people, "transactions": txn, "engagement": eng}
 
     @committed("features")

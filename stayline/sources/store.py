@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline.session import shared_dir
@@ -75,27 +77,61 @@ def exists(spark: SparkSession, pattern: str) -> bool:
     return bool(matches(spark, pattern))
 
 
-def read_csv(spark: SparkSession, path: str, columns: str | None = None, free_text: bool = False) -> DataFrame:
-    """A CSV file with a header; columns are matched by name and typed as asked.
+def split_csv(
+    spark: SparkSession, path: str, columns: str | None = None, free_text: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """CSV files, each with the same header, in one pass: their good rows, columns matched by name and
+    typed as asked (all as text if nothing is asked), and their rejects (file, line, column, value).
 
-    Only free text can hold line breaks in quotes; other files stay splittable.
+    A line is rejected, whole, if it has more or fewer fields than the header (column is null then),
+    or if a field that is not blank cannot be read as its type: one reject a field. Only free
+    text can hold line breaks in quotes, and its rejected lines are written anew from their
+    fields; other files stay splittable and lines come as they stand in the file.
     """
-    df = spark.read.csv(path, header=True, multiLine=free_text, escape='"')
-    if columns is None:
-        return df
-    wanted = T.StructType.fromDDL(columns).fields
-    return df.select(
-        *[df[f.name].try_cast(f.dataType).alias(f.name) for f in wanted if f.name in df.columns]
-    )
+    names = spark.read.csv(path, header=True, escape='"').columns
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_whole"}
+    schema = ", ".join(f"_c{i} string" for i in range(len(names))) + ", _whole string"
+    raw = [F.col(f"_c{i}") for i in range(len(names))]
+    file = F.col("_metadata.file_path").alias("file")
+    if free_text:
+        rows = spark.read.csv(path, schema, header=True, enforceSchema=True, multiLine=True, **options)
+        line = F.coalesce("_whole", F.to_csv(F.struct(*raw), {"escape": '"'}))
+        rows = rows.select("*", file, line.alias("line"))
+    else:
+        text = spark.read.text(path)
+        header = text.filter("_metadata.file_block_start = 0").first()
+        lines = text.filter(F.trim("value") != "").filter(F.col("value") != F.lit(header["value"] if header else ""))
+        rows = lines.select(F.from_csv("value", schema, options).alias("row"), file, F.col("value").alias("line"))
+        rows = rows.select("row.*", "file", "line")
+    asked = T.StructType.fromDDL(columns).fields if columns else [T.StructField(n, T.StringType()) for n in names]
+    wanted = [(f, raw[names.index(f.name)]) for f in asked if f.name in names]
+    unread = [
+        F.when((F.trim(c) != "") & c.try_cast(f.dataType).isNull(), F.struct(F.lit(f.name).alias("column"), c.alias("value")))
+        for f, c in wanted if f.dataType != T.StringType()
+    ]
+    broken = F.when(F.col("_whole").isNotNull(), F.array(F.struct(F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("value"))))
+    found = F.filter(F.array(*unread), lambda x: x.isNotNull()) if unread else F.array().cast("array<struct<column:string,value:string>>")
+    rows = rows.withColumn("_faults", F.coalesce(broken, found)).withColumn("_bad", (F.size("_faults") > 0).cast("int"))
+    out = rows.select(
+        *[c.try_cast(f.dataType).alias(f.name) for f, c in wanted],
+        *[F.when(F.col("_bad") == 1, F.col(c)).alias(f"_{c}") for c in ("file", "line")], "_faults", "_bad")
+    place = scratch(spark, "split")
+    out.write.partitionBy("_bad").parquet(place)
+    stored = spark.read.schema(out.schema).parquet(place)
+    good = stored.filter("_bad = 0").select(*[f.name for f, _ in wanted])
+    rejects = stored.filter("_bad = 1").select(F.col("_file").alias("file"), F.col("_line").alias("line"), F.explode("_faults").alias("fault"))
+    return good, rejects.select("file", "line", "fault.column", "fault.value")
 
 
 def load_raw(spark: SparkSession, folder: str, fmt: str = "csv") -> dict:
     """Required tables, and optional ones where their file is there.
 
     CSV files are found by the end of their name, and two files with the same end are
-    an error; parquet tables are folders or files named after the table.
+    an error; lines that cannot be read are left out of their table and listed in `rejects`
+    (table_name, file, line, column, value). Parquet tables are folders or files named after
+    the table.
     """
-    out = {}
+    out, rejects = {}, []
     for name in REQUIRED + OPTIONAL:
         path = f"{folder}/*{RAW_FILES[name]}" if fmt == "csv" else f"{folder}/{name}.parquet"
         if not exists(spark, path):
@@ -105,7 +141,10 @@ def load_raw(spark: SparkSession, folder: str, fmt: str = "csv") -> dict:
         elif fmt == "csv":
             if len(files := matches(spark, path)) > 1:
                 raise ValueError(f"more than one file for table {name}: {', '.join(files)}")
-            out[name] = read_csv(spark, path, RAW_SCHEMAS.get(name), free_text=name == "reviews")
+            out[name], bad = split_csv(spark, path, RAW_SCHEMAS.get(name), free_text=name == "reviews")
+            rejects.append(bad.select(F.lit(name).alias("table_name"), "*"))
         else:
             out[name] = spark.read.parquet(path)
+    if rejects:
+        out["rejects"] = reduce(DataFrame.unionByName, rejects)
     return out

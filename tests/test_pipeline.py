@@ -8,10 +8,12 @@ from dataclasses import replace
 import pytest
 
 from stayline.config import Settings
-from stayline.operators import churn, evaluation
+from pyspark.sql import functions as F
+
+from stayline.operators import churn, evaluation, profiling
 from stayline.plans.catalog.base import Tables
 from stayline.plans.pipeline import Pipeline
-from stayline.sources.store import RAW_FILES, load_raw
+from stayline.sources.store import RAW_FILES, load_raw, split_csv
 
 CFG = replace(Settings(), cluster_restarts=1, cluster_range=(3,), max_iter=50)
 
@@ -38,6 +40,7 @@ def raw_folder(tmp_path_factory):
             items.append((f"o{i}", n + 1, f"p{draw.randrange(20)}", "s", day, draw.randint(5, 200) + 0.99, 7.5))
         pays.append((f"o{i}", 1, draw.choice(["card", "slip"]), draw.randint(1, 6), draw.randint(5, 300)))
         reviews.append((f"r{i}", f"o{i}", draw.randint(1, 5), "line one\nline two, \"quoted\""))
+    pays.append(("o0", 2, "card", 1, "a lot"))
     products = [(f"p{i}", ["brinquedos", "bebes", ""][i % 3]) for i in range(20)]
     tables = {
         "customers": ("customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state", people),
@@ -77,8 +80,39 @@ def test_command_line_needs_raw_tables_for_phase_1(capsys):
     assert "--raw" in capsys.readouterr().err
 
 
+ITEMS = "order_id string, order_item_id int, price double"
+
+
+def test_rejects_of_a_damaged_file(spark, tmp_path):
+    lines = ['"order_id",note,order_item_id,price', "a,x,1,2.5", 'b,"x, y",2,', "c,x,two,3", "d,x,4,1,5", "e,x", "", "f,x,1.0,9e2",
+             "g,x,no,never", "c,x,two,3", 'h,"say ""no""",7,  ']
+    (tmp_path / "items.csv").write_text("\n".join(lines) + "\n")
+    good, rejects = split_csv(spark, f"{tmp_path}/items.csv", ITEMS)
+    assert sorted(map(tuple, good.collect())) == [("a", 1, 2.5), ("b", 2, None), ("h", 7, None)]
+    got = sorted((r["line"], r["column"] or "", r["value"] or "") for r in rejects.collect())
+    assert got == [("c,x,two,3", "order_item_id", "two")] * 2 + [
+        ("d,x,4,1,5", "", ""), ("e,x", "", ""), ("f,x,1.0,9e2", "order_item_id", "1.0"), ("g,x,no,never", "order_item_id", "no"), ("g,x,no,never", "price", "never")]
+    assert all(r["file"].endswith("items.csv") for r in rejects.collect())
+    quality = profiling.with_rejects(profiling.table_profile(good, "items"), rejects.withColumn("table_name", F.lit("items"))).first()
+    assert (quality["n_rows"], quality["rejected"]) == (3, 6)
+
+
+def test_rejects_of_free_text_with_line_breaks(spark, tmp_path):
+    (tmp_path / "reviews.csv").write_text('order_id,price,said\na,1,"one\ntwo, ""three"""\nb,x,"four\nfive"\nc,2\n')
+    good, rejects = split_csv(spark, f"{tmp_path}/reviews.csv", "order_id string, price double, said string", free_text=True)
+    assert list(map(tuple, good.collect())) == [("a", 1.0, 'one\ntwo, "three"')]
+    got = {(r["column"], r["value"]): r["line"] for r in rejects.collect()}
+    assert set(got) == {("price", "x"), (None, None)} and "four\nfive" in got["price", "x"] and got[None, None] == "c,2"
+
+
+def test_file_with_a_header_alone(spark, tmp_path):
+    (tmp_path / "items.csv").write_text("price,order_id\n")
+    good, rejects = split_csv(spark, f"{tmp_path}/items.csv", ITEMS)
+    assert good.columns == ["order_id", "price"] and good.count() == rejects.count() == 0
+
+
 REPORTS = [
-    "data_quality", "segment_profile", "segment_comparison", "segment_agreement", "cluster_profile", "profit_summary",
+    "data_quality", "rejects", "segment_profile", "segment_comparison", "segment_agreement", "cluster_profile", "profit_summary",
     "high_revenue_low_margin", "segment_profit", "feature_importance", "attributions", "attribution_means", "top_targets",
     "sensitivity",
 ]
@@ -95,7 +129,9 @@ def test_raw_to_exports_and_restart(spark, raw_folder, tmp_path):
     assert all(r.recommended_action and 0 <= r.churn_prob <= 1 and r.kmeans_segment for r in rows.values())
     assert run.load("model_comparison").count() == 2
     reports = {name: run.load(name).count() for name in REPORTS}
-    assert reports["data_quality"] == 3 and reports["sensitivity"] == len(CFG.weight_sets) and reports["segment_agreement"] == 1
+    assert reports["data_quality"] == 10 and reports["rejects"] == 1 and reports["sensitivity"] == len(CFG.weight_sets) and reports["segment_agreement"] == 1
+    quality = {r.table_name: r for r in run.load("data_quality").collect()}
+    assert quality["raw payments"].rejected == 1 and quality["raw payments"].n_rows == 300 and quality["raw orders"].rejected == 0
     assert all(n > 0 for name, n in reports.items() if name != "high_revenue_low_margin")
     exports = run.exports()
     assert exports["customer_master"].count() == len(people)
