@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.registry import query, table
+from stayline.llm.registry import query, table, unused
 from stayline.sources.store import store
 
 BUCKET_BYTES = 16 << 20
@@ -34,10 +34,10 @@ def scatter(df: DataFrame, size: Column, seed: int, bucket_bytes: int = BUCKET_B
 
 
 def shuffled(df: DataFrame, size: Column, seed: int = 17, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, int]:
-    """All rows of df with `place`, their position from 0 in one random order, and the
-    number of rows. `size` is the expected bytes of a row; buckets are about
+    """All rows of df with `place` (see `unused`), their position from 0 in one random order, and
+    the number of rows. `size` is the expected bytes of a row; buckets are about
     `bucket_bytes`, whatever the number of rows. An empty table stays empty."""
-    pieces = scatter(df, size, seed, bucket_bytes)
+    pieces, (place,) = scatter(df, size, seed, bucket_bytes), unused(df, "place")
     counts = pieces.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))  # one row a bucket
     rows = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
     starts = counts.select(
@@ -52,7 +52,7 @@ def shuffled(df: DataFrame, size: Column, seed: int = 17, bucket_bytes: int = BU
     placed = (
         gathered.join(starts, "bucket")
         .select("start", F.posexplode("rows").alias("pos", "row"))
-        .select(F.col("row.record.*"), (F.col("start") + F.col("pos")).alias("place"))
+        .select(F.col("row.record.*"), (F.col("start") + F.col("pos")).alias(place))
     )
     return placed, rows
 
@@ -62,23 +62,28 @@ def shards(
 ) -> DataFrame:
     """Every row of df with `shard` (0 to n_shards - 1) and `slot` (from 0, without gaps).
 
-    Law: row counts of shards are at most one apart. Nulls, empty and very long texts,
-    ties and repeated rows are ordinary records; none is lost or merged. df must not have
-    columns named shard, slot or place.
+    Law: row counts of shards are at most one apart. Whole records are shuffled: what is
+    returned has been through the bucket files. Nulls, empty and very long texts, ties and
+    repeated rows are ordinary records; none is lost or merged. Where df has columns of these
+    names, underscores behind the new ones keep them apart (`unused`).
     """
+    shard_as, slot_as = unused(df, "shard", "slot")
     placed, rows = shuffled(df, size, seed, bucket_bytes)
-    shard = F.expr(f"cast(place * {n_shards} div {max(rows, 1)} as int)")
-    first = F.expr(f"(cast(shard as long) * {max(rows, 1)} + {n_shards - 1}) div {n_shards}")
-    return placed.withColumn("shard", shard).withColumn("slot", F.col("place") - first).drop("place")
+    place = placed.columns[-1]
+    shard = F.expr(f"cast(`{place}` * {n_shards} div {max(rows, 1)} as int)")
+    first = F.expr(f"(cast(`{shard_as}` as long) * {max(rows, 1)} + {n_shards - 1}) div {n_shards}")
+    return placed.withColumn(shard_as, shard).withColumn(slot_as, F.col(place) - first).drop(place)
 
 
 def write_shards(sharded: DataFrame, path: str, parts: int = 1) -> None:
-    """Writes each shard to its own folder, rows in slot order; `parts` files a shard."""
-    files = F.pmod(F.col("slot"), F.lit(parts))
+    """Writes each shard to its own folder, rows in slot order; `parts` files a shard. The last two
+    columns are shard and slot, as `shards` leaves them."""
+    shard, slot = sharded.columns[-2:]
+    files = F.pmod(F.col(slot), F.lit(parts))
     (
-        sharded.repartition("shard", files)
-        .sortWithinPartitions("shard", "slot")
-        .write.partitionBy("shard")
+        sharded.repartition(F.col(shard), files)
+        .sortWithinPartitions(shard, slot)
+        .write.partitionBy(shard)
         .parquet(path)
     )
 
@@ -90,12 +95,22 @@ N_SHARDS = 40
 def op10(spark, sf_dir):
     """Documents in 40 shards of equal row counts."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    records = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        (F.octet_length(text) + 16).cast("long").alias("size"),
-        F.crc32(text).cast("long").alias("text_crc32"),
-    )
-    return shards(records, N_SHARDS, F.col("size")).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+    size = (F.octet_length(text) + 16).cast("long")
+    shuffled_docs = shards(table(spark, sf_dir, "documents").select("doc_id", "text"), N_SHARDS, size)
+    return shuffled_docs.select(
+        "doc_id", size.alias("size"), F.crc32(text).cast("long").alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+SQL = """
+select shard, count(*) as rows from (
+    select (row_number() over () - 1) * 40 // (select count(*) from documents) as shard from documents)
+group by shard
+"""
+
+
+@query("shard_sizes", SQL)
+def shard_sizes(spark, sf_dir):
+    """How many documents each shard of op10_external_shuffle holds, by its greatest slot."""
+    return op10(spark, sf_dir).groupBy(F.col("shard").cast("long").alias("shard")).agg((F.max("slot") + 1).alias("rows"))

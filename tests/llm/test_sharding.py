@@ -60,3 +60,37 @@ def test_query(spark, folder):
     for r in rows:
         assert (r["size"], r["text_crc32"]) == (len(docs[r["doc_id"]]) + 16, zlib.crc32(docs[r["doc_id"]]))
         assert r["law"] == "rows" and r["grown_shard"] is None and 0 <= r["shard"] < 40
+
+
+def test_digests_are_those_of_the_shuffled_records(spark, folder, monkeypatch):
+    """A record changed in a bucket file changes the result."""
+    def harmed(df, name):
+        kept = sharding_store(df, name)
+        text = F.when(F.col("record.doc_id") == 7, "changed").otherwise(F.col("record.text"))
+        return kept.withColumn("record", F.col("record").withField("text", text))
+
+    sharding_store = sharding.store
+    before = {r["doc_id"]: r for r in sharding.op10(spark, folder).collect()}
+    monkeypatch.setattr(sharding, "store", harmed)
+    after = {r["doc_id"]: r for r in sharding.op10(spark, folder).collect()}
+    assert after[7]["text_crc32"] == zlib.crc32(b"changed") != before[7]["text_crc32"] and after[7]["size"] == 23
+    assert all(after[i]["text_crc32"] == before[i]["text_crc32"] for i in before if i != 7)
+
+
+def test_clashing_names(spark, awkward, tmp_path):
+    clash = awkward.withColumnsRenamed({"lang": "shard", "score": "slot", "count": "place", "source": "bucket"})
+    out = sharding.shards(clash, 3, size())
+    assert out.columns == [*clash.columns, "shard_", "slot_"]
+    key = lambda r: tuple(r[c] for c in clash.columns)
+    assert Counter(map(key, out.collect())) == Counter(map(key, clash.collect()))
+    sharding.write_shards(out, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == clash.count()
+
+
+def test_shard_sizes_equal_sql(spark, folder):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet')")
+    want = sorted(con.execute(f"SELECT shard, rows FROM ({sharding.SQL})").fetchall())
+    assert sorted((r["shard"], r["rows"]) for r in sharding.shard_sizes(spark, folder).collect()) == want
