@@ -7,8 +7,9 @@ far it lies from what is not random:
 
 * chi-squared of the symbols against the uniform alphabet, under a null of twice the
   uniform concentration;
-* runs of digits, lower and upper case, under a null of a change of class at
-  one boundary in four, which identifiers and words stay below;
+* runs of digits, lower and upper case (of the lower and the upper half of the digits, where
+  there are only digits), under a null of a change of class at one boundary in four, which
+  identifiers and words stay below;
 * serial correlation of neighbouring symbols, under a null of one half.
 
 Each becomes a normal score and their sum one p-value (Stouffer). Which tokens count as
@@ -34,11 +35,11 @@ ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]+"
 ASSIGN_CHARS, ACCESS_CHARS, HEX_CHARS = 6, 20, 24
 
-TOKEN_CHARS = 20
+TOKEN_CHARS = 16
 TOKEN = "[A-Za-z0-9+/_-]{%d,}" % TOKEN_CHARS
 CHANGE, CONCENTRATION, CORRELATION = 0.25, 2.0, 0.5  # the three nulls
 FALSE_DISCOVERIES = 0.01
-STRATA = [20, 24, 32, 40, 48, 64, 96, 128, 256]  # smallest lengths
+STRATA = [16, 20, 24, 32, 40, 48, 64, 96, 128, 256]  # smallest lengths
 BINS = 20  # of scores, for each unit
 
 SPAN = "struct<start:int,end:int,rank:int>"
@@ -51,17 +52,32 @@ def matches(text: Column, pattern: str, likely: str) -> Column:
     before = F.regexp_extract_all(text, F.lit(f"(?s)(.*?)(?:{pattern}|\\z)"), F.lit(1))
     found = F.regexp_extract_all(text, F.lit(f"(?s).*?((?:{pattern})|\\z)"), F.lit(1))
 
-    def add(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.char_length(pair["before"])
-        end = start + F.char_length(pair["found"])
-        one = F.struct(start.alias("start"), end.alias("end"), pair["found"].alias("found"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(one)).alias("spans"))
-
+    pairs = F.arrays_zip(before.alias("before"), found.alias("found"))
+    sized = F.transform(pairs, lambda p: F.struct(
+        F.char_length(p["before"]).alias("gap"), (F.char_length(p["before"]) + F.char_length(p["found"])).alias("size"), p["found"].alias("found")))
+
+    # Running ends in blocks of about the root of the number of matches: no array grows by one
+    # element at a time, so many matches in one text cost little more than each alone. What is
+    # used again is bound as the one element of an array.
+    total = lambda part: F.aggregate(part, F.lit(0), lambda acc, m: acc + m["size"])
+    held = F.transform(F.array(sized), lambda m: F.struct(
+        m.alias("m"), F.greatest(F.ceil(F.sqrt(F.size(m))).cast("int"), F.lit(1)).alias("step")))
+    summed = F.transform(held, lambda e: F.struct(
+        e["m"].alias("m"), e["step"].alias("step"), F.transform(
+            F.sequence(F.lit(0), F.floor(F.size(e["m"]) / e["step"]).cast("int")),
+            lambda b: total(F.slice(e["m"], b * e["step"] + 1, e["step"]))).alias("sums")))
+    bound = F.transform(summed, lambda e: F.struct(
+        e["m"].alias("m"), e["step"].alias("step"), F.transform(
+            e["sums"], lambda n, b: F.aggregate(F.slice(e["sums"], F.lit(1), b), F.lit(0), lambda acc, x: acc + x)).alias("firsts")))
+
+    def span(e: Column, m: Column, i: Column) -> Column:
+        block = F.floor(i / e["step"]).cast("int")
+        at = F.get(e["firsts"], block) + total(F.slice(e["m"], block * e["step"] + 1, i - block * e["step"]))
+        return F.transform(F.array(at), lambda a: F.struct(
+            (a + m["gap"]).alias("start"), (a + m["size"]).alias("end"), m["found"].alias("found")))[0]
+
+    walked = F.flatten(F.transform(bound, lambda e: F.transform(e["m"], lambda m, i: span(e, m, i))))
     none = F.lit([]).cast("array<struct<start:int,end:int,found:string>>")
-    walked = F.aggregate(
-        F.arrays_zip(before.alias("before"), found.alias("found")),
-        F.struct(F.lit(0).alias("at"), none.alias("spans")), add, lambda acc: acc["spans"],
-    )
     return F.when(text.rlike(likely), F.filter(walked, lambda s: s["found"] != "")).otherwise(none)
 
 
@@ -118,7 +134,8 @@ def score(token: Column) -> Column:
     uniform = (k - 1 + shift - chi) / F.sqrt(2 * (k - 1 + 2 * shift))
 
     letters = F.filter(F.split(F.regexp_replace(token, "[^A-Za-z0-9]", ""), ""), lambda c: c != "")
-    kind = F.transform(letters, lambda c: F.when(c <= "9", 0).when(c <= "Z", 1).otherwise(2))
+    # digits alone have one class: the halves of their alphabet stand for classes
+    kind = F.transform(letters, lambda c: F.when((k == 10) & (c < "5"), 3).when(c <= "9", 0).when(c <= "Z", 1).otherwise(2))
     m = F.greatest(F.size(kind) - 1, F.lit(1)).cast("double")
     pairs = F.arrays_zip(F.slice(kind, 1, F.greatest(F.size(kind) - 1, F.lit(0))).alias("a"),
                          F.slice(kind, 2, F.greatest(F.size(kind) - 1, F.lit(0))).alias("b"))

@@ -32,6 +32,7 @@ def score_of(token):
     chi = sum(codes.count(c) ** 2 for c in set(codes)) * k / n - n
     uniform = (k - 1 + n - chi) / math.sqrt(2 * (k - 1 + 2 * n))
     kinds = [0 if c <= "9" else 1 if c <= "Z" else 2 for c in re.sub("[^A-Za-z0-9]", "", token)]
+    kinds = [int(c < "5") for c in token] if k == 10 else kinds
     m = max(len(kinds) - 1, 1)
     runs = (sum(a != b for a, b in zip(kinds, kinds[1:])) - m / 4) / math.sqrt(m * 3 / 16)
     mean = sum(codes) / n
@@ -88,6 +89,33 @@ def test_random_tokens_are_added(spark, tokens):
             assert found[i] == f"random:{span}", t
 
 
+def test_digits_and_keys_of_16_characters(spark):
+    rng = random.Random(3)
+    digits = ["".join(rng.choices("0123456789", k=n)) for n in (22, 23, 23)]
+    keys = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n)) for n in (16, 18, 19)]
+    plain = ["12345678901234567890", "2026010100000000", "20260101-20261231", "Donaudampfschiff", "aGlassOfTheWater", "1111222233334444"]
+    rows = [(i, f"see {t} there") for i, t in enumerate(digits + keys + plain)]
+    out = S.scan(spark.createDataFrame(rows, "i int, text string"), "text").select("i", S.listed("spans").alias("s"))
+    found = {r["i"]: r["s"] for r in out.collect()}
+    for i, t in enumerate(digits + keys + plain):
+        assert found[i] == (f"random:4:{4 + len(t)}" if t in digits + keys else ""), (t, found[i])
+
+
+def test_text_with_very_many_matches(spark):
+    """Running ends don't copy what came before: four times the matches take no more than about
+    eight times as long (copying took sixteen times and more)."""
+    import time
+
+    took = []
+    for n in (2000, 2000, 8000):
+        text = "é password=abcdef12 x " * n
+        start = time.time()
+        spans = spark.createDataFrame([(text,)], "t string").select(S.base_spans(F.col("t")).alias("s")).first()["s"]
+        took.append(time.time() - start)
+        assert len(spans) == n and [tuple(s)[:2] for s in spans[:2] + spans[-1:]] == [(2, 19), (24, 41), (22 * n - 20, 22 * n - 3)]
+    assert took[2] < 8 * took[1] + 1
+
+
 def test_awkward_rows(awkward, empty):
     clash = awkward.withColumnRenamed("lang", "base")
     rows = S.scan(clash, "text").select("text", S.listed("base").alias("b"), S.listed("spans").alias("s")).collect()
