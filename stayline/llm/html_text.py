@@ -10,15 +10,18 @@ the midpoint of two means. Lines above it are content. From the body, the walk g
 as long as one container holds most of the content; that container is the region.
 
 All lines of an article or main element that holds the region are the text, however short
-they are. Elsewhere a container inside the region stays if it has a content line, and lines
-directly in it stay, in the body only from the first content line (with headings before it)
-to the last.
+they are, but for lines below the threshold that are mostly links in a container that is
+(lists of related pages). Elsewhere a container inside the region stays if it has a content line or
+lies between two, without its lines of links, and lines directly in it stay, in the body only
+from the first content line (with headings before it) to the last, or, where nothing is in
+a container, to the end.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -72,6 +75,7 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int, int, bool, bool, int]] = []
         self.parents, self.kinds = [-1], ["body"]  # containers; 0 is the page
         self.open: list[tuple[str, int, bool, bool]] = []  # tag, container, noise, in article
+        self.depth: Counter[str] = Counter()  # open elements of each tag
         self.named = [False]  # noise by its words
         self.here, self.noise, self.article = 0, False, False
         self.text: list[str] = []
@@ -112,6 +116,7 @@ class _Lines(HTMLParser):
             self.heading = tag in HEADINGS
             while self.open and self.open[-1][0] == "p":  # a block ends an open paragraph
                 self.open.pop()
+                self.depth["p"] -= 1
                 self.restore()
         elif tag in SPACED_TAGS:
             self.text.append(" ")
@@ -133,6 +138,7 @@ class _Lines(HTMLParser):
         self.here, self.noise = here, self.noise or noise
         self.article = self.article or tag in ("article", "main")
         self.open.append((tag, here, self.noise, self.article))
+        self.depth[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -142,12 +148,13 @@ class _Lines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         self.link = self.link and tag != "a"
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self.flush()
-                del self.open[i:]
-                self.restore()
-                break
+        if self.depth[tag]:  # what is passed on the way to it is closed, too: each element once
+            self.flush()
+            closed = ""
+            while closed != tag:
+                closed = self.open.pop()[0]
+                self.depth[closed] -= 1
+            self.restore()
         if tag in BLOCK_TAGS:
             self.flush()
             self.heading = False
@@ -228,12 +235,17 @@ def region_lines(page: _Lines, sigma: float = SIGMA) -> list[str]:
     content = (smooth >= threshold(smooth)) & ~noise
     if not content[~links].any() and (~links & ~noise).any():
         content = ~links & ~noise
-    weight = [0.0] * len(page.parents)  # content characters in and below each container
-    for (text, _, here, _, _, _), good in zip(lines, content):
-        if good:
-            while here >= 0:
-                weight[here] += len(text)
-                here = page.parents[here]
+    n = len(page.parents)
+    weight = [0.0] * n  # content characters in and below each container
+    said, linked = [0] * n, [0] * n  # all characters, and those in links
+    for (text, _, here, is_noise, _, in_links), good in zip(lines, content):
+        weight[here] += len(text) if good else 0
+        if not is_noise:
+            said[here] += len(text)
+            linked[here] += in_links
+    for c in range(n - 1, 0, -1):  # from the leaves up
+        for sums in (weight, said, linked):
+            sums[page.parents[c]] += sums[c]
     region = 0
     children: dict[int, list[int]] = {}
     for child, parent in enumerate(page.parents):
@@ -254,21 +266,25 @@ def region_lines(page: _Lines, sigma: float = SIGMA) -> list[str]:
     below: list[int | None] = []  # for each container: its ancestor directly below the region
     for c, parent in enumerate(page.parents):
         below.append(region if c == region else c if parent == region else below[parent] if parent >= 0 else None)
-    inside = [c == region or below[c] is not None for c in range(len(page.parents))]
+    inside = [c == region or below[c] is not None for c in range(n)]
+    listing = [False] * n  # in a container below the region that is mostly links
+    for c in range(1, n):
+        listing[c] = inside[c] and c != region and (listing[page.parents[c]] or 2 * linked[c] > said[c])
     found = np.flatnonzero(content)
     first, last = int(found[0]), int(found[-1])
     while first and lines[first - 1][4] and not lines[first - 1][3]:
         first -= 1
+    flat = all(x[2] == region for x in lines if not x[3])  # a page without containers ends where it ends
     kept = []
     for i, (text, _, here, is_noise, _, _) in enumerate(lines):
-        if is_noise or not inside[here]:
+        if is_noise or not inside[here] or (listing[here] and links[i] and not content[i]):
             continue
         if whole or (region and here == region):
             kept.append(text)
         elif here == region:
-            if first <= i <= last:
+            if first <= i and (i <= last or (flat and not links[i])):
                 kept.append(text)
-        elif weight[below[here]] > 0:
+        elif weight[below[here]] > 0 or (first <= i <= last and not links[i]):
             kept.append(text)
     return kept
 

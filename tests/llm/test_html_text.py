@@ -91,3 +91,40 @@ def test_query(spark, folder):
         blocks = [" ".join(html.unescape(b).split()) for b in body.split("\x00")]
         assert r["text"] == "\n\n".join(b for b in blocks if b)
         assert r["n_chars"] == len(r["text"])
+
+
+LONG = "A long paragraph of running text with many words, and hardly any tags around them at all. " * 3
+
+
+def blocks(html):
+    return html_text.main_text(html).split("\n\n")
+
+
+def test_short_lists_and_last_paragraphs_without_an_article():
+    long = LONG.strip()
+    menu = "<div class=menu><a href=x>Home</a> <a href=y>About</a></div>"
+    page = f"{menu}<div class=content><p>{LONG}</p><ul><li>One</li><li>Two</li></ul><p>{LONG}</p></div><footer>c</footer>"
+    assert blocks(page) == [long, "One", "Two", long]
+    assert blocks(f"<p>{LONG}<p>{LONG}<script>var x</script><p>end") == [long, long, "end"]
+
+
+def test_lists_of_links_in_an_article():
+    related = "<ul><li><a href=1>Another story</a></li><li><a href=2>One more</a></li></ul>"
+    page = f"<article><h1>Head</h1><p>{LONG}</p><p>Short.</p>{related}<ul><li>Item</li><li>see <a href=3>it</a> there</li></ul><p>{LONG}</p></article>"
+    assert blocks(page) == ["Head", LONG.strip(), "Short.", "Item", "see it there", LONG.strip()]
+
+
+def test_several_articles():
+    pages = "".join(f"<article><h2>Part {i}</h2><p>{LONG}</p></article>" for i in range(3))
+    got = blocks(f"<nav><a href=x>x</a></nav><main>{pages}</main>")
+    assert got == [b for i in range(3) for b in (f"Part {i}", LONG.strip())]
+
+
+def test_broken_and_deep_pages_take_linear_time():
+    import time
+
+    for page in ("<div>" * 16000 + "</p>" * 16000, "<div><span>" * 8000 + "</section>" * 8000,
+                 "".join(f"<div>a few words {i}" for i in range(8000))):
+        start = time.time()
+        html_text.main_text(page)
+        assert time.time() - start < 3
