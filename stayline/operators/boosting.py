@@ -27,7 +27,7 @@ from stayline.sources.store import save, store
 MISSING = 255  # bin of null and NaN values
 ONE = float(1 << 30)  # fixed-point unit of g and h
 ROWS_A_TASK = 50_000
-KEEP_ROUNDS = 25  # rounds after which margins are stored
+KEEP_ROUNDS = 5  # rounds after which margins are stored
 LEAST_GAIN = 1e-6
 
 
@@ -162,7 +162,9 @@ def _derivatives(bins: np.ndarray, y: np.ndarray, margin: np.ndarray, trees: lis
 
 
 def _unpacked(batch: pa.RecordBatch, width: int):
-    bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, width)
+    column = batch.column("bins")  # as many bytes in every row
+    first = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
+    bins = np.frombuffer(column.buffers()[2], np.uint8)[first : first + batch.num_rows * width].reshape(-1, width)
     return bins, batch.column("y").to_numpy(), batch.column("margin").to_numpy()
 
 
@@ -194,21 +196,23 @@ def _proposed(nodes: int, penalty: float, least: float):
     """The best cut of one feature for each open node."""
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x, np.int64).reshape(2, nodes, 256) for x in rows["sums"].to_pylist())
-        out = []
-        for node in range(nodes):
-            g, h = total[0, node], total[1, node]
-            all_g, all_h = int(g.sum()) / ONE, int(h.sum()) / ONE
-            best = (0.0, 0, True, 0.0, 0.0)
-            for missing_left in (True, False):
-                left_g, left_h = ((np.cumsum(x[:MISSING]) + (x[MISSING] if missing_left else 0)) / ONE for x in (g, h))
-                right_g, right_h = all_g - left_g, all_h - left_h
-                gain = left_g**2 / (left_h + penalty) + right_g**2 / (right_h + penalty) - all_g**2 / (all_h + penalty)
-                gain[(left_h < least) | (right_h < least)] = 0.0
-                at = int(gain.argmax())  # the first of the greatest
-                if gain[at] > best[0]:
-                    best = (float(gain[at]), at, missing_left, float(left_g[at]), float(left_h[at]))
-            out.append((node, key[0].as_py(), *best, all_g, all_h))
-        return pa.table([pa.array(c) for c in zip(*out)], names=["node", "feature", "gain", "bin", "missing_left", "g", "h", "all_g", "all_h"]).cast(_PROPOSAL)
+        g, h = total / ONE  # (nodes, bins) each
+        all_g, all_h = g.sum(axis=1, keepdims=True), h.sum(axis=1, keepdims=True)
+        rows_, found = np.arange(nodes), None
+        for missing_left in (True, False):
+            left_g, left_h = (np.cumsum(x[:, :MISSING], axis=1) + (x[:, MISSING:] if missing_left else 0) for x in (g, h))
+            right_g, right_h = all_g - left_g, all_h - left_h
+            gain = left_g**2 / (left_h + penalty) + right_g**2 / (right_h + penalty) - all_g**2 / (all_h + penalty)
+            gain[(left_h < least) | (right_h < least)] = 0.0
+            at = gain.argmax(axis=1)  # the first of the greatest
+            new = (gain[rows_, at], at, np.full(nodes, missing_left), left_g[rows_, at], left_h[rows_, at])
+            if found is None:
+                found = new
+            else:
+                better = new[0] > found[0]
+                found = tuple(np.where(better, y, x) for x, y in zip(found, new))
+        out = (rows_, np.full(nodes, key[0].as_py()), *found, all_g[:, 0], all_h[:, 0])
+        return pa.table([pa.array(c) for c in out], names=["node", "feature", "gain", "bin", "missing_left", "g", "h", "all_g", "all_h"]).cast(_PROPOSAL)
 
     return run
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
@@ -140,6 +142,7 @@ class Run:
     scored: DataFrame
     test: DataFrame
     columns: list
+    train: DataFrame
 
 
 def prepared(customers: DataFrame, target: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -168,4 +171,45 @@ def train_and_score(
     comparison = freeze(evaluation.compare_models(scored_test))
     best_name = comparison.orderBy(F.desc("auc_roc"), "model").first()["model"]
     scored = labels.with_actual_label(score_all(models[best_name], customers), target)
-    return Run(models, comparison, best_name, models[best_name], scored, test, columns)
+    return Run(models, comparison, best_name, models[best_name], scored, test, columns, train)
+
+
+# -- what must hold of fitted models -------------------------------------------------
+
+
+def logistic_gradient(model: PipelineModel, train: DataFrame) -> dict[str, float]:
+    """Slope of the fitted logistic model's penalised mean loss, for each coefficient and the
+    intercept, over its training rows."""
+    fitted = model.stages[-1]
+    rows = PipelineModel(model.stages[:-1]).transform(weighted(train))
+    rows = rows.withColumn("x", vector_to_array("features")).withColumn("w", F.col("weight"))
+    beta = [float(b) for b in fitted.coefficients]
+    margin = sum((F.get("x", F.lit(i)) * F.lit(b) for i, b in enumerate(beta)), F.lit(float(fitted.intercept)))
+    off = (1 / (1 + F.exp(-margin)) - F.col("churn")) * F.col("w")
+    sums = rows.withColumn("off", off).agg(
+        F.sum("w").alias("w"), F.sum("off").alias("intercept"),
+        *[F.sum(F.col("off") * F.get("x", F.lit(i))).alias(f"g{i}") for i in range(len(beta))]).first()
+    penalty = fitted.getRegParam()
+    out = {str(i): sums[f"g{i}"] / sums["w"] + penalty * b for i, b in enumerate(beta)}
+    return out | {"intercept": sums["intercept"] / sums["w"]}
+
+
+def replayed(tree, rows: DataFrame) -> DataFrame:
+    """(node, n): how many rows of a `features` array pass each node of a tree."""
+    feature, cut, left, right, null_left = tree.feature, tree.cut, tree.left, tree.right, tree.null_left
+
+    def walked(batches):
+        total = np.zeros(len(feature), np.int64)
+        for batch in batches:
+            x = np.array(batch.column("features").to_pylist(), dtype=float).reshape(batch.num_rows, -1)
+            at, open_ = np.zeros(len(x), np.int64), np.arange(len(x))
+            total[0] += len(x)
+            while len(open_ := open_[feature[at[open_]] >= 0]):
+                node = at[open_]
+                value = x[open_, feature[node]]
+                goes = np.where(np.isnan(value), null_left[node], value <= cut[node])
+                at[open_] = np.where(goes, left[node], right[node])
+                total += np.bincount(at[open_], minlength=len(feature))
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], ["node", "n"])
+
+    return rows.select("features").mapInArrow(walked, "node int, n long").groupBy("node").agg(F.sum("n").alias("n"))

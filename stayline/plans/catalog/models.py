@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from stayline.operators import boosting, churn, clustering, explain, labels, oversampling, segmentation
@@ -218,6 +220,50 @@ def _(t: Tables):
     return _trained(t, "Gradient Boosting")
 
 
+_TRAINED = "(SELECT 2 * max(n) FROM (SELECT floor(0.8 * count(*) + 0.5) AS n FROM lab GROUP BY churn))"
+
+
+@query("logistic_gradient", "n_rows:i steep:i", f"SELECT {_TRAINED} AS n_rows, 0 AS steep FROM range(1)")
+def _(t: Tables):
+    """At the fitted logistic model the penalised loss has no slope: coefficients along which it
+    changes by more than a thousandth, of all over the balanced training rows."""
+    run = _run(t)
+    slopes = churn.logistic_gradient(run.models["Logistic Regression"], run.train)
+    steep = sum(abs(v) > 1e-3 for v in slopes.values())
+    return run.train.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(steep).alias("steep"))
+
+
+@query(
+    "tree_replay", "model:s n_rows:i off:i",
+    f"SELECT unnest(['Decision Tree', 'Random Forest']) AS model, {_TRAINED} AS n_rows, 0 AS off",
+)
+def _(t: Tables):
+    """Training rows sent down the decision tree again: all reach its root, and how many nodes
+    saw another number of rows than the model says; in the forest (bootstrapped rows), how many
+    trees have a node whose children's rows don't add up to its own."""
+    run = _run(t)
+    model = run.models["Decision Tree"]
+    tree = explain.model_trees(model, t.spark)[0]
+    rows = PipelineModel(model.stages[:-1]).transform(run.train).select(vector_to_array("features").alias("features"))
+    counts = {r["node"]: r["n"] for r in churn.replayed(tree, rows).collect()}  # one row a node
+    off = sum(counts[node] != cover for node, cover in enumerate(tree.cover))
+    forest = explain.model_trees(run.models["Random Forest"], t.spark)
+    broken = sum(any(x.cover[i] != x.cover[x.left[i]] + x.cover[x.right[i]] for i in range(len(x.cover)) if x.feature[i] >= 0) for x in forest)
+    found = [("Decision Tree", counts[0], off), ("Random Forest", run.train.count(), broken)]
+    return t.spark.createDataFrame(found, "model string, n_rows long, off int")
+
+
+@query(
+    "importance_shares", "model:s total:f negative:i",
+    "SELECT unnest(['Decision Tree', 'Gradient Boosting', 'Random Forest']) AS model, 1.0 AS total, 0 AS negative",
+)
+def _(t: Tables):
+    """Importances of each tree model are shares: none negative, together one."""
+    run = _run(t)
+    return churn.feature_importance(run.models, run.columns).groupBy("model").agg(
+        F.sum("importance").alias("total"), F.count_if(F.col("importance") < 0).alias("negative"))
+
+
 def _newton(t: Tables) -> churn.Run:
     """A training run of the Newton-boosted trees alone."""
     if not hasattr(t, "_newton_run"):

@@ -306,6 +306,21 @@ def test_deep_tree_is_additive():
     assert np.allclose(out.sum(axis=0) + none, whole)
 
 
+def test_logistic_gradient_and_tree_replay(spark, models):
+    fitted, _ = models
+    train = spark.createDataFrame(people(600))
+    model = fitted["Logistic Regression"]
+    slopes = churn.logistic_gradient(model, train)
+    assert len(slopes) == len(COLUMNS) + 1 and max(map(abs, slopes.values())) < 1e-3
+    other = churn.logistic_gradient(model, spark.createDataFrame(people(600, 9)))
+    assert max(map(abs, other.values())) > 1e-3  # not at rows it was not fitted on
+    model = fitted["Decision Tree"]
+    tree = explain.model_trees(model, spark)[0]
+    rows = PipelineModel(model.stages[:-1]).transform(train).select(vector_to_array("features").alias("features"))
+    counts = {r["node"]: r["n"] for r in churn.replayed(tree, rows.repartition(4)).collect()}
+    assert [counts[i] for i in range(len(tree.cover))] == tree.cover.tolist()
+
+
 def test_models_come_back_from_disk(spark, models, tmp_path):
     fitted, test = models
     for name in ("Decision Tree", churn.NEWTON):
