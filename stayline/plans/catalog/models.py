@@ -246,9 +246,9 @@ def _(t: Tables):
     tree = explain.model_trees(model, t.spark)[0]
     rows = PipelineModel(model.stages[:-1]).transform(run.train).select(vector_to_array("features").alias("features"))
     counts = {r["node"]: r["n"] for r in churn.replayed(tree, rows).collect()}  # one row a node
-    off = sum(counts[node] != cover for node, cover in enumerate(tree.cover))
+    off = sum(bool(counts[node] != cover) for node, cover in enumerate(tree.cover))
     forest = explain.model_trees(run.models["Random Forest"], t.spark)
-    broken = sum(any(x.cover[i] != x.cover[x.left[i]] + x.cover[x.right[i]] for i in range(len(x.cover)) if x.feature[i] >= 0) for x in forest)
+    broken = sum(any(bool(x.cover[i] != x.cover[x.left[i]] + x.cover[x.right[i]]) for i in range(len(x.cover)) if x.feature[i] >= 0) for x in forest)
     found = [("Decision Tree", counts[0], off), ("Random Forest", run.train.count(), broken)]
     return t.spark.createDataFrame(found, "model string, n_rows long, off int")
 
