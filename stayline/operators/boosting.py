@@ -5,8 +5,9 @@ g = (p - y) w and the curvature h = p (1 - p) w; a leaf is worth -G / (H + penal
 GL^2 / (HL + penalty) + GR^2 / (HR + penalty) - G^2 / (H + penalty). Rows are binned once and
 stay in their partitions: for each level of a tree every partition sums g and h by node,
 feature and bin, the sums of one feature meet in one task, which proposes the best cut of
-every node, and only these proposals reach the driver. Sums are whole numbers (fixed point),
-so the trees do not depend on partitioning or row order.
+every node, and only these proposals reach the driver. Where the sums of all partitions are few
+bytes (MERGED_BYTES), the driver adds them up itself: one stage a level in place of two. Sums are
+whole numbers (fixed point), so the trees do not depend on partitioning or row order.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ ONE = float(1 << 30)  # fixed-point unit of g and h
 ROWS_A_TASK = 50_000
 KEEP_ROUNDS = 5  # rounds after which margins are stored
 LEAST_GAIN = 1e-6
+MERGED_BYTES = 64 << 20  # sums of one level that the driver adds up, at most
 
 
 @dataclass
@@ -195,7 +198,9 @@ def _summed(trees: list[Tree], growing: Tree, places: dict[int, int], width: int
 def _proposed(nodes: int, penalty: float, least: float):
     """The best cut of one feature for each open node."""
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.int64).reshape(2, nodes, 256) for x in rows["sums"].to_pylist())
+        total = np.zeros((2, nodes, 256), np.int64)
+        for x in rows["sums"]:
+            total += np.frombuffer(x.as_buffer(), np.int64).reshape(2, nodes, 256)
         g, h = total / ONE  # (nodes, bins) each
         all_g, all_h = g.sum(axis=1, keepdims=True), h.sum(axis=1, keepdims=True)
         rows_, found = np.arange(nodes), None
@@ -222,19 +227,27 @@ _PROPOSAL = pa.schema([
     ("g", pa.float64()), ("h", pa.float64()), ("all_g", pa.float64()), ("all_h", pa.float64())])
 
 
-def _grown(rows: DataFrame, trees: list[Tree], width: int, depth: int, rate: float, penalty: float, least: float, weight: float) -> Tree:
-    """One tree, level by level."""
+def _grown(
+    rows: DataFrame, parts: int, trees: list[Tree], width: int, depth: int, rate: float, penalty: float, least: float, weight: float
+) -> Tree:
+    """One tree, level by level; rows have `parts` partitions at most."""
     tree = Tree()
     tree.leaf(0.0, 0.0)
     open_ = [0]
     for level in range(depth):
         places = {node: i for i, node in enumerate(open_)}
         sums = rows.mapInArrow(_summed(trees, tree, places, width, weight), "feature int, sums binary")
-        proposals = sums.groupBy("feature").applyInArrow(
-            _proposed(len(open_), penalty, least),
-            "node int, feature int, gain double, bin int, missing_left boolean, g double, h double, all_g double, all_h double")
+        propose = _proposed(len(open_), penalty, least)
+        if parts * width * len(open_) * 2 * 256 * 8 <= MERGED_BYTES:
+            table = sums.toArrow()
+            proposals = [r for f in sorted(set(table["feature"].to_pylist()))
+                         for r in propose((pa.scalar(f),), table.filter(pc.equal(table["feature"], f))).to_pylist()]
+        else:
+            proposals = sums.groupBy("feature").applyInArrow(
+                propose,
+                "node int, feature int, gain double, bin int, missing_left boolean, g double, h double, all_g double, all_h double").collect()
         best: dict[int, tuple] = {}
-        for r in proposals.collect():  # one row an open node and feature
+        for r in proposals:  # one row an open node and feature
             rank = (-r["gain"], r["feature"])
             if r["node"] not in best or rank < best[r["node"]][0]:
                 best[r["node"]] = (rank, r)
@@ -291,7 +304,7 @@ def fit(
     rows = store(plain.coalesce(parts).mapInArrow(packed, schema), "binned")
     recent: list[Tree] = []
     for _ in range(rounds):
-        tree = _grown(rows, recent, width, depth, rate, penalty, least_curvature, weight)
+        tree = _grown(rows, parts, recent, width, depth, rate, penalty, least_curvature, weight)
         model.trees.append(tree)
         recent.append(tree)
         if tree.feature[0] < 0 and abs(tree.value[0]) < 1e-12:

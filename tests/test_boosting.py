@@ -100,3 +100,18 @@ def test_saved_model_and_gains(spark, tmp_path):
     assert sum(model.gains()) == pytest.approx(1) and np.argmax(model.gains()) == 0
     assert all(t.cover[t.left[i]] + t.cover[t.right[i]] == pytest.approx(t.cover[i]) for t in model.trees
                for i, f in enumerate(t.feature) if f >= 0)
+
+
+def test_few_sums_are_merged_in_one_stage_a_level(spark, monkeypatch):
+    df, cuts = spark.createDataFrame(data()).repartition(4), [[-0.5, 0.0, 0.5], [2.0, 4.0, 6.0], [1.0, 2.0]]
+    context, trees, stages = spark.sparkContext, [], []
+    for most in (1 << 26, 0):
+        monkeypatch.setattr(boosting, "MERGED_BYTES", most)
+        context.setJobGroup(f"boosting{most}", "")
+        trees.append([t.__dict__ for t in boosting.fit(df, COLUMNS, rounds=2, depth=2, cuts=cuts).trees])
+        tracker = context.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"boosting{most}")]
+        stages.append(len({stage for job in jobs for stage in job.stageIds}))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert trees[0] == trees[1]
+    assert stages[1] - stages[0] >= 4  # two rounds of two levels
