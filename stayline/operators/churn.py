@@ -27,6 +27,7 @@ from stayline.sources.store import exists
 MODELS = ["Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boosting"]
 NEWTON = "Newton Boosting"  # may stand beside the others, or for Gradient Boosting
 Model = PipelineModel | boosting.NewtonTrees
+LEAST_PARTS = 8  # partitions of training rows that are not merged
 
 
 def leak_free_features(people: DataFrame, txn: DataFrame, engagement: DataFrame, cfg: Settings) -> DataFrame:
@@ -66,9 +67,13 @@ def train_models(
     train: DataFrame, columns: list[str], cfg: Settings, names: list[str] | None = None
 ) -> dict[str, Model]:
     """One fitted pipeline (assemble, scale, classify) per model name; Newton-boosted trees need
-    neither scaling nor class weights, as the positive weight follows from the labels."""
+    neither scaling nor class weights, as the positive weight follows from the labels.
+
+    Tree learners ship the statistics of every open node once for each partition and run a task
+    a partition for every level, so small partitions are merged before."""
     train = freeze(weighted(train))
     n_rows = train.count()
+    train = train.coalesce(max(LEAST_PARTS, -(-n_rows // boosting.ROWS_A_TASK)))
     prepare = [
         VectorAssembler(inputCols=columns, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),

@@ -335,3 +335,21 @@ def test_linear_attributions_sum_to_score(spark, models):
     got = explain.shap_contributions(fitted["Logistic Regression"], test, COLUMNS).toPandas()
     assert np.allclose(got[COLUMNS].sum(), 0, atol=1e-6)
     assert explain.mean_size(spark.createDataFrame(got), COLUMNS).count() == 3
+
+
+def test_small_partitions_are_merged_before_fitting(spark, monkeypatch):
+    seen = []
+    make = churn.classifier
+    monkeypatch.setattr(churn, "freeze", lambda df: df)
+
+    def watched(name, n_rows, cfg):
+        tree = make(name, n_rows, cfg)
+        monkeypatch.setattr(tree, "_fit", lambda df: (seen.append(df.rdd.getNumPartitions()), type(tree)._fit(tree, df))[1])
+        return tree
+
+    monkeypatch.setattr(churn, "classifier", watched)
+    train = spark.createDataFrame([(i, i % 2, float(i % 7)) for i in range(200)], "customer_id long, churn int, x double")
+    churn.train_models(train.repartition(40), ["x"], CFG, ["Decision Tree"])
+    assert seen == [churn.LEAST_PARTS]
+    churn.train_models(train.repartition(3), ["x"], CFG, ["Decision Tree"])
+    assert seen[-1] == 3
