@@ -45,10 +45,24 @@ class Tables:
         """Transactions, joined only with what the columns need."""
         return ingest.transactions(self.raw, self.cfg, list(columns) or None)
 
+    @cached_property
+    def overview(self) -> DataFrame:
+        """The columns that the summary of the data looks at, several times."""
+        lines = self.lines("order_date", "revenue", "product_id", "product_category", "product_super_category")
+        return lines if "transactions" in self.__dict__ else store(lines, "overview")
+
     @cached_property
     def transactions(self) -> DataFrame:
         return store(self.txn(), "transactions")
 
+    def lines(self, *columns: str) -> DataFrame:
+        """Some columns of the transactions: of the stored table if there is one, else joined
+        with what the columns need and with the products."""
+        if "transactions" in self.__dict__:
+            return self.transactions.select(*columns)
+        # a product that comes twice doubles its lines, as in the stored table
+        return self.txn(*dict.fromkeys([*columns, "product_category"])).select(*columns)
+
     @cached_property
     def orders(self) -> DataFrame:
         return ingest.resolve_identity(self.raw["orders"], self.raw["customers"])
@@ -125,7 +139,8 @@ class Tables:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return exports.transactions_summary(self.transactions)
+        return exports.transactions_summary(
+            self.lines("customer_id", "transaction_id", "order_date", "revenue", "quantity", "is_return"))
 
 
 _TABLES: dict[tuple, Tables] = {}

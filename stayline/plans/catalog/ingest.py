@@ -462,7 +462,7 @@ def _(t: Tables):
                {cents('revenue')} AS total_revenue FROM txn""",
 )
 def _(t: Tables):
-    return ingest.dataset_summary(t.transactions, t.customers)
+    return ingest.dataset_summary(t.overview, t.customers)
 
 
 @query("ingest_customers", PEOPLE, "SELECT * FROM people")
