@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 from stayline.operators.boosting import NewtonTrees
 from stayline.sources.store import scratch
 
-ROWS = 8192  # rows that descend a tree at once
+ROWS = 65536  # rows that descend a tree at once
+BELOW = 3  # height of the subtrees that rows enter as classes
 
 
 def linear_contributions(df: DataFrame, weights: dict[str, float]) -> DataFrame:
@@ -115,6 +117,19 @@ def _unwound(weights: np.ndarray, share: np.ndarray, inside: np.ndarray) -> np.n
     return out
 
 
+def _heights(tree: TreeNodes) -> np.ndarray:
+    """Splits on the longest way from each node to a leaf."""
+    order = [0]
+    for node in order:
+        if tree.feature[node] >= 0:
+            order += [tree.left[node], tree.right[node]]
+    out = np.zeros(len(tree.feature), int)
+    for node in reversed(order):
+        if tree.feature[node] >= 0:
+            out[node] = 1 + max(out[tree.left[node]], out[tree.right[node]])
+    return out
+
+
 def tree_shapley(tree: TreeNodes, x: np.ndarray, out: np.ndarray) -> None:
     """Adds the path-dependent Shapley values of a tree, for all rows of x, to out (features, rows).
 
@@ -122,13 +137,48 @@ def tree_shapley(tree: TreeNodes, x: np.ndarray, out: np.ndarray) -> None:
     path, in which a feature lets a row pass if it is in the subset and the row goes that way, and
     with the share of training rows that went that way if not. A split extends the weights; a
     feature that comes again is taken out first; at a leaf each feature is taken out in turn.
-    Rows that went alike at all splits of a path so far are one pattern and share its weights.
+    Rows that went alike at all splits of a path so far are one pattern and share its weights. A
+    subtree of height BELOW is entered by classes only, rows of one pattern that go alike at all
+    of its splits: its values are added up for the classes and dealt to their rows once.
     """
+    height = _heights(tree)
+
+    def goes_left(node: int, x: np.ndarray) -> np.ndarray:
+        values, cut = x[tree.feature[node]], tree.cut[node]
+        return ~(values > cut) if tree.null_left[node] else values <= cut
+
+    def by_class(
+        node: int, path: list[int], share: list[float], inside: list[np.ndarray], weights: np.ndarray, pattern: np.ndarray,
+        x: np.ndarray, out: np.ndarray,
+    ) -> None:
+        splits, under = [], [node]
+        for n in under:
+            if tree.feature[n] >= 0:
+                splits.append(n)
+                under += [tree.left[n], tree.right[n]]
+        code = pattern << len(splits)
+        for i, n in enumerate(splits):
+            code |= goes_left(n, x).astype(np.int64) << i
+        found = np.zeros(weights.shape[1] << len(splits), bool)
+        found[code] = True
+        place = np.cumsum(found) - 1
+        group = place[code]
+        row = np.empty(place[-1] + 1, np.int64)
+        row[group] = np.arange(len(group))  # any row of a class stands for it
+        sums = np.zeros((len(out), len(row)))
+        descend(node, path, share, inside, weights, pattern[row], x[:, row], sums, True)
+        for f in {*path, *(tree.feature[n] for n in splits)}:
+            out[f] += sums[f][group]
+
     def descend(
-        node: int, path: list[int], share: list[float], inside: list[np.ndarray], weights: np.ndarray, pattern: np.ndarray
+        node: int, path: list[int], share: list[float], inside: list[np.ndarray], weights: np.ndarray, pattern: np.ndarray,
+        x: np.ndarray, out: np.ndarray, classes: bool = False,
     ) -> None:
         m = len(path)
         feature = tree.feature[node]
+        if not classes and 0 < height[node] <= BELOW:
+            by_class(node, path, share, inside, weights, pattern, x, out)
+            return
         if feature < 0:
             if m and tree.value[node]:
                 passes, shares = np.stack(inside), np.array(share)[:, None]
@@ -143,9 +193,7 @@ def tree_shapley(tree: TreeNodes, x: np.ndarray, out: np.ndarray) -> None:
             weights = _unwound(weights, np.array([[was]]), had[None])[:, 0]
             path, share, inside = path[:i] + path[i + 1 :], share[:i] + share[i + 1 :], inside[:i] + inside[i + 1 :]
             m -= 1
-        values = x[:, feature]
-        goes = np.where(np.isnan(values), tree.null_left[node], values <= tree.cut[node])
-        finer = 2 * pattern + goes
+        finer = 2 * pattern + goes_left(node, x)
         present = np.bincount(finer, minlength=2 * len(had)) > 0
         pattern = (np.cumsum(present) - 1)[finer]
         source, went = np.divmod(np.flatnonzero(present), 2)
@@ -157,10 +205,22 @@ def tree_shapley(tree: TreeNodes, x: np.ndarray, out: np.ndarray) -> None:
             more = np.zeros((m + 2, len(source)))
             more[:-1] = weights * (part * grown[::-1])
             more[1:] += weights * grown * passes
-            descend(child, path + [feature], share + [part], inside + [passes], more, pattern)
+            descend(child, path + [feature], share + [part], inside + [passes], more, pattern, x, out, classes)
 
     if len(x):
-        descend(0, [], [], [], np.ones((1, 1)), np.zeros(len(x), np.int64))
+        descend(0, [], [], [], np.ones((1, 1)), np.zeros(len(x), np.int64), np.ascontiguousarray(x.T), out)
+
+
+def _larger(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """Batches of at least so many rows each, the last one apart."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def tree_contributions(rows: DataFrame, trees: list[TreeNodes], columns: list[str]) -> DataFrame:
@@ -171,12 +231,12 @@ def tree_contributions(rows: DataFrame, trees: list[TreeNodes], columns: list[st
     schema = f"customer_id {key_type}, " + ", ".join(f"`{c}` double" for c in columns)
 
     def attribute(batches):
-        for batch in batches:
+        for batch in _larger(batches, ROWS):
             x = np.array(batch["features"].tolist(), dtype=float).reshape(-1, len(columns))
             out = np.zeros((len(columns), len(x)))
-            for at in range(0, len(x), ROWS):
+            for at in range(0, len(x), 2 * ROWS):
                 for tree in shared.value:
-                    tree_shapley(tree, x[at : at + ROWS], out[:, at : at + ROWS])
+                    tree_shapley(tree, x[at : at + 2 * ROWS], out[:, at : at + 2 * ROWS])
             frame = pd.DataFrame(out.T, columns=columns)
             frame.insert(0, "customer_id", batch["customer_id"].to_numpy())
             yield frame

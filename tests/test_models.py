@@ -353,3 +353,26 @@ def test_small_partitions_are_merged_before_fitting(spark, monkeypatch):
     assert seen == [churn.LEAST_PARTS]
     churn.train_models(train.repartition(3), ["x"], CFG, ["Decision Tree"])
     assert seen[-1] == 3
+
+
+def test_rows_of_a_deep_tree_share_their_way_in_large_batches():
+    """Subtrees are entered by classes of rows, and small Arrow batches are merged."""
+    rng = np.random.default_rng(3)
+    n = 2**7 - 1  # a full tree of depth 6
+    inner = np.arange(n) < n // 2
+    tree = explain.TreeNodes(
+        np.where(inner, rng.integers(0, 5, n), -1), rng.normal(size=n), rng.random(n) < 0.5,
+        np.where(inner, 2 * np.arange(n) + 1, -1), np.where(inner, 2 * np.arange(n) + 2, -1),
+        np.where(inner, 0.0, rng.normal(size=n)), np.zeros(n))
+    for i in range(n - 1, -1, -1):
+        tree.cover[i] = tree.cover[2 * i + 1] + tree.cover[2 * i + 2] if inner[i] else rng.integers(1, 9)
+    x = rng.normal(size=(60, 5))
+    x[rng.random(x.shape) < 0.1] = np.nan
+    out = np.zeros((5, len(x)))
+    explain.tree_shapley(tree, x, out)
+    for i in range(len(x)):
+        assert np.allclose(out[:, i], shapley([tree], x[i], 5)[0])
+    assert explain._heights(tree)[0] == 6
+    frames = [pd.DataFrame({"v": [i, i]}) for i in range(5)]
+    assert [list(f["v"]) for f in explain._larger(iter(frames), 3)] == [[0, 0, 1, 1], [2, 2, 3, 3], [4, 4]]
+    assert list(explain._larger(iter([]), 3)) == []
