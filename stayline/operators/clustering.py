@@ -54,6 +54,27 @@ def _matrix(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
     return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns])
 
 
+def _nearest(x: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the nearest point (ties to the smaller one) and squared distance to it, for all
+    columns of x (features, rows): one point after the other, with no matrix of all distances."""
+    best, square, part = (np.empty(x.shape[1]) for _ in range(3))
+    near, less = np.zeros(x.shape[1], np.int64), np.empty(x.shape[1], bool)
+    for c, point in enumerate(points):
+        to = square if c else best
+        for i, value in enumerate(point):
+            np.subtract(x[i], value, out=part if i else to)
+            if i:
+                np.multiply(part, part, out=part)
+                np.add(to, part, out=to)
+            else:
+                np.multiply(to, to, out=to)
+        if c:
+            np.less(square, best, out=less)
+            np.copyto(near, c, where=less)
+            np.minimum(best, square, out=best)
+    return near, best
+
+
 def _squares(x: np.ndarray, points: np.ndarray) -> np.ndarray:
     """Squared distances of all rows of x to all points, without cancellation."""
     out = np.zeros((len(x), len(points)))
@@ -88,8 +109,9 @@ def starts(data: DataFrame, columns: list[str], sets: list[tuple[int, int]], see
                 x, keys = _matrix(batch, columns), batch.column("key").to_numpy().view(np.uint64)
                 if not len(x):
                     continue
+                by_column = np.ascontiguousarray(x.T)
                 for i, points, salt in open_:
-                    weight = _squares(x, points).min(axis=1) if len(points) else np.ones(len(x))
+                    weight = _nearest(by_column, points)[1] if len(points) else np.ones(len(x))
                     with np.errstate(divide="ignore"):
                         draw = _draws(keys, salt) / weight
                     at = int(draw.argmin())
@@ -123,12 +145,10 @@ def converged(data: DataFrame, columns: list[str], runs: list[Centres], most: in
         def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = {i: np.zeros((len(points), len(columns) + 2)) for i, points in moving}
             for batch in batches:
-                x = _matrix(batch, columns)
+                x = np.ascontiguousarray(_matrix(batch, columns).T)
                 for i, points in moving:
-                    square = _squares(x, points)
-                    near = square.argmin(axis=1)
-                    own = np.take_along_axis(square, near[:, None], 1)[:, 0]
-                    for j, values in enumerate((np.ones(len(x)), own, *x.T)):
+                    near, own = _nearest(x, points)
+                    for j, values in enumerate((None, own, *x)):
                         total[i][:, j] += np.bincount(near, values, len(points))
             rows = [(i, c, int(row[0]), *row[1:]) for i, part in total.items() for c, row in enumerate(part) if row[0]]
             if rows:

@@ -376,3 +376,22 @@ def test_rows_of_a_deep_tree_share_their_way_in_large_batches():
     frames = [pd.DataFrame({"v": [i, i]}) for i in range(5)]
     assert [list(f["v"]) for f in explain._larger(iter(frames), 3)] == [[0, 0, 1, 1], [2, 2, 3, 3], [4, 4]]
     assert list(explain._larger(iter([]), 3)) == []
+
+
+def test_nearest_points_one_after_the_other():
+    """The same numbers and distances, bit by bit, as from the whole matrix; it is not built."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    x, points = rng.normal(size=(5000, 5)), rng.normal(size=(64, 5))
+    points[7] = points[3]  # a tie goes to the smaller number
+    square = clustering._squares(x, points)
+    by_column = np.ascontiguousarray(x.T)
+    tracemalloc.start()
+    near, own = clustering._nearest(by_column, points)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (near == square.argmin(axis=1)).all() and (own == square.min(axis=1)).all()
+    assert peak < square.nbytes / 8
+    near, own = clustering._nearest(np.zeros((5, 0)), points)
+    assert len(near) == len(own) == 0
