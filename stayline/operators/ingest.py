@@ -241,7 +241,7 @@ def transactions(raw: dict, cfg: Settings, columns: list[str] | None = None) ->
         orders = orders.join(discounts, "order_id", "left").withColumn(
             "discount_pct", F.coalesce("discount_pct", F.lit(0.0))
         )
-    lines = revenue_and_cost(items, cfg).join(orders, "order_id")
+    lines = items.join(orders, "order_id")
     synthetic_returns = "is_return" in wanted and "is_return" not in items.columns
     if {"product_category", "product_super_category"} & set(wanted) or synthetic_returns:
         lines = map_super_category(translate_category(lines, raw, cfg), cfg)
@@ -249,6 +249,8 @@ def transactions(raw: dict, cfg: Settings, columns: list[str] | None = None) ->
         rate = S.first_contained("product_category", cfg.return_rates, cfg.default_return_rate)
         key = [c for c in ("order_id", "order_item_id", "product_id") if c in items.columns]
         lines = lines.withColumn("is_return", synth.is_return(cfg.seed, rate, *key))
+    # after the joins, so that no shuffle carries what follows from the price
+    lines = revenue_and_cost(lines, cfg)
     made = {
         "transaction_id": F.col("order_id"),
         "product_id": S.prefixed("P_", "product_id"),

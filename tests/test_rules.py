@@ -262,3 +262,23 @@ def test_synthetic_columns_follow_their_distribution(spark):
     assert r[1] == pytest.approx(0.48, abs=0.02)
     assert r[2] == pytest.approx(3, abs=0.06) and r[3] == pytest.approx(3, abs=0.15)
     assert r[4] == pytest.approx(2, abs=0.06)
+
+
+def test_shuffles_carry_no_column_that_follows_from_the_price(spark):
+    """Revenue and cost are made of the price after the joins of the lines."""
+    cfg = Settings()
+    raw = {
+        "customers": spark.createDataFrame([(1,)], "customer_id long"),
+        "orders": spark.createDataFrame([(1, 1, cfg.order_statuses[0], "2018-01-02")], "order_id long, customer_id long, order_status string, order_purchase_timestamp string"),
+        "order_items": spark.createDataFrame([(1, 7, 10.0, 1.0, 0), (1, 8, None, 1.0, 1)], "order_id long, product_id long, price double, freight_value double, is_return int"),
+        "payments": spark.createDataFrame([(1, 9.0)], "order_id long, payment_value double"),
+        "products": spark.createDataFrame([(7, "a")], "product_id long, product_category_name string"),
+        "category_translation": spark.createDataFrame([("a", "toys")], "product_category_name string, product_category_name_english string"),
+    }
+    txn = ingest.transactions(raw, cfg)
+    rows = {r["product_id"]: r for r in txn.collect()}
+    assert rows["P_7"]["revenue"] == 10.0 and abs(rows["P_7"]["cost_of_goods"] - 10.0 * cfg.cogs_share) < 1e-12
+    assert rows["P_8"]["revenue"] is None and rows["P_8"]["cost_of_goods"] is None
+    plan = txn._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join"):]
+    assert "cost_of_goods" in plan[: plan.index("Join")] and "cost_of_goods" not in below and "revenue" not in below
