@@ -199,7 +199,7 @@ class Settings:
     cluster_restarts: int = 10
     # Rows that a silhouette is averaged over, at most; their distances are to all rows.
     silhouette_rows: int = 10_000
-    # Labelled rows a classifier is fitted on, at most; testing and scoring use all rows.
+    # Labelled rows that `churn.bounded` draws for a trial; classifiers are fitted on all rows.
     fit_rows: int = 200_000
     smote_neighbours: int = 5
     tree_depth: int = 8

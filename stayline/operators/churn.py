@@ -151,17 +151,18 @@ class Run:
 
 
 def prepared(customers: DataFrame, target: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Balanced training rows, untouched test rows, feature names."""
+    """Balanced training rows, made from all of the training share, untouched test rows, feature names."""
     matrix = freeze(labels.feature_matrix(labels.labelled(customers, target)))
     columns = labels.model_columns(matrix)
     split = freeze(labels.stratified_split(matrix, cfg))
-    train = smote(bounded(split.filter("is_train").drop("is_train"), cfg), columns, cfg)
+    train = smote(split.filter("is_train").drop("is_train"), columns, cfg)
     return train, split.filter(~F.col("is_train")), columns
 
 
 def bounded(train: DataFrame, cfg: Settings) -> DataFrame:
     """About fit_rows of the training rows, the same share of either label, by a hashed
-    draw of the customer; all of them where there are fewer. Only fitting sees the bound."""
+    draw of the customer; all of them where there are fewer. For trials by hand: no query and
+    no phase draws rows, all models are fitted on the whole training share."""
     share = cfg.fit_rows / max(1, train.count())
     return train.filter(synth.uniform(cfg.seed, "fit", "customer_id") < min(1.0, share))
 
