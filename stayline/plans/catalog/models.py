@@ -183,7 +183,7 @@ def _(t: Tables):
     matrix = labels.feature_matrix(labels.labelled(t.profitable, t.labels))
     columns = labels.model_columns(matrix)
     split = labels.stratified_split(matrix, t.cfg).filter("is_train").drop("is_train")
-    train = oversampling.smote(churn.bounded(split, t.cfg), columns, t.cfg, origin=True)
+    train = oversampling.smote(split, columns, t.cfg, origin=True)
     out = F.lit(False)
     for i, c in enumerate(columns):
         own, other = F.get("own", F.lit(i)), F.get("other", F.lit(i))

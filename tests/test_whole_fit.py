@@ -39,6 +39,11 @@ def own(spark):
     del base._TABLES[key]
 
 
+def test_oversampling_starts_from_all_rows(spark, own):
+    rows = entry.queries()["smote"](spark, "whole").collect()
+    assert sorted(tuple(r) for r in rows) == [(0, BALANCED // 2, 0), (1, BALANCED // 2, 0)]
+
+
 def test_pipeline_fits_all_rows(spark, tmp_path, monkeypatch):
     """The churn phase, which the query full_pipeline runs."""
     seen = []
