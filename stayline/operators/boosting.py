@@ -128,16 +128,18 @@ class NewtonTrees:
         return cls(columns, cuts, [Tree(**rows[i]) for i in sorted(rows)], base)
 
 
-def cut_points(df: DataFrame, columns: list[str], key: str, bins: int, rows: int, seed: int) -> list[list[float]]:
-    """For each column at most `bins` - 1 values that split a hashed draw of about `rows` rows evenly;
-    each value of a column with fewer. The greatest value is no cut."""
-    share = min(1.0, rows / max(1, df.count()))
-    drawn = df.filter(synth.uniform(seed, "cuts", key) < share)
+def cut_points(df: DataFrame, columns: list[str], key: str, bins: int, rows: int | None, seed: int) -> list[list[float]]:
+    """For each column at most `bins` - 1 values that split its rows evenly; each value of a column with
+    fewer. The greatest value is no cut. All rows count, unless `rows` asks for a hashed draw of about
+    so many."""
+    if rows is not None:
+        df = df.filter(synth.uniform(seed, "cuts", key) < min(1.0, rows / max(1, df.count())))
     fields = [F.struct(F.lit(i).alias("m"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]
-    long = drawn.select(F.explode(F.array(*fields)).alias("e")).select("e.m", "e.v")
+    long = df.select(F.explode(F.array(*fields)).alias("e")).select("e.m", "e.v")
     counts = long.filter(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("m", "v").agg(F.count(F.lit(1)).alias("n"))
     ordered = InOrder(counts, "m", "v")
-    sizes = {r["m"]: r for r in ordered.rows.groupBy("m").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()}
+    sizes = {r["m"]: r for r in ordered.rows.groupBy("m").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"), F.max("v").alias("greatest")).collect()}
     before, starts = 0, {}
     for m in sorted(sizes):
         starts[m], before = before, before + sizes[m]["n"]
@@ -151,8 +153,7 @@ def cut_points(df: DataFrame, columns: list[str], key: str, bins: int, rows: int
     out: list[list[float]] = [[] for _ in columns]
     for r in running.filter(crosses).select("m", "v").orderBy("m", "v").collect():  # at most bins a column
         out[r["m"]].append(r["v"])
-    greatest = {r["m"]: r["v"] for r in counts.groupBy("m").agg(F.max("v").alias("v")).collect()}
-    return [[v for v in cuts if v < greatest[m]] for m, cuts in enumerate(out)]
+    return [[v for v in cuts if v < sizes[m]["greatest"]] for m, cuts in enumerate(out)]
 
 
 def _derivatives(bins: np.ndarray, y: np.ndarray, margin: np.ndarray, trees: list[Tree], weight: float):
@@ -275,15 +276,15 @@ def _grown(
 def fit(
     df: DataFrame, columns: list[str], label: str = "churn", key: str = "customer_id", rounds: int = 200, depth: int = 6,
     rate: float = 0.1, penalty: float = 1.0, least_curvature: float = 1.0, weight: float | None = None, bins: int = 254,
-    cut_rows: int = 20_000, seed: int = 42, cuts: list[list[float]] | None = None,
+    cut_rows: int | None = None, seed: int = 42, cuts: list[list[float]] | None = None,
 ) -> NewtonTrees:
     """Newton-boosted trees on the rows of df with label 0 or 1.
 
     `weight` is what a row of label 1 counts; without it, as many times a row of label 0 as there
     are more of these. Null and NaN features go to the side that gains more. Without rows, or with rows of
     one label only, there may be no splits and the model scores every row alike; margins start
-    at 0. Cuts come from a hashed draw of about `cut_rows` rows unless given; everything
-    else covers all rows.
+    at 0. Cuts come from all rows, unless they are given or `cut_rows` asks for a hashed draw of
+    about so many; everything else covers all rows.
     """
     data = df.filter(F.col(label).isin(0, 1))
     sizes = {r[label]: r["count"] for r in data.groupBy(label).count().collect()}

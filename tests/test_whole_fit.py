@@ -44,6 +44,11 @@ def test_oversampling_starts_from_all_rows(spark, own):
     assert sorted(tuple(r) for r in rows) == [(0, BALANCED // 2, 0), (1, BALANCED // 2, 0)]
 
 
+def test_newton_trees_saw_all_rows(spark, own):
+    rows = entry.queries()["newton_importance"](spark, "whole").collect()
+    assert len(rows) == len(FEATURES) and own._newton_run.train.count() == BALANCED
+
+
 def test_pipeline_fits_all_rows(spark, tmp_path, monkeypatch):
     """The churn phase, which the query full_pipeline runs."""
     seen = []
@@ -55,3 +60,10 @@ def test_pipeline_fits_all_rows(spark, tmp_path, monkeypatch):
     run.adopt("profitability", {"customer_profitable": customers(spark)})
     assert run.churn(["Decision Tree"]).count() == PEOPLE
     assert seen == [BALANCED]
+
+
+def test_newton_cuts_come_from_all_rows(spark):
+    n = 40_000
+    df = spark.range(n).selectExpr("id customer_id", "cast(id % 2 as int) churn", "cast(id as double) x")
+    cuts = boosting.fit(df, ["x"], rounds=1, depth=1).cuts[0]
+    assert len(cuts) == 253 - 1 and np.abs(np.diff(cuts) - n / 253).max() <= 1
