@@ -128,10 +128,13 @@ class NewtonTrees:
         return cls(columns, cuts, [Tree(**rows[i]) for i in sorted(rows)], base)
 
 
-def cut_points(df: DataFrame, columns: list[str], key: str, bins: int, rows: int | None, seed: int) -> list[list[float]]:
+def cut_points(
+    df: DataFrame, columns: list[str], key: str, bins: int, rows: int | None, seed: int, capped: bool = False
+) -> list[list[float]]:
     """For each column at most `bins` - 1 values that split its rows evenly; each value of a column with
     fewer. The greatest value is no cut. All rows count, unless `rows` asks for a hashed draw of about
-    so many."""
+    so many. If `capped`, the rows of one value count as no more than a bin, so that common values
+    leave cuts for the others."""
     if rows is not None:
         df = df.filter(synth.uniform(seed, "cuts", key) < min(1.0, rows / max(1, df.count())))
     fields = [F.struct(F.lit(i).alias("m"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]
@@ -140,12 +143,15 @@ def cut_points(df: DataFrame, columns: list[str], key: str, bins: int, rows: int
     ordered = InOrder(counts, "m", "v")
     sizes = {r["m"]: r for r in ordered.rows.groupBy("m").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"), F.max("v").alias("greatest")).collect()}
+    totals = {m: r["n"] for m, r in sizes.items()}
+    if capped:
+        ordered.rows, totals = _capped(ordered.rows, totals, bins)
     before, starts = 0, {}
-    for m in sorted(sizes):
-        starts[m], before = before, before + sizes[m]["n"]
+    for m in sorted(totals):
+        starts[m], before = before, before + totals[m]
     running = ordered.running({"until": "n"})
     # rank of the value's last row among its column's, in steps of the column's size
-    step = lambda c, m: F.floor((c - starts[m]) * (bins - 1) / sizes[m]["n"])
+    step = lambda c, m: F.floor((c - starts[m]) * (bins - 1) / totals[m])
     crosses = F.lit(False)
     for m, r in sizes.items():
         jump = step(F.col("until"), m) > step(F.col("until") - F.col("n"), m)
@@ -156,6 +162,24 @@ def cut_points(df: DataFrame, columns: list[str], key: str, bins: int, rows: int
     return [[v for v in cuts if v < sizes[m]["greatest"]] for m, cuts in enumerate(out)]
 
 
+def _capped(counts: DataFrame, totals: dict[int, int], bins: int) -> tuple[DataFrame, dict[int, int]]:
+    """Counts n of values, at most a bin of the lowered totals each, and these totals, by column m.
+    No value is lowered below a quarter of an even bin, so few counts need to be known here."""
+    by_column = lambda of: F.coalesce(*[F.when(F.col("m") == m, F.lit(v)) for m, v in of.items()], F.lit(0))
+    floor = {m: n // (4 * bins) + 1 for m, n in totals.items()}
+    common: dict[int, list[int]] = {m: [] for m in totals}
+    for r in counts.filter(F.col("n") > by_column(floor)).select("m", "n").collect():  # at most 4 * bins a column
+        common[r["m"]].append(r["n"])
+    caps, lowered = {}, {}
+    for m, n in totals.items():
+        cap, rest = float(n), n - sum(common[m])
+        for _ in range(100):
+            cap = (rest + sum(min(c, cap) for c in common[m])) / (bins - 1)
+        caps[m] = max(floor[m], int(1.02 * cap) + 2)  # a little more than a bin: a cut follows each
+        lowered[m] = rest + sum(min(c, caps[m]) for c in common[m])
+    return counts.withColumn("n", F.least("n", by_column(caps)).cast("long")), lowered
+
+
 def _derivatives(bins: np.ndarray, y: np.ndarray, margin: np.ndarray, trees: list[Tree], weight: float):
     """Whole-number g and h of some rows, margins with the newest trees."""
     for tree in trees:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,10 @@ MODELS = ["Logistic Regression", "Decision Tree", "Random Forest", "Gradient Boo
 NEWTON = "Newton Boosting"  # may stand beside the others, or for Gradient Boosting
 Model = PipelineModel | boosting.NewtonTrees
 LEAST_PARTS = 8  # partitions of training rows that are not merged
+TREES = ["Decision Tree", "Random Forest", "Gradient Boosting"]
+TREE_BINS = 32  # bins of a feature in these trees
+DRAWN = 10_000  # rows beyond which they look for cuts in a draw of max(DRAWN, maxBins ** 2) rows
+MOST_BINS = 46_340  # the greatest maxBins whose square is an int
 
 
 def leak_free_features(people: DataFrame, txn: DataFrame, engagement: DataFrame, cfg: Settings) -> DataFrame:
@@ -63,6 +68,24 @@ def weighted(train: DataFrame) -> DataFrame:
     return train.withColumn("weight", out)
 
 
+def tree_bins(train: DataFrame, columns: list[str], cfg: Settings) -> Bucketizer:
+    """Numbers of the bins of each feature, whose cuts come from all rows; common values, such as the
+    whole numbers between which oversampled rows lie, take one bin each.
+
+    Spark's tree learners take their candidate cuts from a draw of rows. On numbers of at most TREE_BINS
+    bins, maxBins may grow until the draw is the whole table: they find as many values, and
+    keep as many bins, as there are numbers."""
+    found = boosting.cut_points(train, columns, "customer_id", TREE_BINS, None, cfg.seed, capped=True)
+    inf = float("inf")
+    # a row equal to a cut goes left, and buckets begin with their lower end
+    splits = [[-inf, *([math.nextafter(v, inf) for v in cuts] or [0.0]), inf] for cuts in found]
+    return Bucketizer(splitsArray=splits, inputCols=columns, outputCols=bin_names(columns))
+
+
+def bin_names(columns: list[str]) -> list[str]:
+    return [f"{c}_bin" for c in columns]
+
+
 def train_models(
     train: DataFrame, columns: list[str], cfg: Settings, names: list[str] | None = None
 ) -> dict[str, Model]:
@@ -74,17 +97,22 @@ def train_models(
     train = freeze(weighted(train))
     n_rows = train.count()
     train = train.coalesce(max(LEAST_PARTS, -(-n_rows // boosting.ROWS_A_TASK)))
-    prepare = [
-        VectorAssembler(inputCols=columns, outputCol="raw_features"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-    ]
     names = names or MODELS
+    bins = tree_bins(train, columns, cfg) if n_rows > DRAWN and {*TREES} & {*names} else None
 
     def fit(name: str) -> Model:
         if name == NEWTON:
             return boosting.fit(
                 train, columns, rounds=cfg.boosting_rounds, depth=cfg.boosting_depth, rate=cfg.boosting_rate, seed=cfg.seed)
-        return Pipeline(stages=[*prepare, classifier(name, n_rows, cfg)]).fit(train)
+        learner, first, inputs = classifier(name, n_rows, cfg), [], columns
+        if bins and name in TREES:
+            learner.setMaxBins(min(MOST_BINS, math.isqrt(n_rows) + 1))
+            first, inputs = [bins], bin_names(columns)
+        prepare = [
+            VectorAssembler(inputCols=inputs, outputCol="raw_features"),
+            StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
+        ]
+        return Pipeline(stages=[*first, *prepare, learner]).fit(train)
 
     with ThreadPoolExecutor(len(names)) as pool:  # the models don't depend on one another
         return dict(zip(names, pool.map(fit, names)))
@@ -108,7 +136,8 @@ def score(model: Model, df: DataFrame) -> DataFrame:
     if isinstance(model, boosting.NewtonTrees):
         return model.score(df)
     out = model.transform(df).withColumn("churn_prob", vector_to_array("probability")[1])
-    return out.drop("raw_features", "features", "rawPrediction", "probability", "prediction")
+    made = [c for s in model.stages if isinstance(s, Bucketizer) for c in s.getOutputCols()]
+    return out.drop(*made, "raw_features", "features", "rawPrediction", "probability", "prediction")
 
 
 def score_all(model: Model, customers: DataFrame) -> DataFrame:

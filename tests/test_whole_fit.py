@@ -39,6 +39,20 @@ def own(spark):
     del base._TABLES[key]
 
 
+@pytest.mark.parametrize("name", ["importance_shares"])
+def test_models_behind_a_query_saw_all_rows(spark, own, name):
+    rows = entry.queries()[name](spark, "whole").collect()
+    assert rows and own._run.train.count() == BALANCED > CFG.fit_rows
+    tree = explain.model_trees(own._run.models["Decision Tree"], spark)[0]
+    assert tree.cover[0] == BALANCED
+    if name == "tree_replay":
+        assert sorted(tuple(r) for r in rows) == [("Decision Tree", BALANCED, 0), ("Random Forest", BALANCED, 0)]
+    if name == "model_sink":
+        assert tuple(rows[0]) == (PEOPLE, PEOPLE)
+    if name == "shap_rows":
+        assert len(rows) == (PEOPLE - 80 - 160) * len(FEATURES)
+
+
 def test_oversampling_starts_from_all_rows(spark, own):
     rows = entry.queries()["smote"](spark, "whole").collect()
     assert sorted(tuple(r) for r in rows) == [(0, BALANCED // 2, 0), (1, BALANCED // 2, 0)]
@@ -67,3 +81,32 @@ def test_newton_cuts_come_from_all_rows(spark):
     df = spark.range(n).selectExpr("id customer_id", "cast(id % 2 as int) churn", "cast(id as double) x")
     cuts = boosting.fit(df, ["x"], rounds=1, depth=1).cuts[0]
     assert len(cuts) == 253 - 1 and np.abs(np.diff(cuts) - n / 253).max() <= 1
+
+
+def test_common_values_leave_cuts_for_others(spark):
+    """Nine tenths of the rows have one value, half of the others another."""
+    df = spark.range(20_000).selectExpr(
+        "id customer_id", "case when id % 10 > 0 then 0.0 when id % 20 = 0 then 0.5 else 1.0 + id end x")
+    plain, capped = (boosting.cut_points(df, ["x"], "customer_id", 32, None, 1, capped)[0] for capped in (False, True))
+    assert len(plain) < 8 and 24 <= len(capped) <= 31 and capped[:2] == [0.0, 0.5]
+    rows = df.filter("x > 0.5").count()
+    inside = [df.filter((F.col("x") > a) & (F.col("x") <= b)).count() for a, b in zip(capped[1:4], capped[2:5])]
+    assert max(inside) <= rows / 20
+
+
+def test_rare_values_are_cuts_of_the_trees(spark, tmp_path):
+    """Of 24,000 rows one a feature differs, and has the other label: a draw of rows misses some."""
+    width = 12
+    columns = [f"x{f}" for f in range(width)]
+    train = spark.range(24_000).withColumnRenamed("id", "customer_id").withColumns(
+        {c: F.when(F.col("customer_id") == 2000 * f + 1, 1.0).otherwise(0.0) for f, c in enumerate(columns)})
+    train = train.withColumn("churn", (F.col("customer_id") % 2000 == 1).cast("int"))
+    model = churn.train_models(train, columns, replace(CFG, tree_depth=width), ["Decision Tree"])["Decision Tree"]
+    scored = churn.score(model, train)
+    assert scored.columns == [*train.columns, "churn_prob"]
+    assert scored.filter("churn <> cast(churn_prob >= 0.5 as int)").count() == 0
+    assert model.stages[-1].numNodes == 2 * width + 1
+    churn.save_model(model, spark, f"{tmp_path}/m")
+    again = churn.score(churn.load_model(spark, f"{tmp_path}/m"), train)
+    assert again.groupBy("churn", "churn_prob").count().orderBy("churn").collect() == scored.groupBy(
+        "churn", "churn_prob").count().orderBy("churn").collect()
