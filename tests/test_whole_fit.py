@@ -39,7 +39,7 @@ def own(spark):
     del base._TABLES[key]
 
 
-@pytest.mark.parametrize("name", ["importance_shares"])
+@pytest.mark.parametrize("name", ["importance_shares", "logistic_regression"])
 def test_models_behind_a_query_saw_all_rows(spark, own, name):
     rows = entry.queries()[name](spark, "whole").collect()
     assert rows and own._run.train.count() == BALANCED > CFG.fit_rows
