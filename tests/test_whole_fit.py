@@ -39,7 +39,8 @@ def own(spark):
     del base._TABLES[key]
 
 
-@pytest.mark.parametrize("name", ["importance_shares", "logistic_regression", "tree_replay", "shap_rows", "model_sink"])
+@pytest.mark.parametrize("name", [
+    "importance_shares", "logistic_regression", "model_comparison_sink", "model_sink", "shap_rows", "tree_replay"])
 def test_models_behind_a_query_saw_all_rows(spark, own, name):
     rows = entry.queries()[name](spark, "whole").collect()
     assert rows and own._run.train.count() == BALANCED > CFG.fit_rows
